@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import ip as ipf
 from ..functions import parse, protocol
 from ..functions.geo import geo_object_json
-from ..operators import decode, enrich, features, kmeans, sampling
+from ..operators import decode, enrich, features, kmeans, sampling, windows
 from ..schema import FEATURES
 from ..session import prepare
 from ..sources.testdata import geo_range_dimension, packets, read_table, reputation_dimension
@@ -240,6 +240,76 @@ def flatten_scored(scored: DataFrame) -> DataFrame:
         "application_protocol", "anomaly")
 
 
+# ---------------------------------------------------------------- windows
+
+def timed_packets(df: DataFrame) -> DataFrame:
+    """Transport packets with the columns the window jobs read."""
+    return decode.keep_transport(df).select(
+        "packet_id",
+        parse.iso_nanos_to_time("layers.frame.frame_frame_time").alias("frame_time"),
+        F.col("layers.ip.ip_ip_src").alias("ip_src"),
+        F.col("layers.frame.frame_frame_protocols").alias("frame_protocols"),
+        parse.try_int("layers.ip.ip_ip_len").alias("ip_len"),
+        parse.try_int("layers.frame.frame_frame_len").alias("frame_len"))
+
+
+def _timed(spark, sf) -> DataFrame:
+    return timed_packets(_packets(spark, sf))
+
+
+def _window_out(g: DataFrame, keys: list[str], maxes: bool) -> DataFrame:
+    cols = [F.col("start").cast("timestamp_ntz").alias("start"), *keys,
+            F.col("count").alias("n"), rnd("ip_avg_len").alias("ip_avg_len"),
+            rnd("frame_avg_len").alias("frame_avg_len")]
+    if maxes:
+        cols += [F.col("max_ip_len"), F.col("max_frame_len")]
+    cols += [rnd("ip_local_anomaly").alias("ip_local_anomaly"),
+             rnd("frame_local_anomaly").alias("frame_local_anomaly")]
+    return g.select(*cols)
+
+
+def q_window_tumbling(spark, sf):
+    g = windows.window_features(_timed(spark, sf), "frame_time", "1 minute",
+                                keys=["ip_src", "frame_protocols"])
+    return _window_out(g.withColumnRenamed("frame_protocols", "protocols"), ["ip_src", "protocols"], False)
+
+
+def _sliding(spark, sf, length, slide):
+    g = windows.window_features(_timed(spark, sf), "frame_time", length, slide, keys=["frame_protocols"])
+    return _window_out(g.withColumnRenamed("frame_protocols", "protocols"), ["protocols"], True)
+
+
+def q_window_sliding(spark, sf):
+    return _sliding(spark, sf, "1 hour", "20 minutes")
+
+
+def q_window_sliding_15s(spark, sf):
+    return _sliding(spark, sf, "15 seconds", "5 seconds")
+
+
+JOINBACK_TUMBLING = "1 hour"
+JOINBACK_SLIDING = ("1 hour", "20 minutes")
+
+
+def q_window_joinback_left(spark, sf):
+    t = _timed(spark, sf)
+    g = windows.window_features(t, "frame_time", JOINBACK_TUMBLING, keys=["ip_src", "frame_protocols"])
+    j = windows.join_back(t, g, "frame_time", JOINBACK_TUMBLING,
+                          keys=[("ip_src", "ip_src"), ("frame_protocols", "frame_protocols")], how="left")
+    return j.select("packet_id", F.col("start").cast("timestamp_ntz").alias("start"),
+                    rnd("ip_local_anomaly").alias("ip_local_anomaly"),
+                    rnd("frame_local_anomaly").alias("frame_local_anomaly"), F.col("count").alias("n"))
+
+
+def q_window_joinback_inner(spark, sf):
+    t = _timed(spark, sf)
+    length, slide = JOINBACK_SLIDING
+    g = windows.window_features(t, "frame_time", length, slide, keys=["frame_protocols"])
+    g = features.assemble(g)  # rows with a NULL feature are skipped
+    j = windows.join_back(t, g, "frame_time", length, slide, how="inner")
+    return j.select("packet_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("count").alias("n"))
+
+
 QUERIES = {
     "packet_base": q_packet_base,
     "transport_filter": q_transport_filter,
@@ -264,4 +334,9 @@ QUERIES = {
     "score_percentile": q_score_percentile,
     "split_md5": q_split_md5,
     "live_score": q_live_score,
+    "window_tumbling": q_window_tumbling,
+    "window_sliding": q_window_sliding,
+    "window_sliding_15s": q_window_sliding_15s,
+    "window_joinback_left": q_window_joinback_left,
+    "window_joinback_inner": q_window_joinback_inner,
 }
