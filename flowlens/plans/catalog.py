@@ -17,8 +17,11 @@ from ..functions import ip as ipf
 from ..functions import parse, protocol
 from ..functions.geo import geo_object_json
 from ..operators import decode, enrich, features, kmeans, sampling, windows
-from ..schema import FEATURES
-from ..session import prepare
+from pyspark.sql import types as T
+
+from ..schema import FEATURES, PACKET_CSV
+from ..session import prepare, scratch_path
+from ..sources import files
 from ..sources.testdata import geo_range_dimension, packets, read_table, reputation_dimension
 from . import live
 
@@ -310,6 +313,61 @@ def q_window_joinback_inner(spark, sf):
     return j.select("packet_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("count").alias("n"))
 
 
+# ------------------------------------------------------------ file sources
+
+def q_ndjson_decode(spark, sf):
+    """Packets written as an NDJSON capture log (index action lines
+    included) to the shared scratch folder, then read back and decoded."""
+    path = scratch_path(spark, "ndjson")
+    files.write_packets_ndjson(_packets(spark, sf), path)
+    df = files.read_packets_ndjson(spark, path)
+    dns = F.col("layers.dns.dns_dns_resp_name")
+    return df.select(F.col("layers.frame.frame_frame_number").cast("bigint").alias("packet_id"),
+                     F.col("layers.ip.ip_ip_src").alias("ip_src"),
+                     parse.try_int("layers.frame.frame_frame_len").alias("frame_len"),
+                     F.when(dns.isNotNull(), F.size(dns)).alias("dns_answers"),
+                     F.col("layers.eth.eth_eth_type").alias("eth_type"))
+
+
+CSV_COLUMNS = [*[f.name for f in PACKET_CSV.fields], "frame_number"]
+
+
+def packet_csv_lines(df: DataFrame) -> DataFrame:
+    """Flat tshark-style export lines, with deterministic defects: every
+    53rd packet is cut short, every 59th has a non-numeric ``ip_len``,
+    every 61st an empty one."""
+    pid = F.col("packet_id")
+    ts = parse.epoch_ms_text_to_time("timestamp")
+    frame_time = F.concat(F.date_format(ts, "MMM"), F.lit(" "), F.lpad(F.date_format(ts, "d"), 2, " "),
+                          F.lit(" "), F.date_format(F.col("layers.frame.frame_frame_time").try_cast("timestamp"),
+                                                    "yyyy HH:mm:ss.SSSSSS"), F.lit("000 "))
+    epoch = F.concat(F.col("timestamp").substr(1, 10), F.lit("."), F.col("timestamp").substr(11, 3),
+                     F.lit("000000"))
+    ip_len = (F.when(pid % 59 == 0, F.lit("abc")).when(pid % 61 == 0, F.lit(""))
+              .otherwise(F.coalesce(F.col("layers.ip.ip_ip_len"), F.lit(""))))
+    vals = [F.col("layers.ip.ip_ip_src"), F.col("layers.ip.ip_ip_dst"), ip_len,
+            F.col("layers.eth.eth_eth_src"), F.col("layers.eth.eth_eth_dst"),
+            F.col("layers.tcp.tcp_tcp_srcport"), F.col("layers.tcp.tcp_tcp_dstport"), epoch,
+            F.col("layers.frame.frame_frame_len"), F.col("layers.frame.frame_frame_protocols"),
+            frame_time, pid.cast("string")]
+    vals = [F.coalesce(v, F.lit("")) for v in vals]
+    full = F.concat_ws("|", *vals)
+    short = F.concat_ws("|", *vals[:-3])
+    return df.select(F.when(pid % 53 == 0, short).otherwise(full).alias("value"))
+
+
+def q_csv_decode(spark, sf):
+    """Packets exported as a pipe-delimited file with a header and some
+    malformed rows, then read back with DROPMALFORMED."""
+    path = scratch_path(spark, "csv")
+    files.write_delimited_lines(packet_csv_lines(_packets(spark, sf)), CSV_COLUMNS, path)
+    schema = T.StructType([*PACKET_CSV.fields, T.StructField("frame_number", T.LongType(), True)])
+    df = files.read_packet_csv(spark, path, schema)
+    t = parse.tshark_time("frame_time")
+    return df.select(F.col("frame_number").alias("packet_id"), t.cast("timestamp_ntz").alias("frame_time"),
+                     parse.epoch_seconds(t).alias("epoch_s"), F.col("ip_len"))
+
+
 QUERIES = {
     "packet_base": q_packet_base,
     "transport_filter": q_transport_filter,
@@ -339,4 +397,6 @@ QUERIES = {
     "window_sliding_15s": q_window_sliding_15s,
     "window_joinback_left": q_window_joinback_left,
     "window_joinback_inner": q_window_joinback_inner,
+    "ndjson_decode": q_ndjson_decode,
+    "csv_decode": q_csv_decode,
 }
