@@ -22,37 +22,66 @@ def try_int(x: ColumnOrName) -> Column:
     return _c(x).try_cast("int")
 
 
-# Prefix-aware integer literal forms: optional sign, then decimal without a
-# leading zero (or all zeros), or 0x / 0o / 0b with digits, '_' allowed
-# between digits.  Fixed values.
-_DEC = r"^[+-]?([1-9](_?[0-9])*|0(_?0)*)$"
-_HEX = r"^[+-]?0[xX](_?[0-9a-fA-F])+$"
-_OCT = r"^[+-]?0[oO](_?[0-7])+$"
-_BIN = r"^[+-]?0[bB](_?[01])+$"
+# Digits allowed after each base prefix.  Fixed values.
+_BASES = {"0x": (16, "0123456789abcdef"), "0o": (8, "01234567"), "0b": (2, "01")}
+_DEC_DIGITS = "0123456789"
+
+
+def _only(digits: Column, allowed: str) -> Column:
+    """Non-empty and made only of ``allowed`` characters (no regex)."""
+    return (F.length(digits) > 0) & (F.length(F.translate(digits, allowed, "")) == 0)
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``body(v)`` with ``v`` bound to ``value`` once.
+
+    Catalyst copies a sub-expression into every place that uses it (and a
+    filter pushed below a projection copies the projection again), so a
+    parse that reads its input ten times grows the generated code tenfold per
+    level.  A one-element ``transform`` binds the input to a lambda variable
+    instead."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def prefixed_int(x: ColumnOrName) -> Column:
     """Integer text with an optional base prefix, like a base-0 integer parse.
 
     ``"172"`` -> 172, ``"0x1f"`` -> 31, ``"0o17"`` -> 15, ``"0b101"`` -> 5,
-    ``"007"`` / ``"abc"`` / NULL -> NULL.  Surrounding blanks are ignored.
-    Values outside INT range are NULL.
+    ``"1_000"`` -> 1000, ``"007"`` / ``"abc"`` / NULL -> NULL.  Surrounding
+    blanks are ignored; values outside INT range are NULL.
+
+    Canonical decimal text (what the integer prints back as) takes the
+    fast path; everything else goes through :func:`_prefixed_int_slow`.
     """
-    s = F.trim(_c(x))
-    clean = F.regexp_replace(s, "_", "")
-    sign = F.when(clean.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    body = F.regexp_replace(clean, r"^[+-]", "")
-    digits = F.substring(body, 3, 1 << 20)
-
-    def based(base: int) -> Column:
-        # conv() works on unsigned 64-bit text; re-attach the sign after it.
-        return F.concat(sign, F.conv(digits, base, 10))
-
-    text = (F.when(s.rlike(_DEC), clean)
-            .when(s.rlike(_HEX), based(16))
-            .when(s.rlike(_OCT), based(8))
-            .when(s.rlike(_BIN), based(2)))
-    return text.try_cast("int")
+    def parse(s: Column) -> Column:
+        fast = s.try_cast("int")
+        canonical = fast.isNotNull() & (fast.cast("string") == s)
+        return F.when(canonical, fast).otherwise(let(s, _prefixed_int_slow))
+    return let(F.trim(_c(x)), parse)
+
+
+def _prefixed_int_slow(s: Column) -> Column:
+    """Sign, underscores, leading-zero and base-prefix forms, with plain string
+    functions only."""
+    neg = s.startswith("-")
+    sign = F.when(neg, F.lit("-")).otherwise(F.lit(""))
+    body = F.lower(F.when(neg | s.startswith("+"), F.substring(s, 2, 1 << 20)).otherwise(s))
+
+    def from_body(b: Column) -> Column:
+        underscores_ok = ~b.contains("__") & ~b.endswith("_") & ~b.startswith("_")
+        dec = F.replace(b, F.lit("_"), F.lit(""))
+        all_zero = _only(dec, "0")
+        dec_ok = _only(dec, _DEC_DIGITS) & (~dec.startswith("0") | all_zero)
+        prefix = F.substring(b, 1, 2)
+        digits = F.replace(F.substring(b, 3, 1 << 20), F.lit("_"), F.lit(""))
+        based = None
+        for pfx, (base, allowed) in _BASES.items():
+            val = F.when((prefix == pfx) & _only(digits, allowed), F.conv(digits, base, 10))
+            based = val if based is None else F.coalesce(based, val)
+        text = F.when(dec_ok, F.when(all_zero, F.lit("0")).otherwise(dec)).otherwise(based)
+        return F.when(underscores_ok, text)
+
+    return F.concat(sign, let(body, from_body)).try_cast("int")
 
 
 def layer_int(layer: ColumnOrName, field: str) -> Column:

@@ -40,25 +40,40 @@ def _normalise(raw: Column, dt: T.DataType) -> Column:
     return F.when(is_array_text, F.get_json_object(raw, "$[0]")).otherwise(raw).cast(dt)
 
 
+def lenient_schema(schema: T.StructType = PACKET, corrupt: str | None = None) -> T.StructType:
+    """Reader schema: every leaf STRING, plus an optional corrupt-record column."""
+    out = _lenient(schema)
+    if corrupt:
+        out = T.StructType([*out.fields, T.StructField(corrupt, T.StringType(), True)])
+    return out
+
+
+def normalise_packets(df: DataFrame, schema: T.StructType = PACKET, keep: tuple[str, ...] = (),
+                      decoded: Column | None = None) -> DataFrame:
+    """Leniently parsed packet columns -> declared types (see ``_normalise``)."""
+    cols = [_normalise(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
+    flag = decoded if decoded is not None else F.lit(True)
+    return df.select(*keep, *cols, flag.alias("_decoded"))
+
+
 def decode_packets(df: DataFrame, value_col: str = "value",
                    schema: T.StructType = PACKET, keep: tuple[str, ...] = (),
                    lenient: bool = True) -> DataFrame:
-    """Text (or bytes) column of packet JSON -> typed packet columns.
+    """Text (or bytes) column of packet JSON -> typed packet columns (the
+    message-bus path; files go through the JSON reader instead).
 
     Adds ``_decoded`` (FALSE when the text is not a JSON object) so callers
     can route such rows to quarantine.  ``keep`` lists input columns to carry
-    through (for example the Kafka timestamp or an id).
-    """
+    through (for example the broker timestamp or an id).  The JSON text is
+    parsed once into one struct column; fields are then read from it."""
     text = F.col(value_col).cast("string")
     parse_schema = _lenient(schema) if lenient else schema
-    data = F.from_json(text, parse_schema)
-    out = df.select(*keep, text.alias("_raw"), data.alias("_data"))
-    cols = []
-    for f in schema.fields:
-        c = out["_data"].getField(f.name)
-        cols.append((_normalise(c, f.dataType) if lenient else c).alias(f.name))
-    return out.select(*keep, *cols,
-                      (out["_data"].isNotNull() & F.ltrim(out["_raw"]).startswith("{")).alias("_decoded"))
+    out = df.select(*keep, text.alias("_raw"), F.from_json(text, parse_schema).alias("_data"))
+    out = out.select(*keep, "_data.*",
+                     (F.col("_data").isNotNull() & F.ltrim(F.col("_raw")).startswith("{")).alias("_ok"))
+    if not lenient:
+        return out.withColumnRenamed("_ok", "_decoded")
+    return normalise_packets(out, schema, keep, F.col("_ok"))
 
 
 def drop_index_lines(df: DataFrame, value_col: str = "value") -> DataFrame:

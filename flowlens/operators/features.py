@@ -34,7 +34,9 @@ def feature_columns(layers: str = "layers") -> dict[str, Column]:
 
 
 def with_features(df: DataFrame, layers: str = "layers", as_array: bool = True) -> DataFrame:
-    """Add the seven feature columns and (optionally) ``features`` array<int>."""
+    """Add the seven feature columns and (optionally) ``features`` array<int>.
+
+    Absent layer -> 0, unparsable field -> NULL (see ``layer_int``)."""
     out = df.withColumns(feature_columns(layers))
     if as_array:
         out = out.withColumn("features", F.array(*[F.col(c) for c in FEATURES]))

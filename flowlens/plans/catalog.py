@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 
 from ..schema import FEATURES, PACKET_CSV
 from ..session import prepare, scratch_path
-from ..sources import files
+from ..sources import files, sinks
+from ..streaming import jobs
 from ..sources.testdata import geo_range_dimension, packets, read_table, reputation_dimension
 from . import live
 
@@ -368,6 +369,63 @@ def q_csv_decode(spark, sf):
                      parse.epoch_seconds(t).alias("epoch_s"), F.col("ip_len"))
 
 
+# ---------------------------------------------------------------- streaming
+
+STREAM_FILES = 4
+
+
+def _stage_stream_input(spark, sf, files_n: int = STREAM_FILES) -> str:
+    """Packets written as NDJSON files into a fresh scratch folder that a
+    file-source stream then reads."""
+    path = scratch_path(spark, "stream-in")
+    files.write_packets_ndjson(_packets(spark, sf).repartition(files_n), path)
+    return path
+
+
+def q_stream_score(spark, sf):
+    """Batch-trained models saved as tables, loaded by a file-source stream
+    that scores packets one file per micro-batch (availableNow)."""
+    in_dir = _stage_stream_input(spark, sf)
+    scaled, params = _scaled(spark, sf)
+    models = scratch_path(spark, "models")
+    sinks.save_model_table(spark.createDataFrame(
+        [(c, i, m, sd) for i, (c, (m, sd)) in enumerate(zip(FEATURES, params))],
+        "feature string, ordinal int, mean double, std double"), f"{models}/scaler")
+    sinks.save_model_table(kmeans.centroids_by_group(scaled, "protocols"), f"{models}/kmeans")
+    scaler = sinks.load_model_table(spark, f"{models}/scaler")
+    centers = sinks.load_model_table(spark, f"{models}/kmeans")
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    stream = files.stream_packets_ndjson(spark, in_dir, max_files_per_trigger=1)
+    q = jobs.start_scoring(stream, _ranges(spark, sf), scaler, centers, out, ckpt, available_now=True)
+    q.awaitTermination()
+    return flatten_scored(jobs.read_batches(spark, out))
+
+
+STREAM_WINDOW = ("1 hour", "20 minutes")
+
+
+def q_stream_window(spark, sf):
+    in_dir = _stage_stream_input(spark, sf)
+    out, ckpt = scratch_path(spark, "stream-win"), scratch_path(spark, "stream-win-ckpt")
+    length, slide = STREAM_WINDOW
+    q = jobs.start_window_features(files.stream_packets_ndjson(spark, in_dir), out, ckpt, length, slide,
+                                   available_now=True)
+    q.awaitTermination()
+    g = jobs.read_batches(spark, out).withColumnRenamed("frame_protocols", "protocols")
+    return _window_out(g, ["protocols"], True)
+
+
+def q_stream_joinback(spark, sf):
+    in_dir = _stage_stream_input(spark, sf)
+    out, ckpt = scratch_path(spark, "stream-jb"), scratch_path(spark, "stream-jb-ckpt")
+    length, slide = STREAM_WINDOW
+    q = jobs.start_joinback(files.stream_packets_ndjson(spark, in_dir), out, ckpt, length, slide,
+                            available_now=True)
+    q.awaitTermination()
+    j = jobs.read_batches(spark, out)
+    return j.select("packet_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
 QUERIES = {
     "packet_base": q_packet_base,
     "transport_filter": q_transport_filter,
@@ -399,4 +457,7 @@ QUERIES = {
     "window_joinback_inner": q_window_joinback_inner,
     "ndjson_decode": q_ndjson_decode,
     "csv_decode": q_csv_decode,
+    "stream_score": q_stream_score,
+    "stream_window": q_stream_window,
+    "stream_joinback": q_stream_joinback,
 }

@@ -32,8 +32,21 @@ STACK_UDP = "eth:ethertype:ip:udp"
 DST_PORTS = ["22", "443", "53", "80", "3306", "5432", "6379", "8080", "9999", "1111"]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    """Read one generated table; with ``key``, spread it over the cores."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, key) if key else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give an input split into fewer partitions than there are cores (a file
+    holding one row group) one partition per core, hash-partitioned on its
+    row key (deterministic on retry).  Inputs already split finer, as any
+    large table is, are left alone: no extra shuffle at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 def _s(c: Column) -> Column:
@@ -90,7 +103,7 @@ def packets_from_events(events: DataFrame) -> DataFrame:
 
 
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packets_from_events(read_table(spark, sf_dir, "events"))
+    return packets_from_events(read_table(spark, sf_dir, "events", key="event_id"))
 
 
 # ---------------------------------------------------------------- dimensions
