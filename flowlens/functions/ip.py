@@ -14,6 +14,8 @@ import ipaddress
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .parse import let
+
 # Networks treated as private.  The documentation prefix
 # 2001:db8::/32 sits in the IPv4 list, so it is never tested against IPv6
 # addresses (it cannot contain an IPv4 address either).
@@ -46,22 +48,30 @@ def _c(x) -> Column:
 
 def ipv4_to_int(ip) -> Column:
     """Dotted IPv4 text -> BIGINT; anything that is not a strict dotted quad -> NULL."""
-    s = _c(ip)
-    parts = F.split(s, r"\.")
-    value = F.aggregate(parts, F.lit(0).cast("bigint"),
-                        lambda acc, p: acc * F.lit(256) + p.cast("bigint"))
-    return F.when(s.rlike(IPV4_RE), value)
+    def conv(s: Column) -> Column:
+        parts = F.split(s, r"\.")
+        value = F.aggregate(parts, F.lit(0).cast("bigint"),
+                            lambda acc, p: acc * F.lit(256) + p.cast("bigint"))
+        return F.when(s.rlike(IPV4_RE), value)
+    return let(_c(ip), conv)
 
 
 def _ipv6_groups(ip) -> Column:
     """IPv6 text -> array of 8 hextets (lowercase, unpadded) or NULL."""
-    s = F.lower(F.trim(_c(ip)))
+    return let(F.lower(F.trim(_c(ip))), _ipv6_groups_of)
+
+
+def _ipv6_groups_of(s: Column) -> Column:
     # An embedded dotted IPv4 tail ("::ffff:1.2.3.4") becomes two hextets.
     tail = F.regexp_extract(s, r":((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(\.(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])){3})$", 1)
     t_int = ipv4_to_int(tail)
     t_hex = F.concat(F.lower(F.hex(F.shiftright(t_int, 16))), F.lit(":"),
                      F.lower(F.hex(t_int.bitwiseAND(F.lit(0xFFFF)))))
     s = F.when(tail != "", F.concat(F.regexp_replace(s, r"[0-9.]+$", ""), t_hex)).otherwise(s)
+    return let(s, _split_groups)
+
+
+def _split_groups(s: Column) -> Column:
     halves = F.split(s, "::", 2)
     has_gap = F.size(halves) == 2
 
@@ -74,16 +84,15 @@ def _ipv6_groups(ip) -> Column:
     groups = F.when(has_gap, gapped).otherwise(F.split(s, ":"))
     ok = ((F.size(groups) == 8)
           & F.forall(groups, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
-          & ~F.get(halves, 1).contains("::")
+          & ~F.coalesce(F.get(halves, 1).contains("::"), F.lit(False))
           & s.rlike("^[0-9a-f:]+$"))
     return F.when(ok, groups)
 
 
 def ipv6_key(ip) -> Column:
     """IPv6 text -> 32-char lowercase hex key (its 128-bit value); invalid -> NULL."""
-    groups = _ipv6_groups(ip)
-    return F.when(groups.isNotNull(),
-                  F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), ""))
+    return let(_ipv6_groups(ip), lambda groups: F.when(
+        groups.isNotNull(), F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")))
 
 
 def ip_to_int(ip) -> Column:
@@ -94,35 +103,37 @@ def ip_to_int(ip) -> Column:
 def ip_key(ip) -> Column:
     """Any address -> 32-char hex key of its integer value (IPv4 zero-extended);
     usable as one join key for both families."""
-    v4 = ipv4_to_int(ip)
-    return F.coalesce(F.when(v4.isNotNull(), F.lpad(F.lower(F.hex(v4)), 32, "0")), ipv6_key(ip))
+    return let(_c(ip), lambda s: let(ipv4_to_int(s), lambda v4: F.coalesce(
+        F.when(v4.isNotNull(), F.lpad(F.lower(F.hex(v4)), 32, "0")), ipv6_key(s))))
 
 
 def _in_v4_nets(value: Column) -> Column:
-    cond = F.lit(False)
-    for net in _V4_NETS:
-        lo, hi = int(net.network_address), int(net.broadcast_address)
-        cond = cond | value.between(F.lit(lo), F.lit(hi))
-    return cond
+    def test(v: Column) -> Column:
+        cond = F.lit(False)
+        for net in _V4_NETS:
+            lo, hi = int(net.network_address), int(net.broadcast_address)
+            cond = cond | v.between(F.lit(lo), F.lit(hi))
+        return cond
+    return let(value, test)
 
 
 def _in_v6_nets(key: Column) -> Column:
     # Every listed IPv6 prefix is at most /32: compare the leading 32 bits.
-    hi32 = F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint")
-    cond = F.lit(False)
-    for net in _V6_NETS:
-        drop = 32 - net.prefixlen
-        want = int(net.network_address) >> (128 - 32) >> drop
-        cond = cond | (F.shiftright(hi32, drop) == F.lit(want))
-    return cond
+    def test(hi32: Column) -> Column:
+        cond = F.lit(False)
+        for net in _V6_NETS:
+            drop = 32 - net.prefixlen
+            want = int(net.network_address) >> (128 - 32) >> drop
+            cond = cond | (F.shiftright(hi32, drop) == F.lit(want))
+        return cond
+    return let(F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint"), test)
 
 
 def is_private_ip(ip) -> Column:
     """TRUE for private/reserved addresses, FALSE for public ones and NULL
     input, NULL for text that is not an address."""
-    s = _c(ip)
-    v4 = ipv4_to_int(s)
-    v6 = ipv6_key(s)
-    return (F.when(s.isNull(), F.lit(False))
-            .when(v4.isNotNull(), _in_v4_nets(v4))
-            .when(v6.isNotNull(), _in_v6_nets(v6)))
+    def classify(s: Column) -> Column:
+        return let(ipv4_to_int(s), lambda v4: F.when(s.isNull(), F.lit(False))
+                   .when(v4.isNotNull(), _in_v4_nets(v4))
+                   .otherwise(let(ipv6_key(s), lambda v6: F.when(v6.isNotNull(), _in_v6_nets(v6)))))
+    return let(_c(ip), classify)

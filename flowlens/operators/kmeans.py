@@ -99,10 +99,13 @@ def lloyd_step(df: DataFrame, model, x: str = "scaled_features", dim: int = 7) -
 
 
 def train_kmeans(df: DataFrame, k: int, x: str = "scaled_features", n_init: int = 10,
-                 seed: int = 42, max_iter: int = 300, tol: float = 1e-4) -> tuple[DataFrame, float]:
+                 seed: int = 42, max_iter: int = 300, tol: float = 1e-4,
+                 parallelism: int = 8) -> tuple[DataFrame, float]:
     """Best of ``n_init`` distributed K-Means fits -> (center table, cost).
 
-    ``df`` should be cached by the caller when several k are tried."""
+    Restarts are independent Spark jobs submitted from ``parallelism`` driver
+    threads, so small fits overlap instead of queueing.  ``df`` should be
+    cached by the caller when several k are tried."""
     spark = df.sparkSession
     vec = df.select(array_to_vector(F.transform(F.col(x), lambda v: v.cast("double"))).alias("v"))
     if k == 1:
@@ -111,25 +114,61 @@ def train_kmeans(df: DataFrame, k: int, x: str = "scaled_features", n_init: int
                      *[a.alias(f"w{i}") for i, a in enumerate(inertia_one_cluster(x, dim))]).first()
         centers = [(0, [row[f"m{i}"] for i in range(dim)])]
         return spark.createDataFrame(centers, CENTERS_SCHEMA), float(sum(row[f"w{i}"] for i in range(dim)))
-    best = None
-    for r in range(n_init):
-        km = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="v")
-        m = km.fit(vec)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost)
-    model, cost = best
+    def fit_one(r: int):
+        m = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="v").fit(vec)
+        return m, m.summary.trainingCost
+
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as pool:
+        fits = list(pool.map(fit_one, range(n_init)))
+    model, cost = min(fits, key=lambda mc: mc[1])
     centers = [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
     return spark.createDataFrame(centers, CENTERS_SCHEMA), float(cost)
 
 
+ROWS_PER_TASK = 1_000_000
+
+
+def training_frame(df: DataFrame, x: str = "scaled_features") -> DataFrame:
+    """The vector column, cached, in partitions of up to ``ROWS_PER_TASK``
+    rows: an iteration of K-Means is one job, and on small inputs the cost
+    of a job is its task count, not its rows."""
+    n = df.count()
+    want = max(1, -(-n // ROWS_PER_TASK))
+    out = df.select(x)
+    if out.rdd.getNumPartitions() > want:
+        out = out.coalesce(want)
+    return out.persist()
+
+
 def elbow(df: DataFrame, ks=range(1, 10), x: str = "scaled_features", n_init: int = 10,
-          seed: int = 42) -> DataFrame:
+          seed: int = 42, parallelism: int = 16) -> DataFrame:
     """(k, inertia) for each k: the table behind the elbow choice."""
     spark: SparkSession = df.sparkSession
-    cached = df.select(x).persist()
+    cached = training_frame(df, x)
     try:
-        rows = [(int(k), train_kmeans(cached, int(k), x, n_init=n_init, seed=seed)[1]) for k in ks]
+        ks = [int(k) for k in ks]
+        rows = []
+        if 1 in ks:
+            rows.append((1, train_kmeans(cached, 1, x)[1]))
+        vec = cached.select(array_to_vector(F.transform(F.col(x), lambda v: v.cast("double"))).alias("v"))
+        vec = vec.persist()
+        # Every (k, restart) fit is an independent job: one shared pool packs
+        # them onto the cores instead of waiting for the slowest fit of each k.
+        jobs = [(k, r) for k in ks if k > 1 for r in range(n_init)]
+
+        def fit_one(job):
+            k, r = job
+            m = KMeans(k=k, seed=seed + r, maxIter=300, tol=1e-4, featuresCol="v").fit(vec)
+            return k, m.summary.trainingCost
+
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            costs = list(pool.map(fit_one, jobs))
+        vec.unpersist()
+        for k in ks:
+            if k > 1:
+                rows.append((k, min(c for kk, c in costs if kk == k)))
     finally:
         cached.unpersist()
-    return spark.createDataFrame(rows, "k int, inertia double")
+    return spark.createDataFrame(sorted(rows), "k int, inertia double")

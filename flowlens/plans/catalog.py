@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from ..functions import ip as ipf
 from ..functions import parse, protocol
 from ..functions.geo import geo_object_json
-from ..operators import decode, enrich, features, kmeans, sampling, windows
+from ..operators import decode, enrich, features, iforest, kmeans, sampling, windows
 from pyspark.sql import types as T
 
-from ..schema import FEATURES, PACKET_CSV
+from ..schema import FEATURES, PACKET_CSV, WINDOW_FEATURES
 from ..session import prepare, scratch_path
 from ..sources import files, sinks
 from ..streaming import jobs
@@ -426,6 +426,44 @@ def q_stream_joinback(spark, sf):
     return j.select("packet_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
 
 
+# ---------------------------------------------------------------- training
+
+def q_kmeans_train(spark, sf):
+    """Elbow table: best-of-10 K-Means inertia for k = 1..9 over the scaled
+    packet features (k = 1 in closed form)."""
+    feat = _featured(spark, sf)
+    params = features.scaler_params(features.fit_scaler(feat))
+    scaled = features.scale(feat, params).select(
+        F.transform("scaled_features", lambda v: v.cast("double")).alias("scaled_features"))
+    return kmeans.elbow(scaled, range(1, 10)).select("k", rnd("inertia").alias("inertia"))
+
+
+IFOREST_WINDOW = "1 minute"
+
+
+def iforest_frame(spark, sf) -> DataFrame:
+    """Training frame of the forest: every packet with the features of its
+    1-minute window per (source address, stack), joined back left."""
+    t = _timed(spark, sf)
+    g = windows.window_features(t, "frame_time", IFOREST_WINDOW, keys=["ip_src", "frame_protocols"])
+    return windows.join_back(t, g, "frame_time", IFOREST_WINDOW,
+                             keys=[("ip_src", "ip_src"), ("frame_protocols", "frame_protocols")], how="left")
+
+
+def q_iforest_score(spark, sf):
+    """Forest fitted on a 70 % md5 split of the window features, held-out 30 %
+    scored and labelled at the training 90th percentile."""
+    j = iforest_frame(spark, sf).withColumn(
+        "part", sampling.md5_split_column("packet_id", [0.7, 0.3], ["train", "test"], seed=5043))
+    train, test = j.filter(F.col("part") == "train"), j.filter(F.col("part") == "test")
+    nodes, psi = iforest.fit(train, WINDOW_FEATURES, key="packet_id", n_trees=100, max_samples=256, seed=1)
+    model = iforest.ForestModel(nodes, psi)
+    cut = iforest.threshold(iforest.score(train, model, WINDOW_FEATURES), 0.1)
+    scored = iforest.label(iforest.score(test, model, WINDOW_FEATURES), cut)
+    return scored.select("packet_id", F.col("frame_time").cast("timestamp_ntz").alias("frame_time"),
+                         rnd("anomaly_score").alias("score"), F.col("anomaly").alias("label"))
+
+
 QUERIES = {
     "packet_base": q_packet_base,
     "transport_filter": q_transport_filter,
@@ -460,4 +498,6 @@ QUERIES = {
     "stream_score": q_stream_score,
     "stream_window": q_stream_window,
     "stream_joinback": q_stream_joinback,
+    "kmeans_train": q_kmeans_train,
+    "iforest_score": q_iforest_score,
 }
