@@ -19,7 +19,7 @@ from ..functions.geo import geo_object_json
 from ..operators import decode, enrich, features, iforest, kmeans, sampling, windows
 from pyspark.sql import types as T
 
-from ..schema import FEATURES, PACKET_CSV, WINDOW_FEATURES
+from ..schema import FEATURES, PACKET_CSV, SCORING_PACKET, WINDOW_FEATURES
 from ..session import prepare, scratch_path
 from ..sources import files, sinks
 from ..streaming import jobs
@@ -395,7 +395,7 @@ def q_stream_score(spark, sf):
     scaler = sinks.load_model_table(spark, f"{models}/scaler")
     centers = sinks.load_model_table(spark, f"{models}/kmeans")
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    stream = files.stream_packets_ndjson(spark, in_dir, max_files_per_trigger=1)
+    stream = files.stream_packets_ndjson(spark, in_dir, SCORING_PACKET, max_files_per_trigger=1)
     q = jobs.start_scoring(stream, _ranges(spark, sf), scaler, centers, out, ckpt, available_now=True)
     q.awaitTermination()
     return flatten_scored(jobs.read_batches(spark, out))
