@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,42 +48,64 @@ def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFra
     return df.randomSplit(weights, seed)
 
 
-def _value_at_rank(x: DataFrame, rank: int, lo: float, hi: float, below: int,
-                   buckets: int, band_rows: int) -> float:
-    """Value of 0-based ``rank`` given it lies in [lo, hi] and ``below`` rows are < lo."""
-    while True:
-        band = x.filter(F.col("x").between(F.lit(lo), F.lit(hi)))
+def _values_at_ranks(x: DataFrame, ranks: list[int], lo: float, hi: float, below: int,
+                     buckets: int, band_rows: int) -> dict[int, float]:
+    """Values at 0-based ``ranks`` (adjacent ranks share every pass), given
+    they lie in [lo, hi] and ``below`` rows are < lo."""
+    out: dict[int, float] = {}
+    todo = sorted(set(ranks))
+    while todo:
         if lo == hi:
-            return lo
+            out.update({r: lo for r in todo})
+            return out
+        band = x.filter(F.col("x").between(F.lit(lo), F.lit(hi)))
         cnt = band.count()
         if cnt <= band_rows:
             vals = [r["x"] for r in band.orderBy("x").collect()]
-            return vals[rank - below]
+            out.update({r: vals[r - below] for r in todo})
+            return out
         width = (hi - lo) / buckets
         b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
         hist = band.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n"),
                                              F.min("x").alias("mn"), F.max("x").alias("mx"))
         rows = sorted(hist.collect(), key=lambda r: r["b"])
+        # Bucket of the first pending rank; ranks falling in other buckets are
+        # resolved by their own narrowing below.
+        seen = below
+        target = None
         for r in rows:
-            if rank - below < r["n"]:
-                lo, hi = r["mn"], r["mx"]
+            if todo[0] - seen < r["n"]:
+                target = (r, seen)
                 break
-            below += r["n"]
-        else:  # pragma: no cover - rank beyond the data
+            seen += r["n"]
+        if target is None:  # pragma: no cover - rank beyond the data
             raise ValueError("rank out of range")
+        r, seen = target
+        inside = [k for k in todo if k - seen < r["n"]]
+        rest = [k for k in todo if k not in inside]
+        if rest:
+            out.update(_values_at_ranks(x, rest, lo, hi, below, buckets, band_rows))
+        todo, lo, hi, below = inside, r["mn"], r["mx"], seen
+    return out
 
 
 def exact_percentile(df: DataFrame, col: str, p: float, buckets: int = 1024,
                      band_rows: int = 200_000) -> float | None:
     """Exact percentile with linear interpolation between closest ranks (the
-    definition of SQL ``percentile``/``quantile_cont``); NULLs ignored."""
+    definition of SQL ``percentile``/``quantile_cont``); NULLs ignored.
+
+    The value column is persisted for the duration of the search (a few
+    passes over one DOUBLE column)."""
     x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    st = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).first()
-    n = st["n"]
-    if not n:
-        return None
-    pos = p * (n - 1)
-    r_lo, r_hi = math.floor(pos), math.ceil(pos)
-    v_lo = _value_at_rank(x, r_lo, st["mn"], st["mx"], 0, buckets, band_rows)
-    v_hi = v_lo if r_hi == r_lo else _value_at_rank(x, r_hi, st["mn"], st["mx"], 0, buckets, band_rows)
-    return v_lo + (pos - r_lo) * (v_hi - v_lo)
+    x = x.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        st = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).first()
+        n = st["n"]
+        if not n:
+            return None
+        pos = p * (n - 1)
+        r_lo, r_hi = math.floor(pos), math.ceil(pos)
+        vals = _values_at_ranks(x, [r_lo, r_hi], st["mn"], st["mx"], 0, buckets, band_rows)
+        return vals[r_lo] + (pos - r_lo) * (vals[r_hi] - vals[r_lo])
+    finally:
+        x.unpersist()

@@ -20,7 +20,7 @@ from ..operators import decode, enrich, features, iforest, kmeans, sampling, win
 from pyspark.sql import types as T
 
 from ..schema import FEATURES, PACKET_CSV, SCORING_PACKET, WINDOW_FEATURES
-from ..session import prepare, scratch_path
+from ..session import materialize, prepare, scratch_path
 from ..sources import files, sinks
 from ..streaming import jobs
 from ..sources.testdata import geo_range_dimension, packets, read_table, reputation_dimension
@@ -213,8 +213,8 @@ def q_lloyd_step(spark, sf):
 
 def q_score_percentile(spark, sf):
     scaled, _ = _scaled(spark, sf)
-    dist = kmeans.assign(scaled, _centers(scaled)).select(
-        F.col("prediction.distance").cast("double").alias("d"))
+    dist = materialize(kmeans.assign(scaled, _centers(scaled)).select(
+        F.col("prediction.distance").cast("double").alias("d")))
     cut = sampling.exact_percentile(dist, "d", 0.9)
     flagged = dist.filter(F.col("d") > F.lit(cut)).agg(F.count(F.lit(1)).alias("flagged"))
     return flagged.select(rnd(F.lit(cut)).alias("cut"), "flagged")
@@ -453,8 +453,9 @@ def iforest_frame(spark, sf) -> DataFrame:
 def q_iforest_score(spark, sf):
     """Forest fitted on a 70 % md5 split of the window features, held-out 30 %
     scored and labelled at the training 90th percentile."""
-    j = iforest_frame(spark, sf).withColumn(
-        "part", sampling.md5_split_column("packet_id", [0.7, 0.3], ["train", "test"], seed=5043))
+    j = materialize(iforest_frame(spark, sf).select(
+        "packet_id", "frame_time", *WINDOW_FEATURES,
+        sampling.md5_split_column("packet_id", [0.7, 0.3], ["train", "test"], seed=5043).alias("part")))
     train, test = j.filter(F.col("part") == "train"), j.filter(F.col("part") == "test")
     nodes, psi = iforest.fit(train, WINDOW_FEATURES, key="packet_id", n_trees=100, max_samples=256, seed=1)
     model = iforest.ForestModel(nodes, psi)

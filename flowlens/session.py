@@ -88,3 +88,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" in root:
         return root.rstrip("/") + "/" + sub
     return os.path.join(root, sub)
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` once to the shared checkpoint folder and read
+    it back.  For intermediates that several passes reuse (model fitting,
+    quantile search): a lost executor then re-reads files instead of
+    recomputing the shuffles that produced them."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
