@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import parse
+from ..functions.protocol import resolve_protocol
 from ..operators import decode, windows
 from ..plans import live
 from ..sources import sinks
@@ -68,16 +69,20 @@ def start_scoring(stream: DataFrame, geo_ranges: DataFrame, scaler, centers, out
     return _writer(scored, checkpoint, available_now, trigger_seconds).foreachBatch(run).start()
 
 
-def timed_stream(stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+def timed_stream(stream: DataFrame, watermark: str = WATERMARK, with_protocol: bool = False) -> DataFrame:
     """Transport packets with event time (TIMESTAMP) and lengths, watermarked once
-    so that every stateful operator downstream shares the same bound."""
-    df = decode.keep_transport(with_packet_id(stream)).select(
+    so that every stateful operator downstream shares the same bound.  With
+    ``with_protocol`` also the port-based application protocol."""
+    base = decode.base_columns(decode.keep_transport(with_packet_id(stream)))
+    extra = [resolve_protocol(F.lit(None).cast("string"), F.col("src_port"), F.col("dst_port"))
+             .alias("application_protocol")] if with_protocol else []
+    df = base.select(
         "packet_id",
         parse.iso_nanos_to_time("layers.frame.frame_frame_time").alias("frame_time"),
         F.col("layers.ip.ip_ip_src").alias("ip_src"),
         F.col("layers.frame.frame_frame_protocols").alias("frame_protocols"),
         parse.try_int("layers.ip.ip_ip_len").alias("ip_len"),
-        parse.try_int("layers.frame.frame_frame_len").alias("frame_len"))
+        parse.try_int("layers.frame.frame_frame_len").alias("frame_len"), *extra)
     return df.withWatermark("frame_time", watermark)
 
 
@@ -114,6 +119,45 @@ def start_joinback(stream: DataFrame, out_path: str, checkpoint: str, length: st
     return w.foreachBatch(sinks.multi_sink(sinks.parquet_batch_sink(out_path))).start()
 
 
+def start_forest_scoring(stream: DataFrame, model, cut: float, out_path: str, checkpoint: str,
+                         length: str = "15 seconds", slide: str | None = "5 seconds",
+                         watermark: str = WATERMARK, include_end: bool = True, available_now: bool = False,
+                         trigger_seconds: int | None = None) -> StreamingQuery:
+    """Sliding windows per protocol stack, rows with a NULL feature skipped,
+    scored by the forest (pandas UDF, stateless after the aggregate), labelled
+    at ``cut`` and joined back to the packets of each closed window."""
+    from ..operators import iforest
+    from ..schema import WINDOW_FEATURES
+    t = timed_stream(stream, watermark, with_protocol=True)
+    g = windows.window_features(t, "frame_time", length, slide, ["frame_protocols"])
+    g = g.na.drop(subset=WINDOW_FEATURES)
+    g = g.select(F.col("frame_protocols").alias("w_protocols"),
+                 F.unix_micros(F.col("time_window.start")).alias("w_start_us"),
+                 iforest.score_column(model, WINDOW_FEATURES).alias("anomaly_score"))
+    g = iforest.label(g, cut)
+    length_us = windows.parse_duration_us(length)
+    slide_us = windows.parse_duration_us(slide) if slide else length_us
+    p = t.withColumn("_c", F.explode(windows.candidate_starts("frame_time", length_us, slide_us, include_end)))
+    p = p.select("packet_id", "frame_time", "frame_protocols", "application_protocol",
+                 F.col("_c.start_us").alias("p_start_us"))
+    j = p.join(g, (p["frame_protocols"] == g["w_protocols"]) & (p["p_start_us"] == g["w_start_us"]), "inner")
+    out = j.select("packet_id", "application_protocol", "frame_time", "anomaly_score", "anomaly",
+                   F.timestamp_micros("p_start_us").alias("start"))
+    w = _writer(out, checkpoint, available_now, trigger_seconds).outputMode("append")
+    return w.foreachBatch(sinks.multi_sink(sinks.parquet_batch_sink(out_path))).start()
+
+
+def run_all(queries: list[StreamingQuery], timeout: float | None = None) -> None:
+    """Wait for several streaming queries; the first failure is raised."""
+    if not queries:
+        return
+    spark = queries[0].sparkSession
+    spark.streams.awaitAnyTermination(timeout)
+    for q in queries:
+        if q.exception():
+            raise q.exception()
+
+
 def read_batches(spark, path: str) -> DataFrame:
     """Everything a batch sink wrote (all micro-batches)."""
     return spark.read.parquet(path).drop("batch_id")
