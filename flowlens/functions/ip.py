@@ -48,12 +48,13 @@ def _c(x) -> Column:
 
 def ipv4_to_int(ip) -> Column:
     """Dotted IPv4 text -> BIGINT; anything that is not a strict dotted quad -> NULL."""
-    def conv(s: Column) -> Column:
-        parts = F.split(s, r"\.")
-        value = F.aggregate(parts, F.lit(0).cast("bigint"),
-                            lambda acc, p: acc * F.lit(256) + p.cast("bigint"))
-        return F.when(s.rlike(IPV4_RE), value)
-    return let(_c(ip), conv)
+    s = _c(ip)
+    parts = F.split(s, r"\.", 4)
+    value = None
+    for i in range(4):
+        octet = F.get(parts, i).cast("bigint") * F.lit(256 ** (3 - i))
+        value = octet if value is None else value + octet
+    return F.when(s.rlike(IPV4_RE), value)
 
 
 def _ipv6_groups(ip) -> Column:

@@ -50,14 +50,14 @@ def prefixed_int(x: ColumnOrName) -> Column:
     ``"1_000"`` -> 1000, ``"007"`` / ``"abc"`` / NULL -> NULL.  Surrounding
     blanks are ignored; values outside INT range are NULL.
 
-    Canonical decimal text (what the integer prints back as) takes the
-    fast path; everything else goes through :func:`_prefixed_int_slow`.
+    Canonical decimal text (what the integer prints back as) is handled by
+    compiled expressions; only other text reaches :func:`_prefixed_int_slow`,
+    bound once through :func:`let`.
     """
-    def parse(s: Column) -> Column:
-        fast = s.try_cast("int")
-        canonical = fast.isNotNull() & (fast.cast("string") == s)
-        return F.when(canonical, fast).otherwise(let(s, _prefixed_int_slow))
-    return let(F.trim(_c(x)), parse)
+    s = F.trim(_c(x))
+    fast = s.try_cast("int")
+    canonical = fast.isNotNull() & (fast.cast("string") == s)
+    return F.when(canonical, fast).otherwise(let(s, _prefixed_int_slow))
 
 
 def _prefixed_int_slow(s: Column) -> Column:

@@ -26,6 +26,22 @@ def euclidean(x, c) -> Column:
     return F.sqrt(squared_distance(x, c))
 
 
+def nearest_constant_center(x, centers: list[tuple[int, list[float]]]) -> Column:
+    """``struct<distance double, cluster int>`` of the nearest of constant
+    ``centers`` [(cluster, vector)], unrolled into plain arithmetic so it
+    compiles with the rest of the stage (k and the dimension are small
+    model constants).  Ties go to the lowest cluster id."""
+    xs = [F.get(_c(x), i).cast("double") for i in range(len(centers[0][1]))]
+    cands = []
+    for cluster, vec in sorted(centers):
+        sq = None
+        for xi, ci in zip(xs, vec):
+            d = (xi - F.lit(float(ci))) * (xi - F.lit(float(ci)))
+            sq = d if sq is None else sq + d
+        cands.append(F.struct(F.sqrt(sq).alias("distance"), F.lit(int(cluster)).alias("cluster")))
+    return F.array_min(F.array(*cands))
+
+
 def nearest_centroid(x, centers) -> Column:
     """``struct<distance double, cluster int>`` of the nearest center.
 

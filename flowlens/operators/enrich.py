@@ -47,20 +47,30 @@ def distinct_addresses(df: DataFrame, cols=("ip_src", "ip_dst")) -> DataFrame:
     return out.filter(F.col("ip").isNotNull()).distinct()
 
 
+def bucket_ranges(ranges: DataFrame, broadcast_ranges: bool = True) -> DataFrame:
+    """Range table exploded to the /16 buckets each range covers (column
+    ``_bucket``), broadcast-hinted when its size check passes.  Build it once
+    and reuse it for several lookups."""
+    if "_bucket" in ranges.columns:
+        return ranges
+    shift = BUCKET_BITS
+    bucketed = ranges.select(
+        "*", F.explode(F.sequence(F.shiftright("ip_start", shift), F.shiftright("ip_end", shift)))
+        .alias("_bucket"))
+    return bounded_broadcast(bucketed) if broadcast_ranges else bucketed
+
+
 def range_lookup(keys: DataFrame, ranges: DataFrame, key_int: str = "ip_int",
                  broadcast_ranges: bool = True) -> DataFrame:
     """Join integer keys to ``[ip_start, ip_end]`` ranges via /16 buckets.
 
     Ranges are assumed not to overlap (as in geo databases); a key matches at
-    most one range.  Returns ``keys`` columns plus the range attributes
-    (left join: unmatched keys keep NULL attributes)."""
-    attrs = [c for c in ranges.columns if c not in ("ip_start", "ip_end")]
+    most one range.  ``ranges`` may be raw or already bucketed
+    (:func:`bucket_ranges`).  Returns ``keys`` columns plus the range
+    attributes (left join: unmatched keys keep NULL attributes)."""
+    attrs = [c for c in ranges.columns if c not in ("ip_start", "ip_end", "_bucket")]
     shift = BUCKET_BITS
-    bucketed = ranges.select(
-        "*", F.explode(F.sequence(F.shiftright("ip_start", shift), F.shiftright("ip_end", shift)))
-        .alias("_bucket"))
-    if broadcast_ranges:
-        bucketed = bounded_broadcast(bucketed)
+    bucketed = bucket_ranges(ranges, broadcast_ranges)
     k = keys.withColumn("_bucket", F.shiftright(F.col(key_int), shift))
     cond = ((k["_bucket"] == bucketed["_bucket"])
             & k[key_int].between(bucketed["ip_start"], bucketed["ip_end"]))
@@ -107,8 +117,10 @@ def geo_enrich_range(df: DataFrame, ranges: DataFrame, ip: str = "ip_dst", prefi
                      local_ips=(LOCAL_IP, LOOPBACK)) -> DataFrame:
     """Range form for one address column: ``<prefix>_city``, lon, lat."""
     keyed = df.withColumn("_ip_int", ipv4_to_int(ip))
-    r = ranges.select("ip_start", "ip_end", F.col("city").alias("_city"),
-                      F.col("lon").alias("_lon"), F.col("lat").alias("_lat"))
+    cols = ["ip_start", "ip_end", "city", "lon", "lat"] + (["_bucket"] if "_bucket" in ranges.columns else [])
+    r = bucket_ranges(ranges.select(*cols))
+    r = r.select("ip_start", "ip_end", "_bucket", F.col("city").alias("_city"),
+                 F.col("lon").alias("_lon"), F.col("lat").alias("_lat"))
     joined = range_lookup(keyed, r, key_int="_ip_int")
     city, point = _geo_side(F.col(ip), F.col("_city"), F.col("_lon"), F.col("_lat"), local_ips)
     return joined.withColumns({f"{prefix}_city": city, f"{prefix}_coordinates": point}).drop(

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vector import nearest_centroid, squared_distance
+from ..functions.vector import nearest_constant_center
 from .features import collect_bounded
 
 MAX_K = 1000
@@ -49,7 +49,7 @@ def assign(df: DataFrame, model, x: str = "scaled_features", out: str = "predict
 
     The distance is computed in DOUBLE, ties go to the lowest cluster id,
     and the result is stored as FLOAT (the scored-document type)."""
-    best = nearest_centroid(F.col(x), centers_literal(_centers(model)))
+    best = nearest_constant_center(F.col(x), _centers(model))
     return df.withColumn(out, F.struct(best["cluster"].alias("cluster"),
                                        best["distance"].cast("float").alias("distance")))
 
@@ -79,7 +79,7 @@ def centroids_by_group(df: DataFrame, group: str, x: str = "scaled_features",
 
 def inertia(df: DataFrame, model, x: str = "scaled_features") -> Column:
     """Aggregate expression: sum of squared distances to the nearest center."""
-    best = nearest_centroid(F.col(x), centers_literal(_centers(model)))
+    best = nearest_constant_center(F.col(x), _centers(model))
     return F.sum(best["distance"] * best["distance"])
 
 
