@@ -396,7 +396,8 @@ def q_stream_score(spark, sf):
     centers = sinks.load_model_table(spark, f"{models}/kmeans")
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     stream = files.stream_packets_ndjson(spark, in_dir, SCORING_PACKET, max_files_per_trigger=1)
-    q = jobs.start_scoring(stream, _ranges(spark, sf), scaler, centers, out, ckpt, available_now=True)
+    q = jobs.start_scoring(stream, _ranges(spark, sf), scaler, centers, out, ckpt, available_now=True,
+                           spread=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return flatten_scored(jobs.read_batches(spark, out))
 

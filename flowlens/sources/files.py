@@ -96,14 +96,24 @@ def read_packets_text(spark: SparkSession, path: str, schema: T.StructType = PAC
 
 
 def stream_packets_kafka(spark: SparkSession, servers: str, topic: str = "packets",
-                         schema: T.StructType = PACKET, starting_offsets: str = "latest") -> DataFrame:
+                         schema: T.StructType = PACKET, starting_offsets: str = "latest",
+                         min_partitions: int | None = None,
+                         max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Kafka topic of packet JSON -> decoded packets, keeping the broker
-    timestamp as ``kafka_timestamp`` (needs the Kafka connector package)."""
-    raw = (spark.readStream.format("kafka")
-           .option("kafka.bootstrap.servers", servers)
-           .option("subscribe", topic)
-           .option("startingOffsets", starting_offsets)
-           .load())
+    timestamp as ``kafka_timestamp`` (needs the Kafka connector package).
+
+    ``min_partitions`` splits topic partitions into more Spark tasks without
+    a shuffle (a one-partition topic would otherwise be one task);
+    ``max_offsets_per_trigger`` bounds a micro-batch."""
+    reader = (spark.readStream.format("kafka")
+              .option("kafka.bootstrap.servers", servers)
+              .option("subscribe", topic)
+              .option("startingOffsets", starting_offsets))
+    if min_partitions:
+        reader = reader.option("minPartitions", min_partitions)
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    raw = reader.load()
     raw = raw.select(F.col("value").cast("string").alias("value"),
                      F.col("timestamp").alias("kafka_timestamp"))
     return decode_packets(raw, "value", schema, keep=("kafka_timestamp",))

@@ -74,7 +74,11 @@ def console_batch_sink(n: int = 20) -> BatchSink:
 
 
 def multi_sink(*sinks: BatchSink) -> BatchSink:
-    """One ``foreachBatch`` function feeding several sinks from one persisted batch."""
+    """One ``foreachBatch`` function feeding several sinks from one persisted batch
+    (a single sink reads the batch directly)."""
+    if len(sinks) == 1:
+        return sinks[0]
+
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:

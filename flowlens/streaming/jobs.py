@@ -10,7 +10,11 @@ a restarted query resumes from its last committed micro-batch:
   in append mode (a window is emitted once the watermark passes its end).
 * ``start_joinback``: the window aggregate joined back to the packets in
   the same query (stream-stream join on the protocol stack and the window
-  start, carried as BIGINT microseconds on both sides).
+  start, carried as BIGINT microseconds on both sides).  The join also
+  states the time range a packet can have relative to its window's event
+  time (``window_time``), which the equi-keys already imply; with it Spark
+  evicts join state once the watermark passes, so state stays bounded by
+  the window length instead of growing with the stream.
 
 One checkpoint folder per query, under the shared checkpoint root.
 """
@@ -46,9 +50,18 @@ def with_packet_id(df: DataFrame) -> DataFrame:
 def start_scoring(stream: DataFrame, geo_ranges: DataFrame, scaler, centers, out_path: str,
                   checkpoint: str, quarantine_path: str | None = None, threshold: float = 2.6,
                   console: bool = False, available_now: bool = False,
-                  trigger_seconds: int | None = None) -> StreamingQuery:
-    """Score a packet stream; scored rows (and quarantined rows) written per micro-batch."""
-    scored, bad = live.score_packets(with_packet_id(stream), geo_ranges, scaler, centers, threshold,
+                  trigger_seconds: int | None = None, spread: int | None = None) -> StreamingQuery:
+    """Score a packet stream; scored rows (and quarantined rows) written per micro-batch.
+
+    ``spread``: spread each micro-batch over this many tasks before scoring,
+    for sources that deliver few partitions per batch (small files, a
+    single-partition topic).  Scoring is map-only, so this is the only
+    shuffle; leave it unset when the source is already split finely (or use
+    the Kafka source's ``minPartitions``)."""
+    packets = with_packet_id(stream)
+    if spread:
+        packets = packets.repartition(spread)
+    scored, bad = live.score_packets(packets, geo_ranges, scaler, centers, threshold,
                                      keep=("packet_id",))
     targets = [sinks.parquet_batch_sink(out_path)]
     if console:
@@ -96,6 +109,17 @@ def start_window_features(stream: DataFrame, out_path: str, checkpoint: str, len
     return w.foreachBatch(sinks.multi_sink(sinks.parquet_batch_sink(out_path))).start()
 
 
+def _bounded_join(p: DataFrame, g: DataFrame, length_us: int) -> DataFrame:
+    """Equi-join on (stack, window start) plus the implied event-time range
+    ``window_time - length <= frame_time <= window_time + 1 s`` (the end is
+    inclusive), so both sides' state can be evicted by the watermark."""
+    span = F.expr(f"INTERVAL {length_us} MICROSECONDS")
+    cond = ((p["frame_protocols"] == g["w_protocols"]) & (p["p_start_us"] == g["w_start_us"])
+            & (p["frame_time"] >= g["w_time"] - span)
+            & (p["frame_time"] <= g["w_time"] + F.expr("INTERVAL 1 SECOND")))
+    return p.join(g, cond, "inner")
+
+
 def start_joinback(stream: DataFrame, out_path: str, checkpoint: str, length: str = "15 seconds",
                    slide: str | None = "5 seconds", watermark: str = WATERMARK,
                    include_end: bool = True, available_now: bool = False,
@@ -105,14 +129,14 @@ def start_joinback(stream: DataFrame, out_path: str, checkpoint: str, length: st
     g = windows.window_features(t, "frame_time", length, slide, ["frame_protocols"])
     g = g.select(F.col("frame_protocols").alias("w_protocols"),
                  F.unix_micros(F.col("time_window.start")).alias("w_start_us"),
-                 F.col("time_window").alias("w_window"),
+                 F.window_time("time_window").alias("w_time"),
                  "count", "ip_avg_len", "frame_avg_len", "ip_local_anomaly", "frame_local_anomaly")
     g = g.na.drop(subset=["ip_avg_len", "frame_avg_len", "ip_local_anomaly", "frame_local_anomaly"])
     length_us = windows.parse_duration_us(length)
     slide_us = windows.parse_duration_us(slide) if slide else length_us
     p = t.withColumn("_c", F.explode(windows.candidate_starts("frame_time", length_us, slide_us, include_end)))
     p = p.select("packet_id", "frame_time", "frame_protocols", F.col("_c.start_us").alias("p_start_us"))
-    j = p.join(g, (p["frame_protocols"] == g["w_protocols"]) & (p["p_start_us"] == g["w_start_us"]), "inner")
+    j = _bounded_join(p, g, length_us)
     out = j.select("packet_id", F.timestamp_micros("p_start_us").alias("start"), F.col("count").alias("n"),
                    "frame_protocols", "ip_local_anomaly", "frame_local_anomaly")
     w = _writer(out, checkpoint, available_now, trigger_seconds).outputMode("append")
@@ -133,6 +157,7 @@ def start_forest_scoring(stream: DataFrame, model, cut: float, out_path: str, ch
     g = g.na.drop(subset=WINDOW_FEATURES)
     g = g.select(F.col("frame_protocols").alias("w_protocols"),
                  F.unix_micros(F.col("time_window.start")).alias("w_start_us"),
+                 F.window_time("time_window").alias("w_time"),
                  iforest.score_column(model, WINDOW_FEATURES).alias("anomaly_score"))
     g = iforest.label(g, cut)
     length_us = windows.parse_duration_us(length)
@@ -140,7 +165,7 @@ def start_forest_scoring(stream: DataFrame, model, cut: float, out_path: str, ch
     p = t.withColumn("_c", F.explode(windows.candidate_starts("frame_time", length_us, slide_us, include_end)))
     p = p.select("packet_id", "frame_time", "frame_protocols", "application_protocol",
                  F.col("_c.start_us").alias("p_start_us"))
-    j = p.join(g, (p["frame_protocols"] == g["w_protocols"]) & (p["p_start_us"] == g["w_start_us"]), "inner")
+    j = _bounded_join(p, g, length_us)
     out = j.select("packet_id", "application_protocol", "frame_time", "anomaly_score", "anomaly",
                    F.timestamp_micros("p_start_us").alias("start"))
     w = _writer(out, checkpoint, available_now, trigger_seconds).outputMode("append")

@@ -83,3 +83,15 @@ def test_joinback_stream_matches_batch(spark, sf_small):
     # every streamed pair is a batch pair of a closed window
     b = C.q_window_joinback_inner(spark, sf_small)
     assert s.subtract(b.select("packet_id", "start", "n")).count() == 0
+
+
+def test_joinback_state_is_evicted(spark, sf_small):
+    src = C._stage_stream_input(spark, sf_small)
+    out, ckpt = scratch_path(spark, "ev-out"), scratch_path(spark, "ev-ckpt")
+    q = jobs.start_joinback(files.stream_packets_ndjson(spark, src), out, ckpt, "1 hour", "20 minutes",
+                            available_now=True)
+    q.awaitTermination()
+    joins = [op for p in q.recentProgress for op in p.get("stateOperators", [])
+             if op.get("operatorName") == "symmetricHashJoin"]
+    assert joins and sum(op.get("numRowsRemoved", 0) for op in joins) > 0
+    assert joins[-1]["numRowsTotal"] < max(op["numRowsTotal"] for op in joins)
