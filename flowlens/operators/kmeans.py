@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vector import nearest_constant_center
+from ..functions.vector import nearest_centroid, nearest_constant_center
 from .features import collect_bounded
 
 MAX_K = 1000
@@ -44,12 +44,24 @@ def _centers(model) -> list[tuple[int, list[float]]]:
     return model if isinstance(model, list) else centers_from_table(model)
 
 
+UNROLL_LIMIT = 128
+
+
+def _nearest(x: str, centers: list[tuple[int, list[float]]]) -> Column:
+    """Nearest-center expression: unrolled arithmetic for small models (fully
+    compiled), one array expression over the constant centers beyond
+    ``UNROLL_LIMIT`` center coordinates (keeps the generated code small)."""
+    if len(centers) * len(centers[0][1]) <= UNROLL_LIMIT:
+        return nearest_constant_center(F.col(x), centers)
+    return nearest_centroid(F.col(x), centers_literal(centers))
+
+
 def assign(df: DataFrame, model, x: str = "scaled_features", out: str = "prediction") -> DataFrame:
     """Add ``struct<cluster int, distance float>`` of the nearest center.
 
     The distance is computed in DOUBLE, ties go to the lowest cluster id,
     and the result is stored as FLOAT (the scored-document type)."""
-    best = nearest_constant_center(F.col(x), _centers(model))
+    best = _nearest(x, _centers(model))
     return df.withColumn(out, F.struct(best["cluster"].alias("cluster"),
                                        best["distance"].cast("float").alias("distance")))
 
@@ -79,7 +91,7 @@ def centroids_by_group(df: DataFrame, group: str, x: str = "scaled_features",
 
 def inertia(df: DataFrame, model, x: str = "scaled_features") -> Column:
     """Aggregate expression: sum of squared distances to the nearest center."""
-    best = nearest_constant_center(F.col(x), _centers(model))
+    best = _nearest(x, _centers(model))
     return F.sum(best["distance"] * best["distance"])
 
 

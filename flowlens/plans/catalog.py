@@ -226,6 +226,19 @@ def q_split_md5(spark, sf):
     return df.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def q_embedding_kmeans(spark, sf):
+    """Second K-Means workload: 64-dimensional embeddings assigned to the
+    mean embedding of each label (10 centers, numbered in label order)."""
+    prepare(spark)
+    emb = read_table(spark, sf, "embeddings", key="vec_id")
+    x = emb.select("vec_id", "label", F.transform("embedding", lambda v: v.cast("double")).alias("x"))
+    dim = len(x.select("x").first()["x"])
+    centers = kmeans.centers_from_table(kmeans.centroids_by_group(x, "label", x="x", dim=dim))
+    out = kmeans.assign(x, centers, x="x")
+    return out.select("vec_id", F.col("prediction.cluster").alias("cluster"),
+                      rnd("prediction.distance").alias("distance"))
+
+
 # ------------------------------------------------------------ live scoring
 
 def q_live_score(spark, sf):
@@ -489,6 +502,7 @@ QUERIES = {
     "lloyd_step": q_lloyd_step,
     "score_percentile": q_score_percentile,
     "split_md5": q_split_md5,
+    "embedding_kmeans": q_embedding_kmeans,
     "live_score": q_live_score,
     "window_tumbling": q_window_tumbling,
     "window_sliding": q_window_sliding,
