@@ -127,9 +127,18 @@ def geo_enrich_range(df: DataFrame, ranges: DataFrame, ip: str = "ip_dst", prefi
         "_ip_int", "_city", "_lon", "_lat")
 
 
-def resolve_addresses(df: DataFrame, ranges: DataFrame, cols=("ip_src", "ip_dst")) -> DataFrame:
-    """Memoised lookup: distinct addresses of ``df`` resolved once."""
-    return exact_geo_from_ranges(distinct_addresses(df, cols), ranges)
+def resolve_addresses(df: DataFrame, ranges: DataFrame, cols=("ip_src", "ip_dst"),
+                      checkpoint: bool = True) -> DataFrame:
+    """Memoised lookup: distinct addresses of ``df`` resolved once.
+
+    The resolved table is read three times (size check, source join,
+    destination join), so by default it is written once to the shared
+    checkpoint folder instead of recomputing the distinct each time."""
+    resolved = exact_geo_from_ranges(distinct_addresses(df, cols), ranges)
+    if checkpoint:
+        from ..session import materialize
+        resolved = materialize(resolved)
+    return resolved
 
 
 THREAT_SCORE_CUT = 50
