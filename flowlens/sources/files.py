@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,14 +153,18 @@ def write_delimited_lines(lines: DataFrame, columns: list[str], path: str, sep:
 
 
 def read_packet_csv(spark: SparkSession, path: str, schema: T.StructType = PACKET_CSV,
-                    sep: str = "|", header: bool = True, mode: str = "DROPMALFORMED") -> DataFrame:
+                    sep: str = "|", header: bool = True, mode: str = "DROPMALFORMED",
+                    cache: bool = False) -> DataFrame:
     """Delimited packet export with an explicit schema; malformed rows dropped.
 
     Whether a row is malformed must not depend on the columns a query
-    reads, so the session keeps CSV column pruning off (see ``session``)."""
+    reads, so the session keeps CSV column pruning off (see ``session``).
+    ``cache`` keeps the parsed rows (memory, spilling to disk) for jobs that
+    read the source several times."""
     spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    return (spark.read.schema(schema).option("header", header).option("sep", sep)
-            .option("mode", mode).csv(path))
+    df = (spark.read.schema(schema).option("header", header).option("sep", sep)
+          .option("mode", mode).csv(path))
+    return df.persist(StorageLevel.MEMORY_AND_DISK) if cache else df
 
 
 def stream_packet_csv(spark: SparkSession, path: str, schema: T.StructType = PACKET_CSV,

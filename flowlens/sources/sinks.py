@@ -66,6 +66,17 @@ def parquet_batch_sink(path: str, partition_by: list[str] | None = None) -> Batc
     return write
 
 
+def connector_batch_sink(fmt: str, target: str, options: dict | None = None,
+                         mode: str = "append") -> BatchSink:
+    """Micro-batch writer for any batch connector (a document index, a
+    warehouse table): ``batch.write.format(fmt).options(...).save(target)``.
+    Used inside ``foreachBatch`` when the connector's package is installed;
+    append-only targets should be given an id column to stay idempotent."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.format(fmt).options(**(options or {})).mode(mode).save(target)
+    return write
+
+
 def console_batch_sink(n: int = 20) -> BatchSink:
     def show(batch: DataFrame, batch_id: int) -> None:
         print(f"-- batch {batch_id}")

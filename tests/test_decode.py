@@ -153,3 +153,16 @@ def test_geo_defaults(spark, ip_, city):
     df = spark.createDataFrame([(ip_,)], "ip_src string")
     r = enrich.geo_enrich_range(df, ranges, ip="ip_src", prefix="src").first()
     assert r.src_city == city and r.src_coordinates == [0.0, 0.0]
+
+
+def test_connector_and_csv_sinks(spark, tmp_path):
+    from flowlens.sources import sinks
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    target = str(tmp_path / "t")
+    sink = sinks.multi_sink(sinks.connector_batch_sink("parquet", target), sinks.parquet_batch_sink(str(tmp_path / "p")))
+    sink(df, 0)
+    sink(df, 0)                                   # a replayed batch
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 2
+    assert spark.read.parquet(target).count() == 4  # plain append target
+    sinks.write_result_csv(df, str(tmp_path / "c"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 2
