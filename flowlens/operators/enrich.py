@@ -32,8 +32,12 @@ LOCAL_CITY = "LOCAL"
 ERROR_CITY = "ERROR"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the table is proven to hold at most ``max_rows``."""
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Broadcast hint only when the table is proven to hold at most ``max_rows``
+    (default: session conf ``spark.flowlens.broadcastMaxRows``, else 2,000,000).
+    The check reads at most ``max_rows + 1`` rows."""
+    if max_rows is None:
+        max_rows = int(df.sparkSession.conf.get("spark.flowlens.broadcastMaxRows", str(BROADCAST_MAX_ROWS)))
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
