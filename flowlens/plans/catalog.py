@@ -23,7 +23,8 @@ from ..schema import FEATURES, PACKET_CSV, SCORING_PACKET, WINDOW_FEATURES
 from ..session import materialize, prepare, scratch_path
 from ..sources import files, sinks
 from ..streaming import jobs
-from ..sources.testdata import geo_range_dimension, packets, read_table, reputation_dimension
+from ..sources.testdata import (geo_range_dimension, packets, packets_from_lineitem, read_table,
+                                reputation_dimension)
 from . import live
 
 R = 4
@@ -45,15 +46,15 @@ def _base(spark, sf) -> DataFrame:
     return decode.base_columns(_packets(spark, sf))
 
 
-def _featured(spark, sf) -> DataFrame:
+def _featured(spark, sf, pk: DataFrame | None = None) -> DataFrame:
     """Transport packets with base columns, stack and the seven features."""
-    df = decode.base_columns(decode.keep_transport(_packets(spark, sf)))
+    df = decode.base_columns(decode.keep_transport(pk if pk is not None else _packets(spark, sf)))
     df = df.withColumn("protocols", F.col("layers.frame.frame_frame_protocols"))
     return features.with_features(df)
 
 
-def _scaled(spark, sf) -> tuple[DataFrame, list]:
-    feat = _featured(spark, sf)
+def _scaled(spark, sf, pk: DataFrame | None = None) -> tuple[DataFrame, list]:
+    feat = _featured(spark, sf, pk)
     params = features.scaler_params(features.fit_scaler(feat))
     return features.scale(feat, params), params
 
@@ -248,6 +249,15 @@ def q_live_score(spark, sf):
     return flatten_scored(scored)
 
 
+def q_lineitem_score(spark, sf):
+    """Volume variant of live scoring: lineitem rows as packets (6x events)."""
+    prepare(spark)
+    pk = packets_from_lineitem(read_table(spark, sf, "lineitem", key="l_orderkey"))
+    scaled, params = _scaled(spark, sf, pk)
+    scored, _ = live.score_packets(pk, _ranges(spark, sf), params, _centers(scaled), keep=("packet_id",))
+    return flatten_scored(scored)
+
+
 def flatten_scored(scored: DataFrame) -> DataFrame:
     """Scored documents with the two geo points as four DOUBLE columns."""
     return scored.select(
@@ -504,6 +514,7 @@ QUERIES = {
     "split_md5": q_split_md5,
     "embedding_kmeans": q_embedding_kmeans,
     "live_score": q_live_score,
+    "lineitem_score": q_lineitem_score,
     "window_tumbling": q_window_tumbling,
     "window_sliding": q_window_sliding,
     "window_sliding_15s": q_window_sliding_15s,

@@ -102,6 +102,59 @@ def packets_from_events(events: DataFrame) -> DataFrame:
                  tcp.alias("tcp"), dns.alias("dns")).alias("layers"))
 
 
+# Fixed values of the volume binding over lineitem: stack by (return flag,
+# line status).
+STACK_BY_FLAGS = {
+    ("R", "F"): "eth:ethertype:ip:tcp:tls",
+    ("R", "O"): "eth:ethertype:ip:tcp:tls",
+    ("A", "F"): "eth:ethertype:ip:tcp:http",
+    ("A", "O"): "eth:ethertype:ip:tcp:http",
+    ("N", "F"): "eth:ethertype:ip:tcp",
+    ("N", "O"): "eth:ethertype:ip:udp:dns",
+}
+
+
+def packets_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Volume variant: each lineitem row -> one IPv4 TCP/UDP packet.
+
+    packet_id = orderkey * 8 + linenumber (not unique in the generated data);
+    time = ship date + (orderkey % 86400) s + linenumber ms; source
+    10.0.(suppkey % 25).(suppkey % 256); destination 8.(partkey % 4).
+    (partkey % 25).(partkey % 200); stack from the two flags; ports
+    40000 + orderkey % 20000 -> port(linenumber); lengths from quantity."""
+    ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    flags = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
+    stack = F.coalesce(*[F.when(flags == a + b, F.lit(v)) for (a, b), v in STACK_BY_FLAGS.items()])
+    is_udp = flags == "NO"
+    ts = (F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(secs=(ok % 86400).cast("decimal(18,6)"))
+          + F.make_dt_interval(secs=(ln.cast("decimal(18,6)") / 1000)))
+    src_port = _s(F.lit(40000) + ok % 20000)
+    dst_port = F.element_at(F.array(*[F.lit(p) for p in DST_PORTS]), (ln % 10 + 1).cast("int"))
+    q = F.floor("l_quantity")
+    frame = F.struct(
+        F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("000Z")).alias("frame_frame_time"),
+        _s(ok * 8 + ln).alias("frame_frame_number"),
+        _s((F.lit(60) + q).cast("int")).alias("frame_frame_len"),
+        stack.alias("frame_frame_protocols"))
+    eth = F.struct(F.lit("02:00:00:00:00:01").alias("eth_eth_src"), F.lit("02:00:00:00:00:02").alias("eth_eth_dst"),
+                   F.lit("0x0800").alias("eth_eth_type"))
+    ip = F.struct(
+        F.concat(F.lit("10.0."), _s(sk % 25), F.lit("."), _s(sk % 256)).alias("ip_ip_src"),
+        F.concat(F.lit("8."), _s(pk % 4), F.lit("."), _s(pk % 25), F.lit("."), _s(pk % 200)).alias("ip_ip_dst"),
+        F.when(is_udp, F.lit("17")).otherwise(F.lit("6")).alias("ip_ip_proto"),
+        _s((F.lit(46) + q).cast("int")).alias("ip_ip_len"))
+    udp = F.when(is_udp, F.struct(src_port.alias("udp_udp_srcport"), dst_port.alias("udp_udp_dstport")))
+    tcp = F.when(~is_udp, F.struct(src_port.alias("tcp_tcp_srcport"), dst_port.alias("tcp_tcp_dstport")))
+    dns = F.lit(None).cast(
+        "struct<dns_dns_qry_name:string,dns_dns_qry_type:string,dns_dns_qry_class:string,"
+        "dns_dns_resp_name:array<string>,dns_dns_resp_type:array<string>,dns_dns_resp_class:array<string>>")
+    return lineitem.select(
+        (ok * 8 + ln).alias("packet_id"),
+        _s(F.unix_millis(ts)).alias("timestamp"),
+        F.struct(frame.alias("frame"), eth.alias("eth"), ip.alias("ip"), udp.alias("udp"),
+                 tcp.alias("tcp"), dns.alias("dns")).alias("layers"))
+
+
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packets_from_events(read_table(spark, sf_dir, "events", key="event_id"))
 
