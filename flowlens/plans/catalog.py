@@ -407,7 +407,7 @@ def _stage_stream_input(spark, sf, files_n: int = STREAM_FILES) -> str:
 
 def q_stream_score(spark, sf):
     """Batch-trained models saved as tables, loaded by a file-source stream
-    that scores packets one file per micro-batch (availableNow)."""
+    that scores packets two files per micro-batch (availableNow)."""
     in_dir = _stage_stream_input(spark, sf)
     scaled, params = _scaled(spark, sf)
     models = scratch_path(spark, "models")
@@ -418,7 +418,7 @@ def q_stream_score(spark, sf):
     scaler = sinks.load_model_table(spark, f"{models}/scaler")
     centers = sinks.load_model_table(spark, f"{models}/kmeans")
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    stream = files.stream_packets_ndjson(spark, in_dir, SCORING_PACKET, max_files_per_trigger=1)
+    stream = files.stream_packets_ndjson(spark, in_dir, SCORING_PACKET, max_files_per_trigger=2)
     q = jobs.start_scoring(stream, _ranges(spark, sf), scaler, centers, out, ckpt, available_now=True,
                            spread=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
