@@ -173,14 +173,19 @@ def start_forest_scoring(stream: DataFrame, model, cut: float, out_path: str, ch
 
 
 def run_all(queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """Wait for several streaming queries; the first failure is raised."""
-    if not queries:
-        return
-    spark = queries[0].sparkSession
-    spark.streams.awaitAnyTermination(timeout)
-    for q in queries:
-        if q.exception():
-            raise q.exception()
+    """Wait until every given query has stopped (started together, as one
+    flow writing several outputs); the first failure is raised at once."""
+    from pyspark.sql import SparkSession
+    manager = SparkSession.getActiveSession().streams
+    pending = list(queries)
+    while pending:
+        manager.awaitAnyTermination(timeout)
+        for q in list(pending):
+            if not q.isActive:
+                if q.exception():
+                    raise q.exception()
+                pending.remove(q)
+        manager.resetTerminated()
 
 
 def read_batches(spark, path: str) -> DataFrame:

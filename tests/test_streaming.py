@@ -95,3 +95,22 @@ def test_joinback_state_is_evicted(spark, sf_small):
              if op.get("operatorName") == "symmetricHashJoin"]
     assert joins and sum(op.get("numRowsRemoved", 0) for op in joins) > 0
     assert joins[-1]["numRowsTotal"] < max(op["numRowsTotal"] for op in joins)
+
+
+def test_two_queries_from_one_source_and_console(spark, capsys):
+    base = dt.datetime(2024, 1, 1)
+    src = scratch_path(spark, "two-in")
+    _add_file(spark, src, [_pkt(i, base + dt.timedelta(minutes=i)) for i in range(6)], "f1")
+    outs = [scratch_path(spark, f"two-out{i}") for i in range(2)]
+    q1 = jobs.start_window_features(files.stream_packets_ndjson(spark, f"{src}/*"), outs[0],
+                                    scratch_path(spark, "two-c1"), "1 minute", None, available_now=True)
+    q2 = jobs.start_window_features(files.stream_packets_ndjson(spark, f"{src}/*"), outs[1],
+                                    scratch_path(spark, "two-c2"), "2 minutes", None, available_now=True)
+    jobs.run_all([q1, q2], timeout=300)
+    q1.awaitTermination()
+    q2.awaitTermination()
+    assert jobs.read_batches(spark, outs[0]).count() == 4   # watermark 4:50 closes [0:00,1:00)..[3:00,4:00)
+    assert jobs.read_batches(spark, outs[1]).count() == 2
+    from flowlens.sources import sinks
+    sinks.console_batch_sink(3)(jobs.read_batches(spark, outs[0]), 7)
+    assert "-- batch 7" in capsys.readouterr().out
