@@ -81,9 +81,13 @@ def drop_index_lines(df: DataFrame, value_col: str = "value") -> DataFrame:
     return df.filter(~F.col(value_col).contains(INDEX_MARK) | F.col(value_col).isNull())
 
 
-def keep_transport(df: DataFrame) -> DataFrame:
-    """Keep packets that carry a TCP or a UDP layer."""
-    return df.filter(F.col("layers.tcp").isNotNull() | F.col("layers.udp").isNotNull())
+def keep_transport(df: DataFrame, keep_undecoded: bool = False) -> DataFrame:
+    """Keep packets that carry a TCP or a UDP layer (and, with
+    ``keep_undecoded``, text that did not decode, for quarantine)."""
+    cond = F.col("layers.tcp").isNotNull() | F.col("layers.udp").isNotNull()
+    if keep_undecoded and "_decoded" in df.columns:
+        cond = cond | ~F.col("_decoded")
+    return df.filter(cond)
 
 
 def transport_of(df_layers: str = "layers") -> Column:
@@ -120,9 +124,10 @@ def parse_embedded_json(df: DataFrame, schema: T.StructType | str,
         *[c for c in df.columns if c not in names], *[F.col(f"_msg.{n}").alias(n) for n in names])
 
 
-def split_quarantine(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantine): rows where every ``required`` column is non-NULL
-    and the text decoded, and the rest with a ``reason`` column."""
+def flag_quarantine(df: DataFrame, required: list[str]) -> DataFrame:
+    """Add ``_ok`` (decoded and every ``required`` column non-NULL) and
+    ``reason`` (why not) without filtering, so one pass can feed both the
+    good and the quarantine output."""
     decoded = F.col("_decoded") if "_decoded" in df.columns else F.lit(True)
     ok = decoded
     for c in required:
@@ -130,7 +135,13 @@ def split_quarantine(df: DataFrame, required: list[str]) -> tuple[DataFrame, Dat
     reason = F.when(~decoded, F.lit("not_json"))
     for c in required:
         reason = reason.when(F.col(c).isNull(), F.lit(f"null_{c}"))
-    flagged = df.withColumn("_ok", F.coalesce(ok, F.lit(False)))
-    good = flagged.filter("_ok").drop("_ok")
-    bad = flagged.filter(~F.col("_ok")).drop("_ok").withColumn("reason", reason)
+    return df.withColumns({"_ok": F.coalesce(ok, F.lit(False)), "reason": reason})
+
+
+def split_quarantine(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantine): rows where every ``required`` column is non-NULL
+    and the text decoded, and the rest with a ``reason`` column."""
+    flagged = flag_quarantine(df, required)
+    good = flagged.filter("_ok").drop("_ok", "reason")
+    bad = flagged.filter(~F.col("_ok")).drop("_ok")
     return good, bad

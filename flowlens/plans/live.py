@@ -20,7 +20,7 @@ DEFAULT_THRESHOLD = 2.6
 
 def enrich_packets(df: DataFrame, geo_ranges: DataFrame, local_ip: str = enrich.LOCAL_IP) -> DataFrame:
     """Transport filter, base columns, geo for both sides, application protocol."""
-    out = decode.base_columns(decode.keep_transport(df))
+    out = decode.base_columns(decode.keep_transport(df, keep_undecoded=True))
     local = (local_ip, enrich.LOOPBACK)
     geo_ranges = enrich.bucket_ranges(geo_ranges.select("ip_start", "ip_end", "city", "lon", "lat"))
     out = enrich.geo_enrich_range(out, geo_ranges, ip="ip_src", prefix="src", local_ips=local)
@@ -43,3 +43,14 @@ def score_packets(df: DataFrame, geo_ranges: DataFrame, scaler, centers,
     scored = kmeans.label(kmeans.assign(scaled, centers), threshold)
     cols = [*keep, *SCORED_PACKET.fieldNames()]
     return scored.select(*cols), bad
+
+
+def score_flagged(df: DataFrame, geo_ranges: DataFrame, scaler, centers,
+                  threshold: float = DEFAULT_THRESHOLD, local_ip: str = enrich.LOCAL_IP,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
+    """One pass scoring every packet, with ``_ok``/``reason`` quarantine flags
+    (scores of flagged rows are meaningless).  For sinks that split good and
+    quarantined rows from one persisted micro-batch."""
+    enriched = decode.flag_quarantine(features.with_features(enrich_packets(df, geo_ranges, local_ip)), FEATURES)
+    scored = kmeans.label(kmeans.assign(features.scale(enriched, scaler), centers), threshold)
+    return scored.select(*keep, *SCORED_PACKET.fieldNames(), "_ok", "reason")

@@ -21,6 +21,7 @@ One checkpoint folder per query, under the shared checkpoint root.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -61,24 +62,28 @@ def start_scoring(stream: DataFrame, geo_ranges: DataFrame, scaler, centers, out
     packets = with_packet_id(stream)
     if spread:
         packets = packets.repartition(spread)
-    scored, bad = live.score_packets(packets, geo_ranges, scaler, centers, threshold,
-                                     keep=("packet_id",))
-    targets = [sinks.parquet_batch_sink(out_path)]
-    if console:
-        targets.append(sinks.console_batch_sink())
+    extra = [sinks.console_batch_sink()] if console else []
     if quarantine_path:
-        # Quarantine shares the micro-batch: rows failing the feature parse.
-        tagged = scored.withColumn("_q", F.lit(False)).unionByName(
-            bad.select("packet_id", F.col("reason")).withColumn("_q", F.lit(True)),
-            allowMissingColumns=True)
+        # One scan per micro-batch: score with flags, persist, then split.
+        flagged = live.score_flagged(packets, geo_ranges, scaler, centers, threshold, keep=("packet_id",))
         good_sink, bad_sink = sinks.parquet_batch_sink(out_path), sinks.parquet_batch_sink(quarantine_path)
 
         def split(batch: DataFrame, batch_id: int) -> None:
-            good_sink(batch.filter(~F.col("_q")).drop("_q", "reason"), batch_id)
-            bad_sink(batch.filter(F.col("_q")).select("packet_id", "reason"), batch_id)
-        run = sinks.multi_sink(split, *targets[1:])
-        return _writer(tagged, checkpoint, available_now, trigger_seconds).foreachBatch(run).start()
-    run = sinks.multi_sink(*targets)
+            good = batch.filter(F.col("_ok")).drop("_ok", "reason")
+            good_sink(good, batch_id)
+            bad_sink(batch.filter(~F.col("_ok")).select("packet_id", "reason"), batch_id)
+            for s in extra:
+                s(good, batch_id)
+
+        def run(batch: DataFrame, batch_id: int) -> None:
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                split(batch, batch_id)
+            finally:
+                batch.unpersist()
+        return _writer(flagged, checkpoint, available_now, trigger_seconds).foreachBatch(run).start()
+    scored, _ = live.score_packets(packets, geo_ranges, scaler, centers, threshold, keep=("packet_id",))
+    run = sinks.multi_sink(sinks.parquet_batch_sink(out_path), *extra)
     return _writer(scored, checkpoint, available_now, trigger_seconds).foreachBatch(run).start()
 
 

@@ -114,3 +114,19 @@ def test_two_queries_from_one_source_and_console(spark, capsys):
     from flowlens.sources import sinks
     sinks.console_batch_sink(3)(jobs.read_batches(spark, outs[0]), 7)
     assert "-- batch 7" in capsys.readouterr().out
+
+
+def test_stream_quarantine_split_in_one_pass(spark):
+    base = dt.datetime(2024, 1, 1)
+    src, out, bad, ckpt = (scratch_path(spark, n) for n in ("qs-in", "qs-out", "qs-bad", "qs-ckpt"))
+    empty_ip = json.loads(_pkt(50, base))
+    empty_ip["layers"]["ip"] = {}
+    _add_file(spark, src, [_pkt(i, base + dt.timedelta(seconds=i)) for i in range(4)]
+              + [json.dumps(empty_ip), "not json"], "f1")
+    ranges = spark.createDataFrame([], "ip_start bigint, ip_end bigint, city string, lon float, lat float")
+    q = jobs.start_scoring(files.stream_packets_ndjson(spark, f"{src}/*"), ranges, [(0.0, 1.0)] * 7,
+                           [(0, [0.0] * 7)], out, ckpt, quarantine_path=bad, available_now=True, spread=2)
+    q.awaitTermination()
+    assert sorted(r.packet_id for r in jobs.read_batches(spark, out).collect()) == [0, 1, 2, 3]
+    reasons = sorted(r.reason for r in jobs.read_batches(spark, bad).collect())
+    assert reasons == ["not_json", "null_ip_len"]
