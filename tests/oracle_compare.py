@@ -39,7 +39,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if os.environ.get("EXACT_FLOATS") == "1" else round(v, 6)
     if hasattr(v, "item"):
         return _norm(v.item())
     if hasattr(v, "to_pydatetime"):
