@@ -68,10 +68,11 @@ def load_scoring_models(spark: SparkSession, model_dir: str) -> tuple[DataFrame,
 def live_score_job(spark: SparkSession, stream: DataFrame, model_dir: str, geo_ranges: DataFrame,
                    out_path: str, checkpoint: str, quarantine_path: str | None = None,
                    threshold: float = 2.6, console: bool = False, available_now: bool = False,
-                   trigger_seconds: int | None = None):
+                   trigger_seconds: int | None = None, spread: int | None = None):
     scaler, centers = load_scoring_models(spark, model_dir)
     return stream_jobs.start_scoring(stream, geo_ranges, scaler, centers, out_path, checkpoint,
-                                     quarantine_path, threshold, console, available_now, trigger_seconds)
+                                     quarantine_path, threshold, console, available_now, trigger_seconds,
+                                     spread)
 
 
 def flat_packets(flat: DataFrame) -> DataFrame:

@@ -37,10 +37,13 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "flowlens",
+def build_session(master: str | None = "local[*]", app: str = "flowlens",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the package defaults."""
-    builder = SparkSession.builder.master(master).appName(app)
+    """Create (or reuse) a session with the package defaults (``master=None``
+    leaves the master to spark-submit or the cluster defaults)."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
