@@ -22,7 +22,8 @@ def enrich_packets(df: DataFrame, geo_ranges: DataFrame, local_ip: str = enrich.
     """Transport filter, base columns, geo for both sides, application protocol."""
     out = decode.base_columns(decode.keep_transport(df, keep_undecoded=True))
     local = (local_ip, enrich.LOOPBACK)
-    geo_ranges = enrich.bucket_ranges(geo_ranges.select("ip_start", "ip_end", "city", "lon", "lat"))
+    cols = ["ip_start", "ip_end", "city", "lon", "lat"] + (["_bucket"] if "_bucket" in geo_ranges.columns else [])
+    geo_ranges = enrich.bucket_ranges(geo_ranges.select(*cols))
     out = enrich.geo_enrich_range(out, geo_ranges, ip="ip_src", prefix="src", local_ips=local)
     out = enrich.geo_enrich_range(out, geo_ranges, ip="ip_dst", prefix="dst", local_ips=local)
     return out.withColumn("application_protocol", resolve_protocol(

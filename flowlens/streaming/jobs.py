@@ -28,7 +28,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import parse
 from ..functions.protocol import resolve_protocol
-from ..operators import decode, windows
+from ..operators import decode, enrich, windows
+from ..session import materialize
 from ..plans import live
 from ..sources import sinks
 
@@ -62,6 +63,10 @@ def start_scoring(stream: DataFrame, geo_ranges: DataFrame, scaler, centers, out
     packets = with_packet_id(stream)
     if spread:
         packets = packets.repartition(spread)
+    # The lookup table is static: bucket and write it once, so every
+    # micro-batch broadcasts a small stored table instead of re-deriving it.
+    geo_ranges = enrich.bounded_broadcast(materialize(enrich.bucket_ranges(
+        geo_ranges.select("ip_start", "ip_end", "city", "lon", "lat"), broadcast_ranges=False)))
     extra = [sinks.console_batch_sink()] if console else []
     if quarantine_path:
         # One scan per micro-batch: score with flags, persist, then split.
