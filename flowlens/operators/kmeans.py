@@ -154,7 +154,7 @@ def training_frame(df: DataFrame, x: str = "scaled_features") -> DataFrame:
 
 
 def elbow(df: DataFrame, ks=range(1, 10), x: str = "scaled_features", n_init: int = 10,
-          seed: int = 42, parallelism: int = 16) -> DataFrame:
+          seed: int = 42, parallelism: int = 32) -> DataFrame:
     """(k, inertia) for each k: the table behind the elbow choice."""
     spark: SparkSession = df.sparkSession
     cached = training_frame(df, x)
