@@ -82,6 +82,14 @@ def positions(df: DataFrame, groups: list[str], order: list[str], out: str,
 
 # --------------------------------------------------------------- Arrow side
 
+ARROW_ROWS = 256
+
+
+def arrow_batches(spark: SparkSession) -> None:
+    """Texts can be very long: send few rows in an Arrow batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def chunks(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.Table]:
     """Regroup a task's Arrow batches into tables of about ``max_bytes``."""
     held, size = [], 0
@@ -164,15 +172,26 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tup
     return starts, ends, np.searchsorted(starts, offsets).astype(np.int64)
 
 
+_HASH_BYTES = 1 << 20
+
+
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each span: a polynomial over the bytes by
-    prefix sums modulo 2**64, mixed with the length."""
+    prefix sums modulo 2**64, mixed with the length.  Spans are ascending and
+    taken about 1 MB at a time, which bounds the prefix sums."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
     with np.errstate(over="ignore"):
-        p, inv = _powers(len(raw) + 1)
-        prefix = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * p[:len(raw)], dtype=np.uint64, out=prefix[1:])
-        poly = (prefix[ends] - prefix[starts]) * inv[starts]
-        return mix(poly ^ mix((ends - starts).astype(np.uint64), 7))
+        while at < len(starts):
+            stop = max(at + 1, int(np.searchsorted(ends, starts[at] + _HASH_BYTES, "right")))
+            lo, hi = int(starts[at]), int(ends[stop - 1])
+            p, inv = _powers(hi - lo + 1)
+            prefix = np.zeros(hi - lo + 1, np.uint64)
+            np.cumsum((raw[lo:hi].astype(np.uint64) + np.uint64(1)) * p[:hi - lo], dtype=np.uint64, out=prefix[1:])
+            b, e = starts[at:stop] - lo, ends[at:stop] - lo
+            out[at:stop] = mix((prefix[e] - prefix[b]) * inv[b] ^ mix((e - b).astype(np.uint64), 7))
+            at = stop
+    return out
 
 
 def shingle_hashes(words: np.ndarray, word_off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

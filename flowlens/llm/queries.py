@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import decontam, quality, secrets
 from .common import table
 
 
@@ -13,5 +13,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_quality": op1_quality}
-SQL = {"op1_quality": quality.SQL}
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_quality": op1_quality, "op2_decontaminate": op2_decontaminate,
+           "op3_secrets": op3_secrets}
+SQL = {"op1_quality": quality.SQL, "op2_decontaminate": decontam.SQL}
