@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, quality, secrets
+from . import decontam, packing, quality, secrets, sharding, tokens
 from .common import table
 
 
@@ -21,6 +21,20 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return tokens.report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op1_quality": op1_quality, "op2_decontaminate": op2_decontaminate,
-           "op3_secrets": op3_secrets}
+           "op3_secrets": op3_secrets, "op4_packing": op4_packing, "op5_tokens": op5_tokens,
+           "op8_sharding": op8_sharding}
 SQL = {"op1_quality": quality.SQL, "op2_decontaminate": decontam.SQL}
