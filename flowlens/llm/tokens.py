@@ -44,7 +44,7 @@ SHARD_BYTES = 16 << 20
 CACHED = 400_000
 
 _SAFE = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
-_PIECES = re.compile("[a-zà-öø-ÿ]+|[^a-zà-öø-ÿ]+")
+_PIECES = re.compile("[a-zß-öø-ÿ]+|[^a-zß-öø-ÿ]+")
 _LOADED: dict = {}
 
 
