@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, packing, quality, secrets, sharding, tokens
+from . import bagminhash, decontam, packing, quality, secrets, sharding, tokens
 from .common import table
 
 
@@ -34,7 +34,11 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op10_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op1_quality": op1_quality, "op2_decontaminate": op2_decontaminate,
            "op3_secrets": op3_secrets, "op4_packing": op4_packing, "op5_tokens": op5_tokens,
-           "op8_sharding": op8_sharding}
+           "op8_sharding": op8_sharding, "op10_near_documents": op10_near_documents}
 SQL = {"op1_quality": quality.SQL, "op2_decontaminate": decontam.SQL}
