@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bagminhash, decontam, packing, quality, secrets, sharding, tokens
+from . import bagminhash, decontam, packing, passages, quality, secrets, sharding, tokens
 from .common import table
 
 
@@ -38,7 +38,12 @@ def op10_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.report(table(spark, sf_dir, "documents"))
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op1_quality": op1_quality, "op2_decontaminate": op2_decontaminate,
            "op3_secrets": op3_secrets, "op4_packing": op4_packing, "op5_tokens": op5_tokens,
-           "op8_sharding": op8_sharding, "op10_near_documents": op10_near_documents}
+           "op8_sharding": op8_sharding, "op9_passages": op9_passages,
+           "op10_near_documents": op10_near_documents}
 SQL = {"op1_quality": quality.SQL, "op2_decontaminate": decontam.SQL}
