@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bagminhash, decontam, packing, passages, quality, secrets, sharding, tokens, urls
+from . import bagminhash, decontam, html, packing, passages, quality, secrets, sharding, tokens, urls
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.report(spark, sf_dir)
 
@@ -47,7 +51,8 @@ def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_quality": op1_quality, "op2_decontaminate": op2_decontaminate,
-           "op3_secrets": op3_secrets, "op4_packing": op4_packing, "op5_tokens": op5_tokens, "op7_urls": op7_urls,
+           "op3_secrets": op3_secrets, "op4_packing": op4_packing, "op5_tokens": op5_tokens, "op6_main_text": op6_main_text,
+           "op7_urls": op7_urls,
            "op8_sharding": op8_sharding, "op9_passages": op9_passages,
            "op10_near_documents": op10_near_documents}
 SQL = {"op1_quality": quality.SQL, "op2_decontaminate": decontam.SQL, "op7_urls": urls.SQL}
