@@ -135,8 +135,8 @@ def quality(docs: DataFrame) -> DataFrame:
     for c in (" ", "\\n", "\\t", "\\r", "\\u000B", "\\u000C"):
         black = f"replace({black}, '{c}', '')"
     count = lambda r: f"cast(size(filter(__rules, x -> x = '{r}')) as bigint)"
-    out = df.select(
-        "doc_id",
+    cols = [
+        F.col("doc_id"),
         F.expr("cast(size(__words) as bigint)").alias("n_words"),
         F.expr(f"cast(length({black}) as bigint)").alias("word_chars"),
         F.col("__nsym").alias("n_symbols"),
@@ -148,7 +148,10 @@ def quality(docs: DataFrame) -> DataFrame:
         F.expr("aggregate(zip_with(__lines, __rules, (l, r) -> case when r is null then 0L "
                "else cast(length(l) as bigint) end), 0L, (a, x) -> a + x)").alias("line_chars"),
         F.expr("aggregate(zip_with(__lines, __rules, (l, r) -> case when r = '' then cast(length(l) as bigint) "
-               "else 0L end), 0L, (a, x) -> a + x)").alias("kept_chars"))
+               "else 0L end), 0L, (a, x) -> a + x)").alias("kept_chars")]
+    # Filters on the result stop at the generator: pushed below it they would
+    # repeat the work above once per line or word.
+    out = df.select(F.inline(F.array(F.struct(*cols))))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = out.withColumn("base_failed", failed)
     return out.withColumn("kept", ~F.col("base_failed") & (2 * F.col("kept_chars") >= F.col("line_chars")))
@@ -162,11 +165,12 @@ def clean(docs: DataFrame) -> DataFrame:
     df = judged_lines(row, ["__row", "doc_id"])
     df = _repeat_words(df)
     df = df.withColumn("__good", F.expr("filter(__lines, (x, i) -> __rules[i] is null or __rules[i] = '')"))
-    sums = ("aggregate(zip_with(__lines, __rules, (l, r) -> case when {0} then cast(length(l) as bigint) "
-            "else 0L end), 0L, (a, x) -> a + x)")
-    df = df.where(F.expr(f"size(__words) >= {MIN_WORDS} and 100 * __rep <= 50 * size(__words) and "
-                         f"2 * {sums.format(chr(114) + ' = ' + chr(39) * 2)} >= {sums.format('r is not null')}"))
-    df = df.withColumn("__new", F.array_join("__good", "\n"))
+    chars = ("aggregate(zip_with(__lines, __rules, (l, r) -> case when {0} then cast(length(l) as bigint) "
+             "else 0L end), 0L, (a, x) -> a + x)")
+    kept, total = chars.format("r = ''"), chars.format("r is not null")
+    verdict = F.expr(f"size(__words) >= {MIN_WORDS} and 100 * __rep <= 50 * size(__words) and 2 * {kept} >= {total}")
+    df = df.select(F.inline(F.array(F.struct("__row", F.array_join("__good", "\n").alias("__new"),
+                                             verdict.alias("__kept"))))).where("__kept")
     cols = []
     for c in docs.columns:
         if c == "text":
