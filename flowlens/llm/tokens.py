@@ -28,6 +28,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,12 @@ from .common import arrow_batches, chunks, scratch_path
 END = 1
 ROW_INDEX = 1_000
 SHARD_BYTES = 16 << 20
-CACHED = 400_000
+CACHED = 250_000
 
-_SAFE = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
-_PIECES = re.compile("[a-zß-öø-ÿ]+|[^a-zß-öø-ÿ]+")
+# Words that may be parted at letter/mark borders, and the borders (RE2).
+_SAFE = "^[!-&(-~À-ÖØ-öø-ÿ]+$"
+_LETTER, _MARK = "[a-zß-öø-ÿ]", "[!-@\\[-`{-~]"
+_LOWER = re.compile("[a-zß-öø-ÿ]+")
 _LOADED: dict = {}
 
 
@@ -61,6 +64,7 @@ class Encoder:
         self.ends = np.zeros(max(parsed["model"]["vocab"].values()) + 1, bool)
         self.ends[[i for t, i in parsed["model"]["vocab"].items() if t.endswith(suffix)]] = True
         self.cache: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
 
     def _whole(self, words: list[str]) -> None:
         for w, e in zip(words, self.full.encode_batch_fast(words, add_special_tokens=False)):
@@ -72,39 +76,53 @@ class Encoder:
         for at in range(0, len(runs), 20_000):
             part = runs[at:at + 20_000]
             ids = self.plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
-            cut = np.flatnonzero(self.ends[ids]) + 1
+            cut = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(cut) != len(part):
                 self._whole(part)
                 continue
-            for w, a, b in zip(part, [0, *cut[:-1].tolist()], cut.tolist()):
-                self.cache[w] = tuple(ids[a:b])
-
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words without white space, flat, and their offsets."""
-        pieces: list = []
-        letters, others = set(), set()
-        for w in words:
-            if _SAFE.fullmatch(w) and "<|" not in w:
-                w = w.lower()
-                p = (w,) if w.isalpha() else _PIECES.findall(w)
-                for x in p:
-                    if x not in self.cache:
-                        (letters if x[0].isalpha() else others).add(x)
-            else:
-                p = (w,)
-                if w not in self.cache:
-                    others.add(w)
-            pieces.append(p)
+            self.cache.update(zip(part, map(tuple, (ids[a:b] for a, b in zip([0, *cut], cut)))))
+
+    def pieces(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces, flat, and how many each has."""
         if len(self.cache) > CACHED:
-            self.cache.clear()
-            letters = {x for p in pieces for x in p if _SAFE.fullmatch(x) and x[0].isalpha() and "<|" not in x}
-            others = {x for p in pieces for x in p} - letters
-        self._letters(sorted(letters))
-        self._whole(sorted(others))
-        got = self.cache
-        ids = [got[p[0]] if len(p) == 1 else tuple(i for x in p for i in got[x]) for p in pieces]
-        off = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-        return np.fromiter((i for x in ids for i in x), np.int32, int(off[-1])), off
+            self.cache, self.older = {}, self.cache
+        new, old = self.cache, self.older
+        letters, others = [], []
+        for x in runs:
+            if x not in new:
+                if x in old:
+                    new[x] = old[x]
+                else:
+                    (letters if x.isalpha() else others).append(x)
+        plain = [x for x in letters if x.isascii() or _LOWER.fullmatch(x)]
+        if len(plain) < len(letters):
+            others += [x for x in letters if not (x.isascii() or _LOWER.fullmatch(x))]
+        self._letters(plain)
+        self._whole(others)
+        ids = [new[x] for x in runs]
+        size = np.fromiter(map(len, ids), np.int32, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words without white space, flat, and offsets."""
+        safe = pc.and_(pc.match_substring_regex(words, _SAFE), pc.invert(pc.match_substring(words, "<|")))
+        mask = safe.to_numpy(zero_copy_only=False)
+        low = pc.utf8_lower(words.filter(safe))
+        low = pc.replace_substring_regex(low, f"({_LETTER})({_MARK})", r"\1 \2")
+        low = pc.replace_substring_regex(low, f"({_MARK})({_LETTER})", r"\1 \2")
+        lists = pc.ascii_split_whitespace(low)
+        coded = lists.values.dictionary_encode()
+        odd = words.filter(pc.invert(safe)).to_pylist()
+        flat, size = self.pieces(coded.dictionary.to_pylist() + odd)
+        count = np.ones(len(words), np.int64)
+        count[mask] = np.diff(np.asarray(lists.offsets))
+        at = np.concatenate([[0], np.cumsum(count)])
+        piece = np.empty(at[-1], np.int64)
+        of_safe = np.repeat(mask, count)
+        piece[of_safe] = coded.indices.to_numpy(zero_copy_only=False)
+        piece[~of_safe] = len(coded.dictionary) + np.arange(len(odd))
+        ids, ends = _gather(flat, size, piece)
+        return ids, ends[at]
 
     def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of a column, each with the end id, and offsets."""
@@ -113,16 +131,23 @@ class Encoder:
         row_off = np.asarray(split.offsets, np.int64)
         coded = split.values.slice(row_off[0], row_off[-1] - row_off[0]).dictionary_encode()
         row_off = row_off - row_off[0]
-        flat, off = self.words(coded.dictionary.to_pylist())
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        size = np.diff(off)[codes]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        rows = ends[row_off] + np.arange(len(row_off))  # one more place per row
-        out = np.full(rows[-1], END, np.int32)
-        src = np.arange(ends[-1]) + np.repeat(off[codes] - ends[:-1], size)
-        word_row = np.repeat(np.arange(len(row_off) - 1), np.diff(row_off))
-        out[np.arange(ends[-1]) + np.repeat(word_row, size)] = flat[src]
-        return out, rows
+        flat, off = self.words(coded.dictionary)
+        # The end id is one more word, put behind the last of each row.
+        codes = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), row_off[1:], len(off) - 1)
+        size = np.append(np.diff(off), 1)
+        ids, ends = _gather(np.append(flat, np.int32(END)), size, codes)
+        return ids, ends[row_off + np.arange(len(row_off))]
+
+
+def _gather(flat: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of ``codes`` one after the other, and their offsets."""
+    start = np.cumsum(size, dtype=np.int64) - size
+    n = size[codes]
+    ends = np.zeros(len(codes) + 1, np.int64)
+    np.cumsum(n, out=ends[1:])
+    src = np.repeat(start[codes] - ends[:-1], n)
+    src += np.arange(ends[-1])
+    return flat[src], ends
 
 
 def encoder(spec: str) -> Encoder:
