@@ -119,7 +119,7 @@ def parse_embedded_json(df: DataFrame, schema: T.StructType | str,
         return df
     parsed = F.from_json(F.col(source), schema)
     names = (schema.fieldNames() if isinstance(schema, T.StructType)
-             else [f.split()[0] for f in schema.split(",")])
+             else T.StructType.fromDDL(schema).fieldNames())
     return df.withColumn("_msg", parsed).select(
         *[c for c in df.columns if c not in names], *[F.col(f"_msg.{n}").alias(n) for n in names])
 

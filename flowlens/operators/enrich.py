@@ -152,8 +152,9 @@ def threat_enrich(df: DataFrame, reputation: DataFrame, local_ip: str = LOCAL_IP
                   cut: int = THREAT_SCORE_CUT, src: str = "ip_src", dst: str = "ip_dst") -> DataFrame:
     """Add ``src_threat``/``dst_threat`` (``LOCAL``, ``true``, ``false``; NULL
     for a NULL address) and boolean ``*_threat_flag``.  An address missing
-    from the reputation table scores 0."""
-    rep = bounded_broadcast(reputation.select("ip", "score"))
+    from the reputation table scores 0; one listed twice has its highest
+    score."""
+    rep = bounded_broadcast(reputation.groupBy("ip").agg(F.max("score").alias("score")))
     out = df
     for side, col in (("src", src), ("dst", dst)):
         r = rep.select(F.col("ip").alias(f"_{side}_ip"), F.col("score").alias(f"_{side}_score"))

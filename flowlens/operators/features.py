@@ -27,23 +27,9 @@ _FEATURE_SOURCES = {
 }
 
 
-_COLUMN_CACHE: dict = {}
-
-
 def feature_columns(layers: str = "layers") -> dict[str, Column]:
-    """The seven packet features: absent layer -> 0, unparsable field -> NULL.
-
-    The parse expressions are large and only reference column paths, so they
-    are built once per JVM (each builder call is a driver round trip) and
-    reused by every plan."""
-    from pyspark import SparkContext
-    sc = SparkContext._active_spark_context
-    key = (layers, id(sc._jsc) if sc is not None else None)
-    if key not in _COLUMN_CACHE:
-        _COLUMN_CACHE.clear()
-        _COLUMN_CACHE[key] = {name: layer_int(F.col(f"{layers}.{lay}"), field)
-                              for name, (lay, field) in _FEATURE_SOURCES.items()}
-    return dict(_COLUMN_CACHE[key])
+    """The seven packet features: absent layer -> 0, unparsable field -> NULL."""
+    return {name: layer_int(F.col(f"{layers}.{lay}"), field) for name, (lay, field) in _FEATURE_SOURCES.items()}
 
 
 def with_features(df: DataFrame, layers: str = "layers", as_array: bool = True) -> DataFrame:

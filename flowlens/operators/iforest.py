@@ -63,14 +63,12 @@ def average_path_length(n):
 def _sample(df: DataFrame, key: str, features: list[str], n_trees: int, psi: int, seed: int,
             n_rows: int) -> DataFrame:
     cols = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)]
-    if n_rows >= n_trees * psi:
-        ranked = (df.select(F.xxhash64(F.lit(seed), F.col(key)).alias("_h"), F.col(key).alias("_k"), *cols)
-                  .orderBy("_h", "_k").limit(n_trees * psi))
-        # The ranked set is bounded (trees * psi rows); a global row number over it is cheap.
-        pos = F.row_number().over(Window.orderBy("_h", "_k")) - 1
-        return ranked.select(((pos / psi).cast("int")).alias("tree_id"), *[f"x{i}" for i in range(len(features))])
-    trees = df.select(F.col(key).alias("_k"), *cols,
-                      F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree_id"))
+    # Every tree draws its own rows: those whose hash lies under a share that
+    # leaves each tree some more than psi rows, then the psi least hashes.
+    share = min(1.0, (psi + 10 * math.sqrt(psi) + 20) / n_rows)
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                     lambda t: F.pmod(F.xxhash64(F.lit(seed + 1), t, F.col(key)), F.lit(1 << 40)) <= int(share * (1 << 40)))
+    trees = df.select(F.col(key).alias("_k"), *cols, F.explode(drawn).alias("tree_id"))
     h = F.xxhash64(F.lit(seed), F.col("tree_id"), F.col("_k"))
     rn = F.row_number().over(Window.partitionBy("tree_id").orderBy(h, F.col("_k")))
     return (trees.withColumn("_rn", rn).filter(F.col("_rn") <= psi)

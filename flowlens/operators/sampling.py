@@ -64,7 +64,7 @@ def _values_at_ranks(x: DataFrame, ranks: list[int], lo: float, hi: float, below
             vals = [r["x"] for r in band.orderBy("x").collect()]
             out.update({r: vals[r - below] for r in todo})
             return out
-        width = (hi - lo) / buckets
+        width = hi / buckets - lo / buckets
         b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
         hist = band.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n"),
                                              F.min("x").alias("mn"), F.max("x").alias("mx"))
@@ -90,22 +90,31 @@ def _values_at_ranks(x: DataFrame, ranks: list[int], lo: float, hi: float, below
 
 
 def exact_percentile(df: DataFrame, col: str, p: float, buckets: int = 1024,
-                     band_rows: int = 200_000) -> float | None:
+                     band_rows: int = 1024) -> float | None:
     """Exact percentile with linear interpolation between closest ranks (the
-    definition of SQL ``percentile``/``quantile_cont``); NULLs ignored.
+    definition of SQL ``percentile``/``quantile_cont``).  NULL and NaN are
+    ignored; infinities rank first and last.
 
     The value column is persisted for the duration of the search (a few
     passes over one DOUBLE column)."""
-    x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
     x = x.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        st = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).first()
-        n = st["n"]
+        inf = float("inf")
+        finite = F.abs("x") < F.lit(inf)
+        st = x.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("x") == F.lit(-inf)).alias("low"),
+                   F.count_if(finite).alias("mid"), F.min(F.when(finite, F.col("x"))).alias("mn"),
+                   F.max(F.when(finite, F.col("x"))).alias("mx")).first()
+        n, low, mid = st["n"], st["low"], st["mid"]
         if not n:
             return None
         pos = p * (n - 1)
-        r_lo, r_hi = math.floor(pos), math.ceil(pos)
-        vals = _values_at_ranks(x, [r_lo, r_hi], st["mn"], st["mx"], 0, buckets, band_rows)
-        return vals[r_lo] + (pos - r_lo) * (vals[r_hi] - vals[r_lo])
+        ends = {math.floor(pos), math.ceil(pos)}
+        vals = {r: -inf if r < low else inf for r in ends if not low <= r < low + mid}
+        inner = [r for r in ends if r not in vals]
+        if inner:
+            vals |= _values_at_ranks(x.filter(finite), inner, st["mn"], st["mx"], low, buckets, band_rows)
+        lo, hi = vals[min(ends)], vals[max(ends)]
+        return lo if lo == hi else lo + (pos - min(ends)) * (hi - lo)
     finally:
         x.unpersist()

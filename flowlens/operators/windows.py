@@ -10,8 +10,8 @@ residual filter, pairs every packet with every window of its key (the key
 is a protocol stack: a handful of values, so a few tasks see almost every
 pair).  The exploded form instead lists, per packet, the few window starts
 that can contain it (``ceil(len/slide)``, plus one for a packet exactly on a
-window end when the end is inclusive) and equi-joins on (keys, start), which
-partitions on the window as well as the key and needs no residual filter.
+window end when the end is inclusive): windows are listed per pane, packets join their own pane
+once, and the window list is exploded after the join.
 """
 
 from __future__ import annotations
@@ -93,10 +93,8 @@ def join_back(packets: DataFrame, windows: DataFrame, time_col: str, length: str
     ``keys`` pairs (packet column, window column).  ``include_end`` keeps the
     ``start <= t <= end`` condition of the original jobs (a packet exactly on
     an end also joins the window that did not count it).  ``how`` is
-    ``inner`` or ``left``.  For ``left`` with the exploded method the windows
-    must be aggregated from the same packets and keys (then the window a
-    packet starts in always exists when its keys and time are non-NULL),
-    which is how window features are built.
+    ``inner`` or ``left`` (a packet in none of the given windows keeps one row
+    of NULLs, also when windows were filtered).
 
     Output: all packet columns plus the window columns (window key columns
     dropped)."""
@@ -115,19 +113,27 @@ def join_back(packets: DataFrame, windows: DataFrame, time_col: str, length: str
         cond = cond & (t >= w["start"]) & upper
         return packets.join(w, cond, how).drop(*[f"_wk{i}" for i in range(len(keys))])
 
+    # Window tables are listed per pane (the common step of length and slide):
+    # a packet meets the windows of its pane in one row, and is shuffled once.
     length_us = parse_duration_us(length)
     slide_us = parse_duration_us(slide) if slide else length_us
-    p = packets.withColumn("_cand", F.explode(candidate_starts(time_col, length_us, slide_us, include_end)))
-    p = p.select("*", F.col("_cand.start_us").alias("_start_us"), F.col("_cand.main").alias("_main")).drop("_cand")
-    w = w.withColumn("_wstart_us", _micros(F.col("start")))
-    cond = p["_start_us"] == w["_wstart_us"]
+    pane_us = math.gcd(length_us, slide_us)
+    start = _micros(F.col("start"))
+    last = length_us // pane_us - (0 if include_end else 1)
+    panes = F.transform(F.sequence(F.lit(0), F.lit(last)), lambda i: F.struct(
+        (start + i.cast("bigint") * F.lit(pane_us)).alias("at"), (i * pane_us == length_us).alias("edge")))
+    nkeys = [f"_wk{i}" for i in range(len(keys))]
+    per = (w.withColumn("_p", F.explode(panes))
+           .groupBy(*nkeys, F.col("_p.at").alias("_pane"))
+           .agg(F.collect_list(F.struct(F.col("_p.edge").alias("edge"), F.struct(*wcols).alias("w"))).alias("_ws")))
+    t = _micros(F.col(time_col))
+    p = packets.withColumns({"_t": t, "_at": t - F.pmod(t, F.lit(pane_us))})
+    cond = p["_at"] == per["_pane"]
     for i, (pk, _) in enumerate(keys):
-        cond = cond & (p[pk] == w[f"_wk{i}"])
-    if how == "inner":
-        out = p.join(w, cond, "inner")
-    else:
-        # Packets with a NULL time have no candidates: keep them (one row).
-        no_time = packets.filter(F.col(time_col).isNull())
-        out = p.join(w, cond, "left").filter(F.col("_wstart_us").isNotNull() | F.col("_main"))
-        out = out.unionByName(no_time, allowMissingColumns=True)
-    return out.drop("_start_us", "_main", "_wstart_us", *[f"_wk{i}" for i in range(len(keys))])
+        cond = cond & (p[pk] == per[f"_wk{i}"])
+    out = p.join(per, cond, how)
+    # The pane after the last holds only packets exactly on the window's end.
+    held = F.filter("_ws", lambda x: ~x["edge"] | (F.col("_t") == F.col("_at")))
+    explode = F.explode if how == "inner" else F.explode_outer
+    out = out.withColumn("_w", explode(held))
+    return out.select(*[F.col(f"`{c}`") for c in packets.columns], *[F.col("_w.w")[c].alias(c) for c in wcols])

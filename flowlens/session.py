@@ -14,7 +14,6 @@ session is the only place where engine behaviour is configured:
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -38,14 +37,16 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = "local[*]", app: str = "flowlens",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the package defaults (``master=None``
-    leaves the master to spark-submit or the cluster defaults)."""
+    leaves the master to spark-submit or the cluster defaults; without
+    ``shuffle_partitions`` the cluster's setting stays)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -85,12 +86,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    sub = f"{name}-{uuid.uuid4().hex[:12]}"
-    if "://" in root:
-        return root.rstrip("/") + "/" + sub
-    return os.path.join(root, sub)
+    """A fresh, unique sub-folder of the shared checkpoint folder, deleted when
+    the driver ends."""
+    path = checkpoint_root(spark).rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def materialize(df):

@@ -50,9 +50,8 @@ def conform(df: DataFrame, schema: T.StructType = SCORED_PACKET,
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType = SCORED_PACKET) -> None:
     """Create an empty target with the contract schema if none exists yet."""
-    try:
-        spark.read.parquet(path).schema
-    except Exception:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
         spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 

@@ -162,13 +162,11 @@ def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- dimensions
 
 def geo_range_dimension(nation: DataFrame) -> DataFrame:
-    """IP-range geo dimension from ``nation``: for every nation n < 24 the
-    ranges 10.0.n.0-255 and 8.x.n.0-255 (x = 0..3); city = name,
-    lon = nation key, lat = region key.  Nation 24 is left out so that
-    unknown addresses occur."""
-    n = nation.filter(F.col("n_nationkey") < 24)
-    prefixes = F.array(F.lit("10.0."), *[F.lit(f"8.{x}.") for x in range(4)])
-    rows = n.select("n_nationkey", "n_name", "n_regionkey",
+    """IP-range geo dimension from ``nation``: for every nation n the ranges
+    10.0.n.0-255 and 8.x.n.0-255 (x = 0..2); city = name, lon = nation key,
+    lat = region key.  Packets to 8.3.* and IPv6 packets are unknown."""
+    prefixes = F.array(F.lit("10.0."), *[F.lit(f"8.{x}.") for x in range(3)])
+    rows = nation.select("n_nationkey", "n_name", "n_regionkey",
                     F.explode(prefixes).alias("prefix"))
     base = F.concat(F.col("prefix"), F.col("n_nationkey").cast("string"))
     return rows.select(
@@ -182,9 +180,11 @@ def geo_range_dimension(nation: DataFrame) -> DataFrame:
 
 
 def reputation_dimension(customer: DataFrame) -> DataFrame:
-    """Reputation scores from ``customer``: address 10.0.(key % 25).(key) for
-    keys below 150, score = floor(|account balance|) % 101."""
-    c = customer.filter(F.col("c_custkey") < 150)
-    return c.select(
-        F.concat(F.lit("10.0."), _s(F.col("c_custkey") % 25), F.lit("."), _s(F.col("c_custkey"))).alias("ip"),
+    """Reputation scores from ``customer``, an address for every customer:
+    10.(key / 6400 % 256).(key % 25).(key / 25 % 256); score =
+    floor(|account balance|) % 101."""
+    k = F.col("c_custkey")
+    return customer.select(
+        F.concat(F.lit("10."), _s(F.floor(k / 6400) % 256), F.lit("."), _s(k % 25), F.lit("."),
+                 _s(F.floor(k / 25) % 256)).alias("ip"),
         (F.floor(F.abs("c_acctbal")).cast("int") % 101).alias("score"))

@@ -184,18 +184,18 @@ def start_forest_scoring(stream: DataFrame, model, cut: float, out_path: str, ch
 
 def run_all(queries: list[StreamingQuery], timeout: float | None = None) -> None:
     """Wait until every given query has stopped (started together, as one
-    flow writing several outputs); the first failure is raised at once."""
-    from pyspark.sql import SparkSession
-    manager = SparkSession.getActiveSession().streams
+    flow writing several outputs); the first failure is raised at once.
+    After ``timeout`` seconds it returns, whatever still runs."""
+    import time
     pending = list(queries)
-    while pending:
-        manager.awaitAnyTermination(timeout)
+    end = None if timeout is None else time.monotonic() + timeout
+    while pending and (end is None or time.monotonic() < end):
+        pending[0].awaitTermination(0.5)
         for q in list(pending):
             if not q.isActive:
                 if q.exception():
                     raise q.exception()
                 pending.remove(q)
-        manager.resetTerminated()
 
 
 def read_batches(spark, path: str) -> DataFrame:

@@ -88,7 +88,7 @@ def main(argv):
     only = set(argv[2:])
     import __spark_entry__ as E
     from flowlens.session import build_session
-    spark = build_session()
+    spark = build_session(shuffle_partitions=8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0

@@ -28,7 +28,7 @@ def test_exploded_joinback_is_an_equi_join(spark, sf_small):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
-    assert "_start_us" in p
+    assert "_pane" in p
 
 
 def test_narrow_schema_reaches_the_json_scan(spark, tmp_path):
