@@ -121,7 +121,7 @@ def join_back(packets: DataFrame, windows: DataFrame, time_col: str, length: str
     start = _micros(F.col("start"))
     last = length_us // pane_us - (0 if include_end else 1)
     panes = F.transform(F.sequence(F.lit(0), F.lit(last)), lambda i: F.struct(
-        (start + i.cast("bigint") * F.lit(pane_us)).alias("at"), (i * pane_us == length_us).alias("edge")))
+        (start + i.cast("bigint") * F.lit(pane_us)).alias("at"), (i.cast("bigint") * F.lit(pane_us) == F.lit(length_us)).alias("edge")))
     nkeys = [f"_wk{i}" for i in range(len(keys))]
     per = (w.withColumn("_p", F.explode(panes))
            .groupBy(*nkeys, F.col("_p.at").alias("_pane"))

@@ -74,3 +74,14 @@ def test_candidate_starts_cover_windows(spark):
     base = int(T0.replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
     assert [(x - base) // 1_000_000 for x in on_edge] == [30, 35, 40, 45]
     assert [(x - base) // 1_000_000 for x in inside] == [35, 40, 45]
+
+
+def test_left_join_back_with_filtered_windows(spark):
+    """A packet on the end of the only window left has that row and no other."""
+    t = spark.sql("select 1 id, 'a' frame_protocols, timestamp'2024-01-01 00:00:20' frame_time union all "
+                  "select 2, 'a', timestamp'2024-01-01 00:01:05' union all select 3, 'a', null")
+    w = spark.sql("select 'a' frame_protocols, timestamp'2024-01-01 00:00:10' start, timestamp'2024-01-01 00:00:20' end")
+    for method in ("naive", "exploded"):
+        out = windows.join_back(t, w, "frame_time", "10 seconds", how="left", method=method)
+        rows = sorted((r.id, None if r.start is None else str(r.start.time())) for r in out.collect())
+        assert rows == [(1, "00:00:10"), (2, None), (3, None)], method
