@@ -14,13 +14,18 @@ level lies below the count.  Points are made in order of time and a process
 stops at the latest register of its document, which spares most of them.
 
 Banding: :data:`BANDS` bands of :data:`ROWS` registers; at similarity 0.8 a
-pair shares a band with probability 0.9999.  In a band bucket only links to a
-hub (the least content key) are verified, exactly, on the shingle multisets.
-Then buckets are looked at again: where members are still in different
-components and have not been compared, further hubs follow, twice as many each
-round, until every pair of a bucket is in one component or compared.  So no
-link that a bucket holds is lost, and a bucket of near copies costs one
-comparison per member.
+pair shares a band with probability 0.9996, at 0.4 with 0.1 (documents that only
+have a passage in common seldom meet).  In a bucket only links to a hub are
+verified, exactly, on the shingle multisets; the hub is the member that shares
+most buckets with others, so among copies of one text the most central.  Then
+buckets are looked at again: where members are in different components and
+were not compared, the next :data:`FIRST_HUBS` hubs follow, then that many times
+as many, until every pair of a bucket is in one component or compared.  Pairs
+of these later rounds are verified if the whole signature lets them be: of the
+:data:`MARKS` pairs of registers at least :data:`LIKELY` agree, as they do at
+similarity 0.8 with probability 0.9995.  That turns away documents with only a
+passage in common.  A bucket of near copies costs a few comparisons per member;
+one of documents all unlike each other is compared by signature in full.
 
 Edge cases: texts without words are linked only to equal texts; null texts
 are empty; documents are joined by content key, so repeated ids and rows fall
@@ -43,8 +48,10 @@ from .graph import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 20, 4
+BANDS, ROWS = 26, 6
+FIRST_HUBS = 16
 REGISTERS = BANDS * ROWS
+MARKS, LIKELY = REGISTERS // 2, 36
 SHARD_BYTES = 8 << 20
 
 
@@ -106,16 +113,25 @@ def band_keys(reg: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def mark_keys(reg: np.ndarray) -> np.ndarray:
+    """32 bits per pair of registers, for estimating similarities."""
+    bits = np.ascontiguousarray(reg).view(np.uint64).reshape(len(reg), MARKS, 2)
+    key = mix(bits[:, :, 0] ^ mix(bits[:, :, 1] ^ np.arange(MARKS, dtype=np.uint64), 12), 13)
+    return (key >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for tab in chunks(batches, SHARD_BYTES):
         h, off = shingles_of(tab["text"])
         n = tab.num_rows
-        keys = band_keys(signatures(*bags(h, off), n))
+        reg = signatures(*bags(h, off), n)
+        keys, marks = band_keys(reg), mark_keys(reg)
         some = np.diff(off) > 0
         bands = pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))]).astype(np.int32)),
             pa.array(keys[some].reshape(-1)))
-        out = tab.drop_columns(["text"]).append_column("__bands", bands)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * MARKS), pa.array(marks.reshape(-1)))
+        out = tab.drop_columns(["text"]).append_column("__bands", bands).append_column("__marks", lists)
         yield from out.to_batches()
 
 
@@ -126,7 +142,7 @@ def signed(docs: DataFrame) -> DataFrame:
     df = docs.select("doc_id", content_key().alias("__u"),
                      F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__d"),
                      F.col("text").cast("string").alias("text"))
-    return df.mapInArrow(_sign, f"doc_id {kind}, __u binary, __d string, __bands array<bigint>")
+    return df.mapInArrow(_sign, f"doc_id {kind}, __u binary, __d string, __bands array<bigint>, __marks array<int>")
 
 
 def _multiset(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,63 +174,75 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = va[oa[i]:oa[i + 1]], vb[ob[i]:ob[i + 1]]
             small, large = min(len(a), len(b)), max(len(a), len(b))
             both = overlap(a, b) if small >= SIMILARITY * large else 0
-            ok.append(both >= SIMILARITY * (len(a) + len(b) - both) and both > 0)
+            ok.append(both > 0 and both >= SIMILARITY * (len(a) + len(b) - both))
         yield pa.RecordBatch.from_arrays([t["a"], t["b"], pa.array(ok, pa.bool_())], ["a", "b", "ok"])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """``pairs`` (``a, b`` content keys) with ``ok``: similarity reached."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("__u")).distinct()
-    rows = reps.join(need, "__u")
+def multisets(need: DataFrame, docs: DataFrame, signs: DataFrame) -> DataFrame:
+    """``u, sh``: the shingles of each text whose key is in ``need`` (``__u``),
+    from one document each."""
+    reps = signs.groupBy("__u").agg(F.min("__d").alias("__d")).join(need, "__u")
     src = docs.select(F.col("text").cast("string").alias("text"), content_key().alias("__u"),
                       F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__d"))
-    texts = src.join(rows.select("__u", "__d"), ["__u", "__d"], "left_semi").dropDuplicates(["__u", "__d"])
-    sets = stored(texts.mapInArrow(_multiset, "u binary, sh array<bigint>"), "shingles")
+    texts = src.join(reps.select("__u", "__d"), ["__u", "__d"], "left_semi").dropDuplicates(["__u", "__d"])
+    return stored(texts.mapInArrow(_multiset, "u binary, sh array<bigint>"), "shingles")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (``a, b`` content keys) with ``ok``: similarity reached."""
     both = (pairs.join(sets.select(F.col("u").alias("a"), F.col("sh").alias("sa")), "a")
             .join(sets.select(F.col("u").alias("b"), F.col("sh").alias("sb")), "b"))
     return saved(both.select("a", "b", "sa", "sb").mapInArrow(_verify, "a binary, b binary, ok boolean"))
 
 
-def links(signs: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Verified links between different texts, and their components."""
-    # One document stands for each text.
-    reps = signs.groupBy("__u").agg(F.min("__d").alias("__d"))
+def links(signs: DataFrame, docs: DataFrame) -> DataFrame:
+    """``v, root``: components of the verified links between different texts."""
     members = signs.select("__u", F.explode("__bands").alias("key"))
-    hubs = (members.groupBy("key").agg(F.min("__u").alias("lo"), F.max("__u").alias("hi"))
-            .where("lo <> hi").select("key", F.col("lo").alias("hub")))
-    hubs = saved(hubs)
-    buckets = saved(members.join(hubs, "key").where("__u <> hub").select("key", F.col("__u").alias("u"), "hub").distinct())
-    pairs = saved(buckets.select(F.col("hub").alias("a"), F.col("u").alias("b")).distinct())
-    checked = verified(pairs, docs, reps)
-    edges = checked.where("ok").select("a", "b")
-    roots = components(edges)
-    buckets = buckets.select("key", "u").where("u <> hub")
-    per_key = 2
+    several = (members.groupBy("key").agg(F.min("__u").alias("lo"), F.max("__u").alias("hi"))
+               .where("lo <> hi").select("key"))
+    buckets = saved(members.join(several, "key").select("key", F.col("__u").alias("u")).distinct())
+    size = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    degree = saved(buckets.join(size, "key").groupBy("u").agg(F.sum("c").alias("deg")))
+    sets = multisets(degree.select(F.col("u").alias("__u")), docs, signs)
+    buckets = buckets.join(degree, "u")
+    hubs = buckets.groupBy("key").agg(F.max(F.struct("deg", "u")).alias("h")).select("key", F.col("h.u").alias("hub"))
+    rows = saved(buckets.join(hubs, "key").where("u <> hub"))
+    checked = verified(rows.select(F.least("u", "hub").alias("a"), F.greatest("u", "hub").alias("b")).distinct(), sets)
+    roots = components(checked.where("ok").select("a", "b"))
+    buckets, hubs_per_key, marks = rows.select("key", "u", "deg"), FIRST_HUBS, None
     while True:
-        # Members apart from each other: keys that hold two components among members not yet hubs.
+        # Buckets that hold two components among the members that were no hub yet.
         at = buckets.join(roots.withColumnRenamed("v", "u"), "u", "left").withColumn("root", F.coalesce("root", "u"))
         split = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
         buckets = saved(at.join(split.select("key"), "key", "left_semi"))
         if not buckets.limit(1).count():
-            return edges, roots
-        order = Window.partitionBy("key").orderBy("u")
-        chosen = saved(buckets.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_key)
-                       .select("key", F.col("u").alias("hub"), F.col("root").alias("hub_root")))
-        pairs = (buckets.join(chosen, "key").where("hub <> u and hub_root <> root")
-                 .select(F.least("hub", "u").alias("a"), F.greatest("hub", "u").alias("b")).distinct())
-        pairs = saved(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"))
-        fresh = verified(pairs, docs, reps)
-        checked = saved(checked.unionByName(fresh))
-        edges = checked.where("ok").select("a", "b")
-        roots = components(edges)
-        buckets = (buckets.select("key", "u").join(chosen.select("key", F.col("hub").alias("u")), ["key", "u"], "left_anti"))
-        per_key *= 2
+            return roots
+        if marks is None:
+            need = buckets.select(F.col("u").alias("__u")).distinct()
+            marks = saved(signs.select("__u", "__marks").join(need, "__u").dropDuplicates(["__u"])
+                          .select(F.col("__u").alias("u"), F.col("__marks").alias("marks")))
+        order = Window.partitionBy("key").orderBy(F.desc("deg"), "u")
+        chosen = saved(buckets.withColumn("n", F.row_number().over(order)).where(F.col("n") <= hubs_per_key)
+                       .select("key", "u", "root").join(marks, "u")
+                       .select("key", F.col("u").alias("hub"), F.col("root").alias("hub_root"),
+                               F.col("marks").alias("hub_marks")))
+        pairs = (buckets.join(marks, "u").join(chosen, "key")
+                 .where(f"hub <> u and hub_root <> root and size(array_intersect(marks, hub_marks)) >= {LIKELY}")
+                 .select(F.least("hub", "u").alias("a"), F.greatest("hub", "u").alias("b")).distinct()
+                 .join(checked.select("a", "b"), ["a", "b"], "left_anti"))
+        fresh = verified(pairs, sets)
+        checked = checked.unionByName(fresh)
+        if fresh.where("ok").limit(1).count():
+            roots = components(checked.where("ok").select("a", "b"))
+        buckets = (buckets.select("key", "u", "deg")
+                   .join(chosen.select("key", F.col("hub").alias("u")), ["key", "u"], "left_anti"))
+        hubs_per_key *= FIRST_HUBS
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """``doc_id, __u, __d, __root``: the content key that names the class."""
     signs = stored(signed(docs), "signatures")
-    _, roots = links(signs, docs)
+    roots = links(signs, docs)
     return (signs.select("doc_id", "__u", "__d")
             .join(roots.select(F.col("v").alias("__u"), F.col("root").alias("__root")), "__u", "left")
             .withColumn("__root", F.coalesce("__root", "__u")))

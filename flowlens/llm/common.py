@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root, scratch_path
+from ..session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,19 +31,19 @@ def content_key(col: str | Column = "text") -> Column:
     return F.unhex(F.substring(F.sha2(text_or_empty(col).cast("binary"), 256), 1, 32))
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """Cut lineage in the shared folder, so that a lost executor re-reads files."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Like :func:`saved`, as compressed Parquet: for wide intermediates."""
+def stored(df: DataFrame, name: str = "step") -> DataFrame:
+    """Cut lineage: write ``df`` as Parquet to the shared folder and read it
+    back, so that a lost executor re-reads files.  Unlike ``checkpoint()`` the
+    result forgets the plan's size estimates, which iterations would multiply
+    without bound, and has the files' sizes instead."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+saved = stored
+
+
 SLICE_ROWS = 20_000
 
 
