@@ -57,7 +57,7 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 BARRIER = {"ul", "ol", "dl", "table", "menu", "select"}
 INLINE_PARENTS = {"p", "b", "i", "em", "strong", "a", "span", "u", "small", "font", "code"}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|([^<]+|<)",
                     re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _NAME = re.compile(r"[a-z]+")
@@ -84,10 +84,14 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     pos, n = 0, len(page)
     while pos < n:
         m = _TOKEN.match(page, pos)
-        if m is None:  # a tag that never closes: the rest is no text
-            break
         pos = m.end()
         text = m.group(4)
+        if text == "<" and (page[pos:pos + 1].isalpha() or page[pos:pos + 1] == "/"):
+            end = page.find(">", pos)  # a tag with unpaired quotes, or one that never closes
+            if end < 0:
+                break
+            pos = end + 1
+            continue
         if text is not None:
             if not held:
                 path = tuple(w for _, words in stack for w in words)

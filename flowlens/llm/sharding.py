@@ -3,10 +3,10 @@ only).  Law ``rows``: shard counts are at most one apart, always.
 
 Documents of equal text are linked.  They start on shards by a deterministic
 shuffle, counts one apart at most.  In each round every group counts its
-documents per shard (one row per group and shard); a document proposes to move
-to the shard holding most of its group, if that is more than on its own (ties
-by a hash of group and shard).  A shard with more of the group than a full
-shard holds is no target.  Moves obey quotas: shards swap equal numbers, and
+documents per shard (one row per group and shard); its homes are the shards
+holding most of it (ties by a hash of group and shard), one, or as many as a
+group larger than a shard fills.  Documents elsewhere propose to move to a
+home.  Moves obey quotas: shards swap equal numbers, and
 where more documents come than leave, unlinked documents of the target shard
 go the other way, in the order of :func:`common.positions`.  Counts therefore
 never change, and the cut (linked documents apart) only shrinks.  What the
@@ -21,13 +21,14 @@ result; ties are broken by hashes of the row's content, and rows equal in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import content_key, positions, saved
 
 SHARDS = 40
 ROUNDS = 4
+SALT = 16
 
 
 def _quotas(want: dict, free: dict, shards: int) -> tuple[dict, dict]:
@@ -54,20 +55,20 @@ def _literal(rows: list, names: list[str], spark) -> DataFrame:
 def round_of(df: DataFrame, rows: int, shards: int, turn: int) -> DataFrame | None:
     """One round of moves over ``__g`` (group), ``__n`` (its size), ``shard``;
     None when no document may move."""
-    spark = df.sparkSession
+    spark, own = df.sparkSession, df.columns
     full = -(-rows // shards)
     linked = df.where("__n > 1")
-    here = linked.groupBy("__g", "shard").agg(F.count(F.lit(1)).alias("__c"))
-    tie = F.xxhash64("__g", "shard", F.lit(turn // 2))
-    best = here.where(F.col("__c") < full).groupBy("__g").agg(
-        F.max(F.struct("__c", tie.alias("__tie"), F.col("shard").alias("__to"))).alias("__b"))
-    moves = (here.join(best, "__g").where((F.col("__b.__to") != F.col("shard")) & (
-        (F.col("__b.__c") > F.col("__c")) | ((F.col("__b.__c") == F.col("__c")) & (F.col("__b.__tie") > tie))))
-        .select(F.col("__g").alias("__mg"), F.col("shard").alias("__ms"), F.col("__b.__to").alias("__to"),
-                # no more than the target can still hold of this group
-                F.col("__c").alias("__have")))
-    state = saved(df.join(moves, (F.col("__g") == F.col("__mg")) & (F.col("shard") == F.col("__ms")), "left")
-                  .select(*df.columns, "__to"))
+    here = linked.groupBy("__g", "__n", "shard").agg(F.count(F.lit(1)).alias("__c"))
+    # A group's homes: the shards with most of it, as many as it fills.
+    order = Window.partitionBy("__g").orderBy(F.desc("__c"), F.xxhash64("__g", "shard"), "shard")
+    placed = here.withColumn("__home", F.row_number().over(order) <= F.ceil(F.col("__n") / F.lit(full)))
+    homes = placed.where("__home").groupBy("__g").agg(F.sort_array(F.collect_list("shard")).alias("__homes"))
+    moves = (placed.where("not __home").join(homes, "__g")
+             .select(F.col("__g").alias("__mg"), F.col("shard").alias("__ms"), "__homes"))
+    pick = F.pmod(F.xxhash64("__key", F.lit(turn)), F.size("__homes")).cast("int")
+    df = df.join(moves, (F.col("__g") == F.col("__mg")) & (F.col("shard") == F.col("__ms")), "left")
+    df = df.withColumn("__to", F.get("__homes", pick)).drop("__mg", "__ms", "__homes")
+    state = saved(df)
     counts = state.groupBy("shard", "__to", (F.col("__n") > 1).alias("linked")).agg(F.count(F.lit(1)).alias("c")).collect()
     want = {(r["shard"], r["__to"]): r["c"] for r in counts if r["__to"] is not None}
     free: dict = {}
@@ -93,10 +94,10 @@ def round_of(df: DataFrame, rows: int, shards: int, turn: int) -> DataFrame | No
         free_rows = free_rows.join(ranges, (F.col("shard") == F.col("__qt")) & (F.col("__p") >= F.col("__lo"))
                                    & (F.col("__p") < F.col("__hi")), "left")
         free_rows = free_rows.withColumn("shard", F.coalesce(F.col("__qs"), F.col("shard")).cast("int"))
-        out = stay.where("__n > 1").select(*df.columns).unionByName(free_rows.select(*df.columns))
+        out = stay.where("__n > 1").select(*own).unionByName(free_rows.select(*own))
     else:
-        out = stay.select(*df.columns)
-    return saved(out.unionByName(go.select(*df.columns)))
+        out = stay.select(*own)
+    return saved(out.unionByName(go.select(*own)))
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
@@ -108,8 +109,11 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     base = saved(base.withColumn("__key", F.xxhash64(F.lit(5), "doc_id", "__g")))
     rows = base.count()
     sizes = base.groupBy("__g").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
-    df = base.join(sizes.withColumnRenamed("__g", "__sg"), F.col("__g") == F.col("__sg"), "left")
-    df = df.withColumn("__n", F.coalesce("__n", F.lit(1))).drop("__sg")
+    # The join is salted: the rows of a hot group meet copies of its size in several tasks.
+    sizes = sizes.select(F.col("__g").alias("__sg"), "__n", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("__ss"))
+    df = base.withColumn("__s", F.pmod("__key", F.lit(SALT)).cast("int"))
+    df = df.join(sizes, (F.col("__g") == F.col("__sg")) & (F.col("__s") == F.col("__ss")), "left")
+    df = df.withColumn("__n", F.coalesce("__n", F.lit(1))).drop("__sg", "__ss", "__s")
     df = positions(df.withColumn("__all", F.lit(0)), ["__all"], ["__key", "doc_id"], "__p", rows)
     df = saved(df.withColumn("shard", F.pmod("__p", F.lit(shards)).cast("int")).drop("__p", "__all"))
     for turn in range(rounds):
