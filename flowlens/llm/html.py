@@ -155,7 +155,7 @@ def features(blocks: list) -> tuple[list[list[int]], np.ndarray]:
         if path:
             own.add(_h("leaf " + path[-1], PATH_DIM))
         words = text.split(" ")
-        ids.append(sorted(own) + sorted({PATH_DIM + _h(w.lower().strip(".,:;!?()"), WORD_DIM) for w in words[:40]}))
+        ids.append(sorted(own) + sorted({PATH_DIM + _h(w.lower().strip(".,:;!?()"), WORD_DIM) for w in words}))
         counts[i] = (np.log1p(len(words)) / 5, linked / max(len(text), 1), text[-1] in ".!?", len(words) < 4,
                      i / max(len(blocks), 1), 1.0)
     return ids, counts

@@ -21,6 +21,12 @@ def test_blocks():
     assert H.blocks_of("") == [] and H.blocks_of("plain & text")[0][1] == "plain & text"
 
 
+def test_all_words_of_a_block_count():
+    start = " ".join(f"w{k}" for k in range(40))
+    ids, _ = H.features([(("p",), start, 0), (("p",), start + " and quite another ending", 0)])
+    assert set(ids[0]) < set(ids[1])
+
+
 def test_gradients_by_differences():
     pages, labels = H.training_set(["some words here.", "other text"], 3, seed=5)
     model = H.Labeller(2)
