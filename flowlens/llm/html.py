@@ -14,7 +14,10 @@ blocks are the article.  The sample is the only bounded part: every page and
 every block is labelled.
 
 Character references are decoded, white space inside a block becomes one
-space, ``script``, ``style`` and other raw elements and comments are no text.
+space, ``script``, ``style``, ``textarea`` and ``title`` and comments are no text.
+Text in ``select``, ``noscript``, ``template``, ``iframe``, ``object``, ``svg``
+and ``math`` is labelled like any other; left open, these end with the element
+around them, and ``select``, ``svg`` and ``math`` at the next block-level tag.
 
 Edge cases: null and empty pages have no blocks and an empty text; unclosed,
 misnested and unknown tags are tolerated; very long pages are read in full;
@@ -46,7 +49,11 @@ SHARD_BYTES = 4 << 20
 
 # HTML element classes.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "title", "select"}
+RAW = {"script", "style", "textarea", "title"}
+#: Text in these is a block of its own, though they may stand in a paragraph.
+APART = {"select", "noscript", "template", "iframe"}
+#: A block-level tag ends these if open, but not from inside the second set.
+FOREIGN, FOREIGN_BARRIER = {"select", "svg", "math"}, {"foreignobject", "annotation-xml", "desc"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "br", "button", "caption", "center", "dd", "details",
          "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4",
          "h5", "h6", "head", "header", "hr", "html", "label", "legend", "li", "main", "menu", "nav", "ol", "option",
@@ -103,7 +110,7 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag in BLOCK:
+        if tag in BLOCK or tag in APART:
             flush()
         if m.group(1):
             for i in range(len(stack) - 1, -1, -1):
@@ -118,6 +125,13 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, int]]:
             continue
         if tag in VOID:
             continue
+        if tag in BLOCK and tag != "option":
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] in FOREIGN_BARRIER:
+                    break
+                if stack[i][0] in FOREIGN:
+                    del stack[i:]
+                    break
         if tag in ENDS:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in BARRIER:
@@ -351,6 +365,8 @@ def _template(rng: np.random.Generator, texts: list[str]) -> list[tuple[str, boo
         elif kind == "form":
             out.append((f"<label>{few(some(1, 2)[0])}</label><input name=q><button>{few(some(1, 2)[0])}</button>"
                         f"<p>{some(1, 2)[0]}</p>", False))
+            if rng.random() < 0.4:
+                out.append(("<select>" + "".join(f"<option>{few(t)}" for t in some(1, 6)) + "</select>", False))
         elif kind == "comments":
             item = pick(["div", "li", "article"])
             out += [(f'<{item} class="{pick(["comment", "reply", "comment-body"])}"><p>{t}</p></{item}>', False)
@@ -365,6 +381,10 @@ def _template(rng: np.random.Generator, texts: list[str]) -> list[tuple[str, boo
     for kind in ("menu", "header", "notice", "ad"):
         if rng.random() < 0.6:
             page += bad(kind)
+    if rng.random() < 0.2:
+        page.append((f"<{(t := pick(['noscript', 'template', 'select', 'iframe']))}>{few(some(1, 2)[0])}</{t}>", False))
+    if rng.random() < 0.1:  # never closed
+        page.append((f"<{pick(['object', 'svg', 'select', 'noscript', 'template'])}>", False))
     if rng.random() < 0.3:
         page += bad("side")
     tag = pick(["article", "article", "main", "div", "section"])
@@ -386,8 +406,12 @@ def _template(rng: np.random.Generator, texts: list[str]) -> list[tuple[str, boo
             page.append((f"<h2>{few(t)}</h2>", True))
         elif roll < 0.9:
             page.append((f"<ul><li>{t}</li><li>{few(t)}</li></ul>", True))
-        elif roll < 0.93:
+        elif roll < 0.92:
             page.append((f"<blockquote>{t}</blockquote>", True))
+        elif roll < 0.94:
+            page.append((f"<object><p>{t}</p></object>", True))
+        elif roll < 0.95:
+            page.append((f"<noscript>{few(t)}</noscript>", False))
         else:
             page += bad(pick(["ad", "share", "side", "form", "notice"]))
     if rng.random() < 0.25:

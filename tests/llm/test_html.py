@@ -21,6 +21,19 @@ def test_blocks():
     assert H.blocks_of("") == [] and H.blocks_of("plain & text")[0][1] == "plain & text"
 
 
+def test_embedded_elements_are_read_and_lose_nothing():
+    def cut(page):
+        return [(p[-1], t) for p, t, _ in H.blocks_of(page)]
+
+    for open_tag in ("object", "select", "svg", "noscript", "template", "math", "iframe"):
+        assert cut(f"<div><{open_tag} id=a>x</div><article><p>one<p>two</article>")[-2:] == [("p", "one"), ("p", "two")]
+        assert [t for _, t in cut(f"<{open_tag}><article><p>one<p>two</article>")] == ["one", "two"]
+    assert cut("<p>a <svg><g><svg><text>b</text></svg><text>c</text></svg> d</p><p>e") == [("p", "a bc d"), ("p", "e")]
+    assert cut("<p>so <math><mi>x</mi></math> is</p><object><p>film</p></object>") == [("p", "so x is"), ("p", "film")]
+    assert cut("<p>pick <select><option>1<option>2</select> now</p>") == [
+        ("p", "pick"), ("option", "1"), ("option", "2"), ("p", "now")]
+
+
 def test_all_words_of_a_block_count():
     start = " ".join(f"w{k}" for k in range(40))
     ids, _ = H.features([(("p",), start, 0), (("p",), start + " and quite another ending", 0)])
@@ -60,6 +73,16 @@ def test_held_out_pages_and_templates(spark):
     assert (right == np.concatenate(labels)).mean() > 0.98
 
 
+def test_unclosed_elements_before_the_article(spark):
+    rows = pq.read_table(PAGES).to_pylist()[:60]
+    model = H.trained([r["html"] for r in rows])
+    for tag in ("object", "select", "svg"):
+        pages = [H.blocks_of(r["html"].replace("<article>", f"<{tag}><article>", 1)) for r in rows]
+        scores = model.scores([H.features(b) for b in pages])
+        got = [" ".join(t for (_, t, _), x in zip(b, s.tolist()) if x > 0) for b, s in zip(pages, scores)]
+        assert sum(g == reference_text(r["html"]) for g, r in zip(got, rows)) >= 57, tag
+
+
 def test_edge_rows(spark):
     page = pq.read_table(PAGES).to_pylist()[3]["html"]
     rows = [(1, None, None), (2, "u", ""), (None, "v", page), (4, None, page), (4, None, page), (5, "w", "<script>x")]
