@@ -9,7 +9,8 @@ group larger than a shard fills.  Documents elsewhere propose to move to a
 home.  Moves obey quotas: shards swap equal numbers, and
 where more documents come than leave, unlinked documents of the target shard
 go the other way, in the order of :func:`common.positions`.  Counts therefore
-never change, and the cut (linked documents apart) only shrinks.  What the
+never change, and the cut (linked documents apart) only shrinks.  Rounds go on
+until none of a group's homes accepts a move.  What the
 driver sees per round is one count per pair of shards.
 
 A group too large for a shard fills several.  Edge cases: null texts are equal
@@ -27,7 +28,6 @@ from pyspark.sql import functions as F
 from .common import content_key, positions, saved
 
 SHARDS = 40
-ROUNDS = 4
 SALT = 16
 
 
@@ -52,9 +52,9 @@ def _literal(rows: list, names: list[str], spark) -> DataFrame:
     return F.broadcast(spark.createDataFrame(rows, ", ".join(f"{n} bigint" for n in names)))
 
 
-def round_of(df: DataFrame, rows: int, shards: int, turn: int) -> DataFrame | None:
+def round_of(df: DataFrame, rows: int, shards: int, turn: int) -> tuple[DataFrame | None, int]:
     """One round of moves over ``__g`` (group), ``__n`` (its size), ``shard``;
-    None when no document may move."""
+    None when no document may move; and the most homes a proposal chose from."""
     spark, own = df.sparkSession, df.columns
     full = -(-rows // shards)
     linked = df.where("__n > 1")
@@ -65,11 +65,13 @@ def round_of(df: DataFrame, rows: int, shards: int, turn: int) -> DataFrame | No
     homes = placed.where("__home").groupBy("__g").agg(F.sort_array(F.collect_list("shard")).alias("__homes"))
     moves = (placed.where("not __home").join(homes, "__g")
              .select(F.col("__g").alias("__mg"), F.col("shard").alias("__ms"), "__homes"))
-    pick = F.pmod(F.xxhash64("__key", F.lit(turn)), F.size("__homes")).cast("int")
+    pick = F.pmod(F.pmod("__key", F.size("__homes")) + F.lit(turn), F.size("__homes")).cast("int")
     df = df.join(moves, (F.col("__g") == F.col("__mg")) & (F.col("shard") == F.col("__ms")), "left")
-    df = df.withColumn("__to", F.get("__homes", pick)).drop("__mg", "__ms", "__homes")
+    df = df.withColumn("__to", F.get("__homes", pick)).withColumn("__of", F.size("__homes")).drop("__mg", "__ms", "__homes")
     state = saved(df)
-    counts = state.groupBy("shard", "__to", (F.col("__n") > 1).alias("linked")).agg(F.count(F.lit(1)).alias("c")).collect()
+    counts = state.groupBy("shard", "__to", (F.col("__n") > 1).alias("linked")).agg(
+        F.count(F.lit(1)).alias("c"), F.max("__of").alias("of")).collect()
+    homes_of = max((r["of"] for r in counts if r["__to"] is not None), default=0)
     want = {(r["shard"], r["__to"]): r["c"] for r in counts if r["__to"] is not None}
     free: dict = {}
     for r in counts:
@@ -77,7 +79,7 @@ def round_of(df: DataFrame, rows: int, shards: int, turn: int) -> DataFrame | No
             free[r["shard"]] = free.get(r["shard"], 0) + r["c"]
     take, back = _quotas(want, free, shards)
     if not take:
-        return None
+        return None, homes_of
     go = positions(state.where("__to is not null"), ["shard", "__to"], ["__g", "__key"], "__p")
     quota = _literal([(s, t, n) for (s, t), n in take.items()], ["__qs", "__qt", "__q"], spark)
     go = go.join(quota, (F.col("shard") == F.col("__qs")) & (F.col("__to") == F.col("__qt")), "left")
@@ -97,12 +99,12 @@ def round_of(df: DataFrame, rows: int, shards: int, turn: int) -> DataFrame | No
         out = stay.where("__n > 1").select(*own).unionByName(free_rows.select(*own))
     else:
         out = stay.select(*own)
-    return saved(out.unionByName(go.select(*own)))
+    return saved(out.unionByName(go.select(*own))), homes_of
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS, rounds: int | None = None) -> DataFrame:
     """One row per document: ``doc_id, size, text_crc32, law, shard, slot,
-    grown_shard``."""
+    grown_shard``; after ``rounds``, or when no move is left."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = docs.select("doc_id", (F.octet_length(text) + 16).cast("bigint").alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"), content_key().alias("__g"))
@@ -116,11 +118,15 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     df = df.withColumn("__n", F.coalesce("__n", F.lit(1))).drop("__sg", "__ss", "__s")
     df = positions(df.withColumn("__all", F.lit(0)), ["__all"], ["__key", "doc_id"], "__p", rows)
     df = saved(df.withColumn("shard", F.pmod("__p", F.lit(shards)).cast("int")).drop("__p", "__all"))
-    for turn in range(rounds):
-        nxt = round_of(df, rows, shards, turn)
-        if nxt is None:
+    turn = idle = 0
+    while rounds is None or turn < rounds:
+        nxt, homes_of = round_of(df, rows, shards, turn)
+        turn += 1
+        idle = idle + 1 if nxt is None else 0
+        if nxt is not None:
+            df = nxt
+        elif idle >= homes_of:  # every home was asked
             break
-        df = nxt
     out = positions(df, ["shard"], ["__key", "doc_id"], "slot", rows)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
                       F.col("slot").cast("int").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

@@ -43,6 +43,16 @@ def test_groups_come_together_and_large_ones_split(spark, monkeypatch):
     assert sum(hot.values()) == 200 and sum(n for _, n in hot.most_common(4)) >= 190
 
 
+def test_rounds_go_on_until_no_move_is_left(spark, monkeypatch):
+    """Six rounds with moves, then as many without as a proposal has homes."""
+    turns = []
+    monkeypatch.setattr(sharding, "round_of",
+                        lambda df, rows, shards, turn: turns.append(turn) or (df if turn < 6 else None, 3))
+    src = [(i, prose(i // 3, 12)) for i in range(30)]
+    check(sharding.shard(docs(spark, src), shards=10).collect(), src, 10)
+    assert turns == list(range(9))
+
+
 def test_positions_are_gapless_and_stable(spark, monkeypatch):
     monkeypatch.setattr(common, "SLICE_ROWS", 10)
     df = spark.range(500).select((F.col("id") % 3).alias("g"), F.col("id"))
