@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bagminhash, decontam, html, interactions, packing, passages, quality, secrets, sharding, tokens, urls, whitening
+from . import (bagminhash, decontam, html, interactions, packing, passages, quality, secrets, sharding, tokengroups, tokens,
+               urls, whitening)
 from .common import table
 
 
@@ -54,6 +55,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokengroups.report(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -63,6 +68,6 @@ QUERIES = {"op1_quality": op1_quality, "op2_decontaminate": op2_decontaminate,
            "op7_urls": op7_urls,
            "op8_sharding": op8_sharding, "op9_passages": op9_passages,
            "op10_near_documents": op10_near_documents, "op11_filter_audit": op11_filter_audit,
-           "op13_whitening": op13_whitening}
+           "op12_ngram_join": op12_ngram_join, "op13_whitening": op13_whitening}
 SQL = {"op1_quality": quality.SQL, "op2_decontaminate": decontam.SQL, "op7_urls": urls.SQL,
        "op11_filter_audit": interactions.SQL}
