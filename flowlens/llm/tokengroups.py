@@ -54,6 +54,7 @@ from .graph import components
 SHINGLE, PERCENT = 4, 85
 CELLS, SLICES, SALTS = 1 << 20, 16, 8
 GROUP, TOKENS, FEW = 64, 1 << 16, 4
+BROADCAST_ROWS = 500_000  # some 40 bytes each
 SHARD_BYTES = 8 << 20
 
 
@@ -197,9 +198,10 @@ def grouped(signs: DataFrame) -> DataFrame:
 
 def prefixes(signs: DataFrame, sets: DataFrame) -> DataFrame:
     """``tok, sid, pos, g, n`` of the prefix tokens that several sets have."""
-    rows = (signs.select("f1", "f2", "n", "u", "d", "prefix")
-            .join(sets.select("f1", "f2", "n", "u", "d", "sid"), ["f1", "f2", "n", "u", "d"])
-            .select("sid", F.posexplode("prefix").alias("pos", "tok")))
+    whole = stored(signs.select("f1", "f2", "n", "u", "d", "prefix")
+                   .join(sets.select("f1", "f2", "n", "u", "d", "sid"), ["f1", "f2", "n", "u", "d"])
+                   .select("sid", "prefix"), "whole")
+    rows = whole.select("sid", F.posexplode("prefix").alias("pos", "tok"))
     several = stored(rows.groupBy("tok").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a <> b")
                      .select("tok"), "tokens")
     return stored(rows.join(several, "tok").join(sets.select("sid", "g", "n"), "sid"), "prefixes")
@@ -268,14 +270,19 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["sid", "g", "sh"])
 
 
-def group_sets(opened: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """``g, members`` (sid, shingles) of all groups opened: queries, and whole groups."""
-    queries = opened.select(F.explode("qs").alias("sid"))
+def shingles_of(need: DataFrame, docs: DataFrame) -> DataFrame:
+    """``sid, g, sh`` of the sets in ``need``, from one document each.  The list
+    of needed sets is broadcast while it is small by count; beyond that the texts
+    are shuffled."""
+    few = need.count() <= BROADCAST_ROWS
+    texts = _keyed(docs).join(F.broadcast(need) if few else need, ["u", "d"]).select("sid", "g", "text")
+    return stored(texts.dropDuplicates(["sid"]).mapInArrow(_shingles, "sid bigint, g bigint, sh array<bigint>"), "shingles")
+
+
+def needed(opened: DataFrame, sets: DataFrame) -> DataFrame:
+    """Queries, and the whole groups they are asked of: ``sid``."""
     members = sets.join(opened.select("g").distinct(), "g").select("sid")
-    need = stored(queries.union(members).distinct().join(sets.select("sid", "g", "u", "d"), "sid"), "needed")
-    texts = _keyed(docs).join(need, ["u", "d"]).dropDuplicates(["sid"]).select("sid", "g", "text")
-    rows = stored(texts.mapInArrow(_shingles, "sid bigint, g bigint, sh array<bigint>"), "shingles")
-    return stored(rows.groupBy("g").agg(F.collect_list(F.struct("sid", "sh")).alias("members")), "members")
+    return stored(opened.select(F.explode("qs").alias("sid")).union(members).distinct(), "needed")
 
 
 def _flat(members) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -331,8 +338,8 @@ def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
 
-def links(opened: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    groups = group_sets(opened, sets, docs)
+def links(opened: DataFrame, shingles: DataFrame) -> DataFrame:
+    groups = stored(shingles.groupBy("g").agg(F.collect_list(F.struct("sid", "sh")).alias("members")), "members")
     both = (opened.join(groups.select(F.col("g").alias("gq"), F.col("members").alias("query")), "gq")
             .join(groups.select("g", F.col("members").alias("target")), "g"))
     return stored(both.select("qs", "query", "target").mapInArrow(_open, "a bigint, b bigint"), "links")
@@ -346,11 +353,18 @@ def report(docs: DataFrame) -> DataFrame:
     sets = grouped(signs)
     prefix = prefixes(signs, sets)
     cells = matrix(prefix)
-    edges = links(first_round(prefix, cells), sets, docs)
+    opened = first_round(prefix, cells)
+    places = sets.select("sid", "g", "u", "d")
+    shingles = shingles_of(stored(needed(opened, sets).join(places, "sid"), "needed"), docs)
+    edges = links(opened, shingles)
     roots = components(edges)
     more = second_round(prefix, cells, roots)
     if more.limit(1).count():
-        edges = edges.unionByName(links(more, sets, docs))
+        need = needed(more, sets)
+        rest = stored(need.join(shingles, "sid", "left_anti").join(places, "sid"), "needed")
+        if rest.limit(1).count():
+            shingles = shingles.unionByName(shingles_of(rest, docs))
+        edges = edges.unionByName(links(more, shingles.join(need, "sid", "left_semi")))
         roots = components(edges)
     named = stored(sets.join(roots.withColumnRenamed("v", "sid"), "sid", "left")
                    .select("f1", "f2", "n", "low", F.coalesce("root", "sid").alias("root")), "named")
