@@ -7,9 +7,10 @@ words; fewer than four words make one shingle).  Two link at a Jaccard index of
 1. Order of tokens: a fixed-size sketch (:data:`CELLS` counters) counts the
    documents of every shingle, rounded up by collisions; (count, hash) is a total
    order, the rare ones first.  A wrong count costs time, never a link.
-2. Prefixes: in that order a linked pair shares a token among the first 15 % of
-   the larger set and the first 8 % of the smaller one (AllPairs bounds), at
-   places that leave enough tokens behind them.
+2. Prefixes: in that order a linked pair shares :data:`MATCHES` tokens (or all that
+   it needs, if fewer) among the first 15 % of the larger set and the first 8 %
+   of the smaller one, three tokens more each, at places that leave enough
+   tokens behind them.
 3. Groups: equal sets become one; sets sorted by min-hashes are cut into groups
    that share the first one, of at most :data:`GROUP` sets and :data:`TOKENS`
    tokens (a longer set is its own group).  The matrix of tokens and groups is
@@ -20,10 +21,11 @@ words; fewer than four words make one shingle).  Two link at a Jaccard index of
    the query's overlap with the group's token union bounds its overlap with any
    member, and only where 0.85 of the query is in the union are members counted.
 5. Two rounds keep groups of near copies from meeting all of each other: first
-   rare tokens in full, and for a token with more than :data:`FEW` groups only a
-   set's own group and one hub group.  After that, components are known, and a
-   set is no query against members of its own component.  Every pair within
-   bounds is then either in one component or compared, so no link is lost.
+   rare tokens, and for a token with more than :data:`FEW` groups only a set's own
+   group and one hub group.  After that, components are known, and in a round
+   over all tokens a set is no query against members of its own component.
+   Every pair within bounds is then either in one component or compared, so no
+   link is lost.
 
 A link between two opened groups is passed on only if it joins what the others
 of that row have not joined yet, so a row of m sets gives less than m links.
@@ -53,7 +55,7 @@ from .graph import components
 
 SHINGLE, PERCENT = 4, 85
 CELLS, SLICES, SALTS = 1 << 20, 16, 8
-GROUP, TOKENS, FEW = 64, 1 << 16, 4
+GROUP, TOKENS, FEW, MATCHES = 64, 1 << 16, 4, 4
 BROADCAST_ROWS = 500_000  # some 40 bytes each
 SHARD_BYTES = 8 << 20
 
@@ -131,7 +133,7 @@ def _sign(counters):
                 for i in range(2, 5):
                     sums[i, some] = np.minimum.reduceat(mix(h, 31 + i), off[some]) if len(some) else 0
             h = h[np.lexsort((count[_cell(h)], row))]  # stable: by hash within a count
-            size = np.where(n > 0, n - -(-PERCENT * n // 100) + 1, 0)
+            size = np.where(n > 0, np.minimum(n, n - -(-PERCENT * n // 100) + MATCHES), 0)
             place = np.arange(len(h)) - off[row]
             prefix = h[place < size[row]].view(np.int64)
             ends = np.concatenate([[0], np.cumsum(size)])
@@ -207,13 +209,20 @@ def prefixes(signs: DataFrame, sets: DataFrame) -> DataFrame:
     return stored(rows.join(several, "tok").join(sets.select("sid", "g", "n"), "sid"), "prefixes")
 
 
+def _index(prefix: DataFrame) -> DataFrame:
+    return prefix.where(f"pos < n - ({2 * PERCENT} * n + {99 + PERCENT}) div {100 + PERCENT} + {MATCHES}")
+
+
+def _cells(index: DataFrame, *keys: str) -> DataFrame:
+    return index.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("members"), F.min("n").alias("least"), F.max("n").alias("most"),
+        F.max(F.col("n") - F.col("pos")).alias("rest"), F.min("sid").alias("sa"), F.max("sid").alias("sb"))
+
+
 def matrix(prefix: DataFrame) -> DataFrame:
     """The token-group matrix over the index prefixes, with each token's number
     of groups and hub group."""
-    index = prefix.where(f"pos < n - ({2 * PERCENT} * n + {99 + PERCENT}) div {100 + PERCENT} + 1")
-    cells = stored(index.groupBy("tok", "g").agg(
-        F.count(F.lit(1)).alias("members"), F.min("n").alias("least"), F.max("n").alias("most"),
-        F.max(F.col("n") - F.col("pos")).alias("rest"), F.min("sid").alias("sa"), F.max("sid").alias("sb")), "matrix")
+    cells = stored(_cells(_index(prefix), "tok", "g"), "matrix")
     tokens = stored(cells.groupBy("tok").agg(F.count(F.lit(1)).alias("groups"),
                                              F.max(F.struct("members", "g")).alias("hub")).select("tok", "groups", "hub.g")
                     .withColumnRenamed("g", "hub"), "hubs")
@@ -222,39 +231,43 @@ def matrix(prefix: DataFrame) -> DataFrame:
 
 def _within() -> Column:
     """A query (q) can reach 0.85 with a member of the group (i) by this token."""
-    return F.expr(f"(i.sa <> i.sb or i.sa <> q.sid) and q.n >= i.least and {PERCENT} * q.n <= 100 * i.most and "
-                  f"least(q.n - q.pos, i.rest) >= ({PERCENT} * (q.n + greatest(i.least, ({PERCENT} * q.n + 99) div 100)) + "
-                  f"{99 + PERCENT}) div {100 + PERCENT}")
+    return (F.col("q.tok") == F.col("i.tok")) & F.expr(
+        f"(i.sa <> i.sb or i.sa <> q.sid) and q.n >= i.least and {PERCENT} * q.n <= 100 * i.most and "
+        f"least(q.n - q.pos, i.rest) + {MATCHES - 1} >= "
+        f"({PERCENT} * (q.n + greatest(i.least, ({PERCENT} * q.n + 99) div 100)) + {99 + PERCENT}) div {100 + PERCENT}")
 
 
-def _opened(found: DataFrame) -> DataFrame:
+_PAIR = ["q.sid as sid", "q.g as gq", "i.g as g", "q.n as n"]
+
+
+def _asked(matches: DataFrame, *keys: str) -> DataFrame:
+    """``sid, gq, g`` of the pairs with enough matching tokens."""
+    enough = F.count(F.lit(1)) >= F.least(F.lit(MATCHES), F.expr(f"({PERCENT} * n + 99) div 100"))
+    return (matches.groupBy("sid", "gq", "g", "n", *keys).agg(enough.alias("enough")).where("enough")
+            .select("sid", "gq", "g").distinct())
+
+
+def _opened(asked: DataFrame) -> DataFrame:
     """Queries of one group against another: ``gq, g, qs``."""
-    return stored(found.groupBy("gq", "g").agg(F.collect_set("sid").alias("qs")), "opened")
+    return stored(asked.groupBy("gq", "g").agg(F.collect_set("sid").alias("qs")), "opened")
 
 
 def first_round(prefix: DataFrame, cells: DataFrame) -> DataFrame:
     q = prefix.alias("q")
-    few = cells.where(f"groups <= {FEW} or g = hub").alias("i")
-    own = cells.where(f"groups > {FEW}").alias("i")
-    cols = [F.col("q.g").alias("gq"), F.col("i.g").alias("g"), F.col("q.sid").alias("sid")]
-    rare = q.join(few, (F.col("q.tok") == F.col("i.tok")) & _within()).select(*cols)
-    inner = q.join(own, (F.col("q.tok") == F.col("i.tok")) & (F.col("q.g") == F.col("i.g")) & _within()).select(*cols)
-    return _opened(rare.unionByName(inner))
-
-
-def second_round(prefix: DataFrame, cells: DataFrame, roots: DataFrame) -> DataFrame:
-    """Frequent tokens: queries against the members of other components.  Rows
-    of the matrix are parted by component; sets of none stay together."""
-    hot = stored(cells.where(f"groups > {FEW}").select("tok").distinct(), "hot")
-    rows = stored(prefix.join(hot, "tok").join(roots.withColumnRenamed("v", "sid"), "sid", "left")
-                  .withColumn("part", F.coalesce("root", F.lit(-1))), "hot")
-    index = rows.where(f"pos < n - ({2 * PERCENT} * n + {99 + PERCENT}) div {100 + PERCENT} + 1")
-    parts = stored(index.groupBy("tok", "g", "part").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"),
-        F.min("sid").alias("sa"), F.max("sid").alias("sb")), "parts")
-    q, i = rows.alias("q"), parts.alias("i")
-    found = q.join(i, (F.col("q.tok") == F.col("i.tok")) & _within() & F.expr("q.part <> i.part or i.part = -1"))
-    return _opened(found.select(F.col("q.g").alias("gq"), F.col("i.g").alias("g"), F.col("q.sid").alias("sid")))
+    rare = q.join(cells.where(f"groups <= {FEW} or g = hub").alias("i"), _within())
+    own = q.join(cells.where(f"groups > {FEW} and g <> hub").alias("i"), _within() & (F.col("q.g") == F.col("i.g")))
+    return _opened(_asked(rare.selectExpr(*_PAIR).unionByName(own.selectExpr(*_PAIR))))
+
+
+def second_round(prefix: DataFrame, opened: DataFrame, roots: DataFrame) -> DataFrame:
+    """All tokens: queries against the members of other components.  Rows of
+    the matrix are parted by component; sets of none stay together."""
+    rows = stored(prefix.join(roots.withColumnRenamed("v", "sid"), "sid", "left")
+                  .withColumn("part", F.coalesce("root", F.lit(-1))), "parted")
+    parts = stored(_cells(_index(rows), "tok", "g", "part"), "parts")
+    matches = rows.alias("q").join(parts.alias("i"), _within() & F.expr("q.part <> i.part or i.part = -1"))
+    asked = _asked(matches.selectExpr(*_PAIR, "i.part as part"), "part")
+    return _opened(asked.join(opened.select("g", F.explode("qs").alias("sid")), ["sid", "g"], "left_anti"))
 
 
 # -------------------------------------------------------------------- opening
@@ -358,7 +371,7 @@ def report(docs: DataFrame) -> DataFrame:
     shingles = shingles_of(stored(needed(opened, sets).join(places, "sid"), "needed"), docs)
     edges = links(opened, shingles)
     roots = components(edges)
-    more = second_round(prefix, cells, roots)
+    more = second_round(prefix, opened, roots)
     if more.limit(1).count():
         need = needed(more, sets)
         rest = stored(need.join(shingles, "sid", "left_anti").join(places, "sid"), "needed")
