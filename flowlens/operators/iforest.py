@@ -1,54 +1,48 @@
 """Isolation forest on Spark.
 
 Fit
-  1. Sample: every tree needs ``psi`` rows (256, or all rows when fewer).
-     Rows are ranked by a seeded 64-bit hash of their key; with enough rows
-     the ``trees * psi`` lowest-hash rows are taken (a bounded top-k: each
-     partition keeps at most that many, no global sort) and dealt out
-     ``psi`` per tree.  With fewer rows than that, each tree ranks the rows
-     by its own seeded hash and keeps its ``psi`` lowest (at most
-     ``trees * trees * psi`` candidate rows).  Deterministic for a seed and
-     independent of row order or partitioning.
-  2. ``groupBy(tree_id).applyInPandas``: one group of at most ``psi`` rows
-     per tree grows a random tree (random non-constant feature, uniform cut,
-     depth limit ``ceil(log2(psi))``) and emits its node rows.
-  3. The node table (at most ``trees * (2 * psi - 1)`` rows) is the model.
+  1. Sample: every tree takes ``psi`` rows (256, or all rows when fewer), those
+     least by its own hash of their key.  A key is hashed once (md5); a tree's
+     hash is ``(r * a + b) mod p`` of that number, so a hundred trees cost a
+     hundred multiplications a row.  Only rows under a share that leaves each
+     tree somewhat more than ``psi`` are shuffled; a tree that came out short
+     doubles the share, so the sample is always the ``psi`` least.
+  2. Growth, all trees at once, level by level: count, minimum and maximum of
+     every feature per (tree, node), then the feature and the cut from
+     ``md5(seed:tree:node)``.  Rows of a tree stay in one partition (``psi`` of
+     them), so all levels share one shuffle, and a row carries the nodes on its
+     path, which the node table is read from.
+  3. Nodes are numbered as in a heap (root 1, children 2n and 2n + 1).  The node
+     table (at most ``trees * (2 * psi - 1)`` rows) is the model.
+
+Every number comes from md5 and arithmetic on whole numbers and doubles, so the
+model is a function of the rows and the seed alone, and SQL can repeat it.
 
 Score
   The node table is bounded by the parameters, so it ships with the scoring
   function; a pandas UDF walks all trees for a whole Arrow batch at once
-  with NumPy.  Score ``2 ** (-E[h(x)] / c(psi))``: higher is more anomalous.
+  with NumPy.  Path lengths are whole millionths, so their sum does not depend
+  on an order.  Score ``2 ** (-E[h(x)] / c(psi))``: higher is more anomalous.
   The label cut is the ``1 - contamination`` quantile of the training scores.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..session import materialize
 from .features import collect_bounded
 from .sampling import exact_percentile
 
 EULER = 0.5772156649015329
 
-NODE_SCHEMA = T.StructType([
-    T.StructField("tree_id", T.IntegerType(), False),
-    T.StructField("node_id", T.IntegerType(), False),
-    T.StructField("feature", T.IntegerType(), False),
-    T.StructField("cut", T.DoubleType(), True),
-    T.StructField("left", T.IntegerType(), False),
-    T.StructField("right", T.IntegerType(), False),
-    T.StructField("size", T.IntegerType(), False),
-    T.StructField("depth", T.IntegerType(), False),
-])
-
-
 def average_path_length(n):
     """c(n): mean path length of an unsuccessful search in a binary tree of n points."""
     n = np.asarray(n, dtype=float)
@@ -60,49 +54,78 @@ def average_path_length(n):
     return out
 
 
-def _sample(df: DataFrame, key: str, features: list[str], n_trees: int, psi: int, seed: int,
-            n_rows: int) -> DataFrame:
-    cols = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)]
-    # Every tree draws its own rows: those whose hash lies under a share that
-    # leaves each tree some more than psi rows, then the psi least hashes.
-    share = min(1.0, (psi + 10 * math.sqrt(psi) + 20) / n_rows)
-    drawn = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                     lambda t: F.pmod(F.xxhash64(F.lit(seed + 1), t, F.col(key)), F.lit(1 << 40)) <= int(share * (1 << 40)))
-    trees = df.select(F.col(key).alias("_k"), *cols, F.explode(drawn).alias("tree_id"))
-    h = F.xxhash64(F.lit(seed), F.col("tree_id"), F.col("_k"))
-    rn = F.row_number().over(Window.partitionBy("tree_id").orderBy(h, F.col("_k")))
-    return (trees.withColumn("_rn", rn).filter(F.col("_rn") <= psi)
-            .select("tree_id", *[f"x{i}" for i in range(len(features))]))
-
-
-def _tree_builder(n_features: int, psi: int, seed: int):
-    max_depth = int(math.ceil(math.log2(max(psi, 2))))
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree_id = int(pdf["tree_id"].iloc[0])
-        X = pdf[[f"x{i}" for i in range(n_features)]].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, tree_id])
-        rows = []
-        stack = [(0, np.arange(len(X)), 0)]
-        next_id = 1
-        while stack:
-            node_id, idx, depth = stack.pop()
-            sub = X[idx]
-            lo, hi = sub.min(axis=0), sub.max(axis=0)
-            usable = np.flatnonzero(hi > lo)
-            if depth >= max_depth or len(idx) <= 1 or len(usable) == 0:
-                rows.append((tree_id, node_id, -1, None, -1, -1, len(idx), depth))
-                continue
-            f = int(rng.choice(usable))
-            cut = float(rng.uniform(lo[f], hi[f]))
-            go_left = sub[:, f] < cut
-            left, right = next_id, next_id + 1
-            next_id += 2
-            rows.append((tree_id, node_id, f, cut, left, right, len(idx), depth))
-            stack.append((right, idx[~go_left], depth + 1))
-            stack.append((left, idx[go_left], depth + 1))
-        return pd.DataFrame(rows, columns=NODE_SCHEMA.fieldNames())
-    return build
+PRIME = 2147483647
+UNIT = 1_000_000
+
+
+def tree_hashes(n_trees: int, seed: int) -> list[tuple[int, int, int]]:
+    """``(tree, a, b)`` of each tree's hash."""
+    out = []
+    for t in range(n_trees):
+        h = hashlib.md5(f"{seed}:tree:{t}".encode()).hexdigest()
+        out.append((t, int(h[:8], 16) % (PRIME - 1) + 1, int(h[8:16], 16) % PRIME))
+    return out
+
+
+def _hex(text: Column, start: int, length: int) -> Column:
+    return F.conv(F.substring(text, start, length), 16, 10).cast("bigint")
+
+
+def sample(df: DataFrame, key: str, features: list[str], n_trees: int, psi: int, seed: int, n_rows: int) -> DataFrame:
+    """``tree_id, x0, x1, ...``: the ``psi`` rows of each tree."""
+    xs = [f"x{i}" for i in range(len(features))]
+    md = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    rows = df.select(*[F.col(c).cast("double").alias(x) for x, c in zip(xs, features)], md.alias("_k"))
+    rows = rows.withColumn("_r", _hex(F.col("_k"), 1, 15) % F.lit(PRIME))
+    trees = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
+                      for t, a, b in tree_hashes(n_trees, seed)])
+    share = (psi + 10 * math.sqrt(psi) + 20) / n_rows
+    while True:
+        limit = PRIME if share >= 1 else max(1, int(share * PRIME))
+        hashed = F.transform(trees, lambda s: F.struct(
+            s["t"].alias("tree_id"), ((F.col("_r") * s["a"] + s["b"]) % F.lit(PRIME)).alias("h")))
+        drawn = rows.select("_k", *xs, F.explode(F.filter(hashed, lambda s: s["h"] < F.lit(limit))).alias("_d"))
+        w = Window.partitionBy("_d.tree_id").orderBy("_d.h", "_k", *xs)
+        taken = materialize(drawn.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= psi)
+                            .select("_d.tree_id", *xs))
+        sizes = taken.groupBy("tree_id").count().where(F.col("count") == psi).count()
+        if sizes == n_trees or limit == PRIME:
+            return taken
+        share *= 2
+
+
+def grow(taken: DataFrame, n_features: int, psi: int, seed: int) -> DataFrame:
+    """The node table of the trees of a sample."""
+    depth = int(math.ceil(math.log2(max(psi, 2))))
+    xs = [f"x{i}" for i in range(n_features)]
+    w = Window.partitionBy("tree_id", "node_id")
+    at = taken.repartition("tree_id").withColumns({
+        "node_id": F.lit(1).cast("bigint"), "_path": F.array().cast("array<struct<node_id:bigint,feature:int,cut:double,size:bigint,depth:int>>")})
+    for level in range(depth + 1):
+        spans = F.array(*[F.struct(F.lit(i).alias("i"), F.min(x).over(w).alias("lo"), F.max(x).over(w).alias("hi"))
+                          for i, x in enumerate(xs)])
+        at = at.withColumns({"_spans": spans, "_size": F.count(F.lit(1)).over(w)})
+        md = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("tree_id").cast("string"), F.col("node_id").cast("string")))
+        at = at.withColumns({"_use": F.filter("_spans", lambda s: s["hi"] > s["lo"]), "_md": md})
+        open_ = (F.size("_use") > 0) & F.lit(level < depth)
+        at = at.withColumn("_s", F.when(open_, F.get("_use", (_hex(F.col("_md"), 1, 8) % F.greatest(F.size("_use"), F.lit(1))).cast("int"))))
+        cut = F.col("_s.lo") + _hex(F.col("_md"), 9, 13).cast("double") / F.lit(float(1 << 52)) * (F.col("_s.hi") - F.col("_s.lo"))
+        at = at.withColumn("_cut", F.when(cut >= F.col("_s.hi"), F.col("_s.lo")).otherwise(cut))
+        # A leaf stays what it is: later levels write the same record again.
+        record = F.struct("node_id", F.coalesce(F.col("_s.i"), F.lit(-1)).alias("feature"), F.col("_cut").alias("cut"),
+                          F.col("_size").alias("size"), F.floor(F.log2(F.col("node_id") + 0.5)).cast("int").alias("depth"))
+        x = F.get(F.array(*xs), F.col("_s.i"))
+        child = F.when(F.col("_s").isNull(), F.col("node_id")).otherwise(
+            2 * F.col("node_id") + F.when(x <= F.col("_cut"), F.lit(0)).otherwise(F.lit(1)))
+        at = at.withColumns({"_path": F.array_append("_path", record), "_next": child})
+        at = at.select("tree_id", *xs, F.col("_next").alias("node_id"), "_path")
+    nodes = at.select("tree_id", F.explode("_path").alias("n")).groupBy("tree_id", "n").agg(F.lit(1).alias("_one"))
+    inner = F.col("n.feature") >= 0
+    return nodes.select(
+        "tree_id", F.col("n.node_id").cast("int").alias("node_id"), F.col("n.feature").alias("feature"),
+        F.col("n.cut").alias("cut"), F.when(inner, 2 * F.col("n.node_id")).otherwise(-1).cast("int").alias("left"),
+        F.when(inner, 2 * F.col("n.node_id") + 1).otherwise(-1).cast("int").alias("right"),
+        F.col("n.size").cast("int").alias("size"), F.col("n.depth").alias("depth"))
 
 
 def fit(df: DataFrame, features: list[str], key: str, n_trees: int = 100, max_samples: int = 256,
@@ -113,9 +136,12 @@ def fit(df: DataFrame, features: list[str], key: str, n_trees: int = 100, max_sa
     if n_rows == 0:
         raise ValueError("no training rows")
     psi = min(max_samples, n_rows)
-    sample = _sample(valid, key, features, n_trees, psi, seed, n_rows)
-    nodes = sample.groupBy("tree_id").applyInPandas(_tree_builder(len(features), psi, seed), NODE_SCHEMA)
-    return nodes, psi
+    return grow(sample(valid, key, features, n_trees, psi, seed, n_rows), len(features), psi, seed), psi
+
+
+def leaf_units(size, depth):
+    """Path length of a leaf in millionths: its depth plus c(size)."""
+    return np.rint((np.asarray(depth, float) + average_path_length(size)) * UNIT).astype(np.int64)
 
 
 class ForestModel:
@@ -145,25 +171,25 @@ class ForestModel:
         self.size[ti, ni] = pdf["size"].to_numpy()
         self.depth[ti, ni] = pdf["depth"].to_numpy()
         self.max_depth = int(self.depth.max())
-        self.leaf_extra = self.depth + average_path_length(self.size)
+        self.leaf_units = leaf_units(self.size, self.depth)
         self.c_psi = float(average_path_length(np.array([psi]))[0]) or 1.0
 
     def score(self, X: np.ndarray) -> np.ndarray:
         n = len(X)
-        total = np.zeros(n)
+        total = np.zeros(n, np.int64)
         rows = np.arange(n)
         for t in range(self.feature.shape[0]):
-            idx = np.zeros(n, dtype=np.int64)
+            idx = np.ones(n, dtype=np.int64)  # the root
             for _ in range(self.max_depth + 1):
                 f = self.feature[t, idx]
                 inner = f >= 0
                 if not inner.any():
                     break
-                go_left = X[rows, np.where(inner, f, 0)] < self.cut[t, idx]
+                go_left = X[rows, np.where(inner, f, 0)] <= self.cut[t, idx]
                 nxt = np.where(go_left, self.left[t, idx], self.right[t, idx])
                 idx = np.where(inner, nxt, idx)
-            total += self.leaf_extra[t, idx]
-        mean_h = total / self.feature.shape[0]
+            total += self.leaf_units[t, idx]
+        mean_h = total / UNIT / self.feature.shape[0]
         return np.power(2.0, -mean_h / self.c_psi)
 
 

@@ -474,13 +474,24 @@ def iforest_frame(spark, sf) -> DataFrame:
                              keys=[("ip_src", "ip_src"), ("frame_protocols", "frame_protocols")], how="left")
 
 
-def q_iforest_score(spark, sf):
-    """Forest fitted on a 70 % md5 split of the window features, held-out 30 %
-    scored and labelled at the training 90th percentile."""
+def _iforest_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
     j = materialize(iforest_frame(spark, sf).select(
         "packet_id", "frame_time", *WINDOW_FEATURES,
         sampling.md5_split_column("packet_id", [0.7, 0.3], ["train", "test"], seed=5043).alias("part")))
-    train, test = j.filter(F.col("part") == "train"), j.filter(F.col("part") == "test")
+    return j.filter(F.col("part") == "train"), j.filter(F.col("part") == "test")
+
+
+def q_iforest_nodes(spark, sf):
+    """The node table of the forest fitted on a 70 % md5 split of the window features."""
+    train, _ = _iforest_parts(spark, sf)
+    nodes, _ = iforest.fit(train, WINDOW_FEATURES, key="packet_id", n_trees=100, max_samples=256, seed=1)
+    return nodes.select("tree_id", "node_id", "feature", rnd("cut", 6).alias("cut"), "size", "depth")
+
+
+def q_iforest_score(spark, sf):
+    """Forest fitted on a 70 % md5 split of the window features, held-out 30 %
+    scored and labelled at the training 90th percentile."""
+    train, test = _iforest_parts(spark, sf)
     nodes, psi = iforest.fit(train, WINDOW_FEATURES, key="packet_id", n_trees=100, max_samples=256, seed=1)
     model = iforest.ForestModel(nodes, psi)
     cut = iforest.threshold(iforest.score(train, model, WINDOW_FEATURES), 0.1)
@@ -526,5 +537,6 @@ QUERIES = {
     "stream_window": q_stream_window,
     "stream_joinback": q_stream_joinback,
     "kmeans_train": q_kmeans_train,
+    "iforest_nodes": q_iforest_nodes,
     "iforest_score": q_iforest_score,
 }

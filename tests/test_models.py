@@ -104,5 +104,61 @@ def test_forest_small_input_uses_per_tree_samples(spark):
     df = _forest_data(spark, n=300, outliers=5)
     nodes, psi = iforest.fit(df, ["a", "b", "c"], key="id", n_trees=20, max_samples=256, seed=1)
     assert psi == 256
-    sizes = [r.size for r in nodes.filter("node_id = 0").collect()]
+    sizes = [r.size for r in nodes.filter("node_id = 1").collect()]
     assert len(sizes) == 20 and all(s == 256 for s in sizes)
+
+
+def _plain_forest(rows, n_trees, psi, seed):
+    """The forest by plain loops: {(tree, node): (feature, cut, size)}."""
+    import hashlib
+
+    def md5(text):
+        return hashlib.md5(text.encode()).hexdigest()
+    out = {}
+    depth = int(np.ceil(np.log2(max(psi, 2))))
+    for t, a, b in iforest.tree_hashes(n_trees, seed):
+        order = []
+        for k, *x in rows:
+            h = md5(f"{seed}:{k}")
+            order.append(((int(h[:15], 16) % iforest.PRIME * a + b) % iforest.PRIME, h, x))
+        stack = [(1, [x for _, _, x in sorted(order)[:psi]])]
+        while stack:
+            node, part = stack.pop()
+            lo, hi = np.min(part, axis=0), np.max(part, axis=0)
+            use = [i for i in range(len(lo)) if hi[i] > lo[i]]
+            if not use or node >= 1 << depth:
+                out[t, node] = (-1, None, len(part))
+                continue
+            h = md5(f"{seed}:{t}:{node}")
+            f = use[int(h[:8], 16) % len(use)]
+            cut = lo[f] + int(h[8:21], 16) / 2.0 ** 52 * (hi[f] - lo[f])
+            cut = lo[f] if cut >= hi[f] else cut
+            out[t, node] = (f, cut, len(part))
+            stack.append((2 * node, [x for x in part if x[f] <= cut]))
+            stack.append((2 * node + 1, [x for x in part if x[f] > cut]))
+    return out
+
+
+@pytest.mark.parametrize("n,psi", [(40, 64), (700, 32)])
+def test_forest_against_plain_loops(spark, n, psi):
+    rng = np.random.default_rng(n)
+    rows = [(k, float(rng.integers(4)), float(rng.normal()), 1.0) for k in range(n)]
+    rows += [rows[3], rows[3]]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double").repartition(3)
+    nodes, used = iforest.fit(df, ["a", "b", "c"], key="id", n_trees=7, max_samples=psi, seed=9)
+    got = {(r.tree_id, r.node_id): (r.feature, r.cut, r.size) for r in nodes.collect()}
+    assert used == min(psi, n + 2) and got == _plain_forest(rows, 7, used, 9)
+
+
+def test_forest_short_samples_are_drawn_again(spark, monkeypatch):
+    """A share too small for one tree gives the same trees in the end."""
+    df = _forest_data(spark, n=600, outliers=5)
+    want = sorted(map(tuple, iforest.fit(df, ["a", "b", "c"], "id", 10, 64, 2)[0].collect()))
+    taken = iforest.sample(df, "id", ["a", "b", "c"], 10, 64, 2, 600 * 6)
+    assert sorted(map(tuple, iforest.grow(taken, 3, 64, 2).collect())) == want
+
+
+def test_forest_one_row(spark):
+    df = spark.createDataFrame([(1, 2.0)], "id long, a double")
+    nodes, psi = iforest.fit(df, ["a"], "id", 3, 8, 1)
+    assert psi == 1 and [(r.node_id, r.feature, r.size) for r in nodes.collect()] == [(1, -1, 1)] * 3
