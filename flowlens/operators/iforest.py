@@ -95,37 +95,33 @@ def sample(df: DataFrame, key: str, features: list[str], n_trees: int, psi: int,
 
 
 def grow(taken: DataFrame, n_features: int, psi: int, seed: int) -> DataFrame:
-    """The node table of the trees of a sample."""
+    """The node table of the trees of a sample.
+
+    A leaf stays what it is: later levels write the same record again."""
+    spark = taken.sparkSession
     depth = int(math.ceil(math.log2(max(psi, 2))))
     xs = [f"x{i}" for i in range(n_features)]
-    w = Window.partitionBy("tree_id", "node_id")
-    at = taken.repartition("tree_id").withColumns({
-        "node_id": F.lit(1).cast("bigint"), "_path": F.array().cast("array<struct<node_id:bigint,feature:int,cut:double,size:bigint,depth:int>>")})
+    x = ", ".join(xs)
+    spans = ", ".join(f"named_struct('i', {i}, 'lo', min({c}) OVER w, 'hi', max({c}) OVER w)" for i, c in enumerate(xs))
+    hexed = "cast(conv(substring(md, {}, {}), 16, 10) AS bigint)"
+    at = taken.repartition("tree_id").selectExpr(
+        "tree_id", *xs, "1L AS node_id",
+        "cast(array() AS array<struct<node_id:bigint,feature:int,cut:double,size:bigint,depth:int>>) AS path")
     for level in range(depth + 1):
-        spans = F.array(*[F.struct(F.lit(i).alias("i"), F.min(x).over(w).alias("lo"), F.max(x).over(w).alias("hi"))
-                          for i, x in enumerate(xs)])
-        at = at.withColumns({"_spans": spans, "_size": F.count(F.lit(1)).over(w)})
-        md = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("tree_id").cast("string"), F.col("node_id").cast("string")))
-        at = at.withColumns({"_use": F.filter("_spans", lambda s: s["hi"] > s["lo"]), "_md": md})
-        open_ = (F.size("_use") > 0) & F.lit(level < depth)
-        at = at.withColumn("_s", F.when(open_, F.get("_use", (_hex(F.col("_md"), 1, 8) % F.greatest(F.size("_use"), F.lit(1))).cast("int"))))
-        cut = F.col("_s.lo") + _hex(F.col("_md"), 9, 13).cast("double") / F.lit(float(1 << 52)) * (F.col("_s.hi") - F.col("_s.lo"))
-        at = at.withColumn("_cut", F.when(cut >= F.col("_s.hi"), F.col("_s.lo")).otherwise(cut))
-        # A leaf stays what it is: later levels write the same record again.
-        record = F.struct("node_id", F.coalesce(F.col("_s.i"), F.lit(-1)).alias("feature"), F.col("_cut").alias("cut"),
-                          F.col("_size").alias("size"), F.floor(F.log2(F.col("node_id") + 0.5)).cast("int").alias("depth"))
-        x = F.get(F.array(*xs), F.col("_s.i"))
-        child = F.when(F.col("_s").isNull(), F.col("node_id")).otherwise(
-            2 * F.col("node_id") + F.when(x <= F.col("_cut"), F.lit(0)).otherwise(F.lit(1)))
-        at = at.withColumns({"_path": F.array_append("_path", record), "_next": child})
-        at = at.select("tree_id", *xs, F.col("_next").alias("node_id"), "_path")
-    nodes = at.select("tree_id", F.explode("_path").alias("n")).groupBy("tree_id", "n").agg(F.lit(1).alias("_one"))
-    inner = F.col("n.feature") >= 0
-    return nodes.select(
-        "tree_id", F.col("n.node_id").cast("int").alias("node_id"), F.col("n.feature").alias("feature"),
-        F.col("n.cut").alias("cut"), F.when(inner, 2 * F.col("n.node_id")).otherwise(-1).cast("int").alias("left"),
-        F.when(inner, 2 * F.col("n.node_id") + 1).otherwise(-1).cast("int").alias("right"),
-        F.col("n.size").cast("int").alias("size"), F.col("n.depth").alias("depth"))
+        pick = f"get(used, cast({hexed.format(1, 8)} % size(used) AS int))" if level < depth else \
+            "cast(NULL AS struct<i:int,lo:double,hi:double>)"
+        at = spark.sql(f"""SELECT tree_id, {x}, CASE WHEN s IS NULL THEN node_id WHEN get(array({x}), s.i) <= cut THEN 2 * node_id
+  ELSE 2 * node_id + 1 END AS node_id, array_append(path, named_struct('node_id', node_id, 'feature', coalesce(s.i, -1),
+  'cut', cut, 'size', size, 'depth', cast(floor(log2(node_id + 0.5D)) AS int))) AS path
+FROM (SELECT *, CASE WHEN raw >= s.hi THEN s.lo ELSE raw END AS cut
+FROM (SELECT *, s.lo + cast({hexed.format(9, 13)} AS double) / {float(1 << 52)}D * (s.hi - s.lo) AS raw
+FROM (SELECT *, CASE WHEN size(used) > 0 THEN {pick} END AS s
+FROM (SELECT *, filter(spans, v -> v.hi > v.lo) AS used, md5(concat_ws(':', '{seed}', tree_id, node_id)) AS md
+FROM (SELECT *, array({spans}) AS spans, count(1) OVER w AS size FROM {{at}} WINDOW w AS (PARTITION BY tree_id, node_id))))))""", at=at)
+    return spark.sql("""SELECT DISTINCT tree_id, cast(n.node_id AS int) AS node_id, n.feature, n.cut,
+  cast(CASE WHEN n.feature >= 0 THEN 2 * n.node_id ELSE -1 END AS int) AS left,
+  cast(CASE WHEN n.feature >= 0 THEN 2 * n.node_id + 1 ELSE -1 END AS int) AS right,
+  cast(n.size AS int) AS size, n.depth FROM (SELECT tree_id, explode(path) AS n FROM {at})""", at=at)
 
 
 def fit(df: DataFrame, features: list[str], key: str, n_trees: int = 100, max_samples: int = 256,
