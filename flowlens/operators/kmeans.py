@@ -4,21 +4,18 @@ Scoring: the model is k centers of a few dimensions; it is compiled into the
 plan as a constant array and every row computes its nearest center with one
 higher-order expression.  No cross join, no shuffle, no Python worker.
 
-Training: Spark ML's distributed K-Means (k-means|| init) over a cached
-vector column, several seeds, lowest cost kept.  k = 1 (which Spark ML
-rejects) has a closed form: the within-cluster sum of squares around the
-global mean.
+Training: all restarts (and all k of an elbow) in lockstep, one job a step
+(``lloyd``), lowest cost kept.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vector import nearest_centroid, nearest_constant_center
+from . import lloyd
 from .features import collect_bounded
 
 MAX_K = 1000
@@ -110,77 +107,21 @@ def lloyd_step(df: DataFrame, model, x: str = "scaled_features", dim: int = 7) -
         *aggs, F.count(F.lit(1)).alias("n"))
 
 
-def train_kmeans(df: DataFrame, k: int, x: str = "scaled_features", n_init: int = 10,
-                 seed: int = 42, max_iter: int = 300, tol: float = 1e-4,
-                 parallelism: int = 8) -> tuple[DataFrame, float]:
-    """Best of ``n_init`` distributed K-Means fits -> (center table, cost).
-
-    Restarts are independent Spark jobs submitted from ``parallelism`` driver
-    threads, so small fits overlap instead of queueing.  ``df`` should be
-    cached by the caller when several k are tried."""
-    spark = df.sparkSession
-    vec = df.select(array_to_vector(F.transform(F.col(x), lambda v: v.cast("double"))).alias("v"))
-    if k == 1:
-        dim = len(vec.first()["v"]) if vec.first() else 0
-        row = df.agg(*[F.avg(F.get(F.col(x), i).cast("double")).alias(f"m{i}") for i in range(dim)],
-                     *[a.alias(f"w{i}") for i, a in enumerate(inertia_one_cluster(x, dim))]).first()
-        centers = [(0, [row[f"m{i}"] for i in range(dim)])]
-        return spark.createDataFrame(centers, CENTERS_SCHEMA), float(sum(row[f"w{i}"] for i in range(dim)))
-    def fit_one(r: int):
-        m = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="v").fit(vec)
-        return m, m.summary.trainingCost
-
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as pool:
-        fits = list(pool.map(fit_one, range(n_init)))
-    model, cost = min(fits, key=lambda mc: mc[1])
-    centers = [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
-    return spark.createDataFrame(centers, CENTERS_SCHEMA), float(cost)
-
-
-ROWS_PER_TASK = 1_000_000
-
-
-def training_frame(df: DataFrame, x: str = "scaled_features") -> DataFrame:
-    """The vector column, cached, in partitions of up to ``ROWS_PER_TASK``
-    rows: an iteration of K-Means is one job, and on small inputs the cost
-    of a job is its task count, not its rows."""
-    n = df.count()
-    want = max(1, -(-n // ROWS_PER_TASK))
-    out = df.select(x)
-    if out.rdd.getNumPartitions() > want:
-        out = out.coalesce(want)
-    return out.persist()
-
-
-def elbow(df: DataFrame, ks=range(1, 10), x: str = "scaled_features", n_init: int = 10,
-          seed: int = 42, parallelism: int = 32) -> DataFrame:
-    """(k, inertia) for each k: the table behind the elbow choice."""
-    spark: SparkSession = df.sparkSession
-    cached = training_frame(df, x)
-    try:
-        ks = [int(k) for k in ks]
-        rows = []
-        if 1 in ks:
-            rows.append((1, train_kmeans(cached, 1, x)[1]))
-        vec = cached.select(array_to_vector(F.transform(F.col(x), lambda v: v.cast("double"))).alias("v"))
-        vec = vec.persist()
-        # Every (k, restart) fit is an independent job: one shared pool packs
-        # them onto the cores instead of waiting for the slowest fit of each k.
-        jobs = [(k, r) for k in ks if k > 1 for r in range(n_init)]
-
-        def fit_one(job):
-            k, r = job
-            m = KMeans(k=k, seed=seed + r, maxIter=300, tol=1e-4, featuresCol="v").fit(vec)
-            return k, m.summary.trainingCost
-
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            costs = list(pool.map(fit_one, jobs))
-        vec.unpersist()
-        for k in ks:
-            if k > 1:
-                rows.append((k, min(c for kk, c in costs if kk == k)))
-    finally:
-        cached.unpersist()
-    return spark.createDataFrame(sorted(rows), "k int, inertia double")
+def train_kmeans(df: DataFrame, k: int, x: str = "scaled_features", n_init: int = 10, seed: int = 42,
+                 max_iter: int = 300, tol: float = 1e-4, key: str | None = None) -> tuple[DataFrame, float]:
+    """Best of ``n_init`` restarts -> (center table, inertia); see ``lloyd``."""
+    fits = lloyd.fit_all(lloyd.vectors(df, x, key), [k], [seed + r for r in range(n_init)], max_iter, tol)
+    if not fits:
+        raise ValueError("no training rows")
+    model = lloyd.best(fits)[k]
+    centers = [(i, [float(v) for v in c]) for i, c in enumerate(model.centers)]
+    return df.sparkSession.createDataFrame(centers, CENTERS_SCHEMA), float(model.inertia)
+
+
+def elbow(df: DataFrame, ks=range(1, 10), x: str = "scaled_features", n_init: int = 10, seed: int = 42,
+          key: str | None = None) -> DataFrame:
+    """``k, inertia, knee``: the table behind the elbow choice, and the chosen one."""
+    fits = lloyd.fit_all(lloyd.vectors(df, x, key), ks, [seed + r for r in range(n_init)])
+    inertia = {k: float(f.inertia) for k, f in lloyd.best(fits).items()}
+    at = lloyd.knee(inertia)
+    return df.sparkSession.createDataFrame([(k, v, k == at) for k, v in inertia.items()], "k int, inertia double, knee boolean")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import ip as ipf
 from ..functions import parse, protocol
 from ..functions.geo import geo_object_json
-from ..operators import decode, enrich, features, iforest, kmeans, sampling, windows
+from ..operators import decode, enrich, features, iforest, kmeans, lloyd, sampling, windows
 from pyspark.sql import types as T
 
 from ..schema import FEATURES, PACKET_CSV, SCORING_PACKET, WINDOW_FEATURES
@@ -452,14 +452,27 @@ def q_stream_joinback(spark, sf):
 
 # ---------------------------------------------------------------- training
 
+def _training_rows(spark, sf) -> DataFrame:
+    feat = _featured(spark, sf)
+    return features.scale(feat, features.scaler_params(features.fit_scaler(feat)))
+
+
+def q_kmeans_fit(spark, sf):
+    """Three restarts of K-Means (k = 5) after three iterations, one row per
+    restart and cluster."""
+    rows = lloyd.vectors(_training_rows(spark, sf), key="packet_id")
+    fits = lloyd.fit_all(rows, [5], [42, 43, 44], max_iter=3, tol=0.0)
+    out = [(f.seed, i, n, *[round(float(v), R) for v in c], round(f.inertia, R))
+           for f in fits for i, (n, c) in enumerate(zip(f.sizes, f.centers))]
+    cols = ", ".join(f"c{i} double" for i in range(len(FEATURES)))
+    return spark.createDataFrame(out, f"seed int, cluster int, n bigint, {cols}, inertia double")
+
+
 def q_kmeans_train(spark, sf):
     """Elbow table: best-of-10 K-Means inertia for k = 1..9 over the scaled
-    packet features (k = 1 in closed form)."""
-    feat = _featured(spark, sf)
-    params = features.scaler_params(features.fit_scaler(feat))
-    scaled = features.scale(feat, params).select(
-        F.transform("scaled_features", lambda v: v.cast("double")).alias("scaled_features"))
-    return kmeans.elbow(scaled, range(1, 10)).select("k", rnd("inertia").alias("inertia"))
+    packet features, and the k at the knee."""
+    return kmeans.elbow(_training_rows(spark, sf), range(1, 10), key="packet_id").select(
+        "k", rnd("inertia").alias("inertia"), "knee")
 
 
 IFOREST_WINDOW = "1 minute"
@@ -536,6 +549,7 @@ QUERIES = {
     "stream_score": q_stream_score,
     "stream_window": q_stream_window,
     "stream_joinback": q_stream_joinback,
+    "kmeans_fit": q_kmeans_fit,
     "kmeans_train": q_kmeans_train,
     "iforest_nodes": q_iforest_nodes,
     "iforest_score": q_iforest_score,

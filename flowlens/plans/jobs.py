@@ -43,12 +43,8 @@ def train_kmeans_job(packets: DataFrame, model_dir: str, k: int = 5, n_init: int
     params = features.scaler_params(scaler)
     scaled = features.scale(good, params).select(
         F.transform("scaled_features", lambda v: v.cast("double")).alias("scaled_features"))
-    training = kmeans.training_frame(scaled)
-    try:
-        centers, cost = kmeans.train_kmeans(training, k, n_init=n_init, seed=seed)
-        sinks.save_model_table(centers, f"{model_dir}/kmeans")
-    finally:
-        training.unpersist()
+    centers, cost = kmeans.train_kmeans(scaled, k, n_init=n_init, seed=seed)
+    sinks.save_model_table(centers, f"{model_dir}/kmeans")
     return cost
 
 

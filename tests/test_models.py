@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowlens.operators import features, iforest, kmeans, sampling
+from flowlens.operators import features, iforest, kmeans, lloyd, sampling
 
 
 def test_scaler_population_std_and_constant_column(spark):
@@ -162,3 +162,59 @@ def test_forest_one_row(spark):
     df = spark.createDataFrame([(1, 2.0)], "id long, a double")
     nodes, psi = iforest.fit(df, ["a"], "id", 3, 8, 1)
     assert psi == 1 and [(r.node_id, r.feature, r.size) for r in nodes.collect()] == [(1, -1, 1)] * 3
+
+
+def _plain_kmeans(rows, k, seed, rounds):
+    """Race start and Lloyd steps over (key, vector) rows by plain loops."""
+    import hashlib
+    r = [int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16) % lloyd.PRIME for i, _ in rows]
+    X = np.array([x for _, x in rows])
+    centers = []
+    for step in range(k):
+        a, b = lloyd.draw(seed, step)
+        time = [-np.log(((v * a + b) % lloyd.PRIME + 0.5) / lloyd.PRIME) for v in r]
+        if centers:
+            d = [min(((x - c) ** 2).sum() for c in centers) for x in X]
+            time = [t / v if v > 0 else np.inf for t, v in zip(time, d)]
+        if np.isfinite(min(time)):
+            centers.append(X[int(np.argmin(time))].copy())
+    for _ in range(rounds):
+        near = [int(np.argmin([((x - c) ** 2).sum() for c in centers])) for x in X]
+        centers = [X[[i for i, n in enumerate(near) if n == j]].mean(0) if j in near else c for j, c in enumerate(centers)]
+    return np.array(centers), sum(min(((x - c) ** 2).sum() for c in centers) for x in X)
+
+
+def test_lockstep_models_match_plain_loops(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(v) for v in rng.normal(size=3) + 4 * (i % 4)]) for i in range(300)]
+    df = spark.createDataFrame([*rows, (900, None), (901, [1.0, None, 2.0])], "id long, x array<double>").repartition(3)
+    for max_iter in (0, 2):
+        fits = lloyd.fit_all(lloyd.vectors(df, "x", "id"), [1, 3, 5], [7, 8], max_iter=max_iter, tol=0.0)
+        assert [(f.k, f.seed) for f in fits] == [(k, s) for k in (1, 3, 5) for s in (7, 8)]
+        for f in fits:
+            centers, cost = _plain_kmeans(rows, f.k, f.seed, max_iter)
+            assert np.allclose(f.centers, centers) and f.inertia == pytest.approx(cost) and sum(f.sizes) == 300
+
+
+def test_lockstep_settles(spark):
+    rng = np.random.default_rng(6)
+    pts = np.concatenate([rng.normal(loc=m, scale=0.1, size=(60, 2)) for m in (0, 5, 10)])
+    df = spark.createDataFrame([([float(a), float(b)],) for a, b in pts], "scaled_features array<double>")
+    table = kmeans.elbow(df, range(1, 7), n_init=4).collect()
+    assert [r.k for r in table if r.knee] == [3]
+    centers, cost = kmeans.train_kmeans(df, 3, n_init=4)
+    assert cost == pytest.approx(sum(((pts[i:i + 60] - pts[i:i + 60].mean(0)) ** 2).sum() for i in (0, 60, 120)))
+    assert sorted(r.cluster for r in centers.collect()) == [0, 1, 2]
+
+
+def test_fewer_vectors_than_centers(spark):
+    df = spark.createDataFrame([(i, [1.0 * (i % 2)]) for i in range(9)], "id long, x array<double>")
+    fits = lloyd.fit_all(lloyd.vectors(df, "x", "id"), [4], [1])
+    assert [len(f.centers) for f in fits] == [2] and fits[0].inertia == 0 and sorted(fits[0].sizes) == [4, 5]
+    none = spark.createDataFrame([], "id long, x array<double>")
+    assert lloyd.fit_all(lloyd.vectors(none, "x", "id"), [2], [1]) == []
+
+
+def test_knee():
+    assert lloyd.knee({1: 100.0, 2: 50.0, 3: 10.0, 4: 9.0, 5: 8.0}) == 3
+    assert lloyd.knee({}) is None and lloyd.knee({4: 2.0}) == 4

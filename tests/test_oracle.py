@@ -9,7 +9,6 @@ import __spark_entry__ as E
 from tests.oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"kmeans_train"}
 # The training-data queries are tested in tests/llm.
 NAMES = sorted(n for n in E.queries() if not re.match(r"op\d+_|pipeline$", n))
 
@@ -25,7 +24,7 @@ def test_entry_smoke(spark):
     assert "anomaly" in df.columns
 
 
-@pytest.mark.parametrize("name", [n for n in NAMES if n not in SLOW])
+@pytest.mark.parametrize("name", NAMES)
 def test_query_against_oracle(spark, con, name):
     res = compare(spark, name, E.queries()[name], E.oracle_sql().get(name), SF, con)
     assert res["status"] in ("OK", "rows-only"), res
