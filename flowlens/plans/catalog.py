@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import ip as ipf
 from ..functions import parse, protocol
 from ..functions.geo import geo_object_json
-from ..operators import decode, enrich, features, iforest, kmeans, lloyd, sampling, windows
+from ..operators import decode, enrich, features, iforest, intervals, kmeans, lloyd, sampling, windows
 from pyspark.sql import types as T
 
 from ..schema import FEATURES, PACKET_CSV, SCORING_PACKET, WINDOW_FEATURES
@@ -150,6 +150,26 @@ def q_geo_enrich_range(spark, sf):
                       rnd(F.get("dst_coordinates", 1)).alias("dst_lat"))
 
 
+def _overlapping_ranges(spark, sf) -> DataFrame:
+    """The /24 ranges of the nations, and wide ones of the regions that hold
+    and overlap them: 8.r.0.0 to 8.(r + 1).255.255, and 10.0.0.0 to
+    10.0.(7 * r + 3).255."""
+    wide = read_table(spark, sf, "region")
+    r = F.col("r_regionkey").cast("bigint")
+    common = [F.col("r_name").alias("city"), F.col("r_regionkey").cast("float").alias("lon"), F.lit(0.0).cast("float").alias("lat")]
+    at8, at10 = F.lit(8 << 24).cast("bigint"), F.lit(10 << 24).cast("bigint")
+    return (_ranges(spark, sf).select("ip_start", "ip_end", "city", "lon", "lat")
+            .unionByName(wide.select((at8 + r * 65536).alias("ip_start"), (at8 + (r + 2) * 65536 - 1).alias("ip_end"), *common))
+            .unionByName(wide.select(at10.alias("ip_start"), (at10 + (7 * r + 4) * 256 - 1).alias("ip_end"), *common)))
+
+
+def q_geo_overlap(spark, sf):
+    """City of the narrowest of overlapping ranges, each packet once."""
+    df = _base(spark, sf)
+    geo = materialize(intervals.resolve_overlapping(df, _overlapping_ranges(spark, sf)))
+    return enrich.geo_enrich(df, geo).select("packet_id", "src_city", "dst_city", rnd(F.get("dst_coordinates", 0)).alias("dst_lon"))
+
+
 def q_geo_point_json(spark, sf):
     out = enrich.geo_enrich_range(_base(spark, sf), _ranges(spark, sf), ip="ip_dst", prefix="dst")
     text = geo_object_json(F.get("dst_coordinates", 1), F.get("dst_coordinates", 0), F.col("dst_city"))
@@ -525,6 +545,7 @@ QUERIES = {
     "ip_private": q_ip_private,
     "geo_enrich": q_geo_enrich,
     "geo_enrich_range": q_geo_enrich_range,
+    "geo_overlap": q_geo_overlap,
     "geo_point_json": q_geo_point_json,
     "threat_enrich": q_threat_enrich,
     "packet_features": q_packet_features,

@@ -9,8 +9,8 @@ a restarted query resumes from its last committed micro-batch:
 * ``start_window_features``: watermark + sliding/tumbling window aggregate
   in append mode (a window is emitted once the watermark passes its end).
 * ``start_joinback``: the window aggregate joined back to the packets in
-  the same query (stream-stream join on the protocol stack and the window
-  start, carried as BIGINT microseconds on both sides).  The join also
+  the same query (stream-stream join on the protocol stack, the pane and a
+  salt; a packet is held once).  The join also
   states the time range a packet can have relative to its window's event
   time (``window_time``), which the equi-keys already imply; with it Spark
   evicts join state once the watermark passes, so state stays bounded by
@@ -21,6 +21,8 @@ One checkpoint folder per query, under the shared checkpoint root.
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -119,13 +121,32 @@ def start_window_features(stream: DataFrame, out_path: str, checkpoint: str, len
     return w.foreachBatch(sinks.multi_sink(sinks.parquet_batch_sink(out_path))).start()
 
 
-def _bounded_join(p: DataFrame, g: DataFrame, length_us: int) -> DataFrame:
-    """Equi-join on (stack, window start) plus the implied event-time range
-    ``window_time - length <= frame_time <= window_time + 1 s`` (the end is
-    inclusive), so both sides' state can be evicted by the watermark."""
-    span = F.expr(f"INTERVAL {length_us} MICROSECONDS")
-    cond = ((p["frame_protocols"] == g["w_protocols"]) & (p["p_start_us"] == g["w_start_us"])
-            & (p["frame_time"] >= g["w_time"] - span)
+SALTS = 8
+
+
+def _bounded_join(t: DataFrame, g: DataFrame, length: str, slide: str | None, include_end: bool, salts: int) -> DataFrame:
+    """Packets joined to the closed windows that hold them, one row a pair.
+
+    A packet enters the state once, under its stack, its pane (time floored to the
+    common step of length and slide) and a salt of its own; a window, of which
+    there are few, is listed for each of its panes and salts after the
+    aggregate.  So a stack with nearly all packets is spread over ``salts`` keys
+    a pane, and the state holds no copies of packets.  The pane that begins
+    at a window's end holds only packets exactly there.  The event-time range,
+    implied by the keys, lets both sides' state be evicted by the watermark."""
+    length_us = windows.parse_duration_us(length)
+    pane_us = math.gcd(length_us, windows.parse_duration_us(slide) if slide else length_us)
+    last = length_us // pane_us - (0 if include_end else 1)
+    g = g.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last).cast("bigint"))).alias("_i"))
+    g = g.select("*", (F.col("w_start_us") + F.col("_i") * F.lit(pane_us)).alias("w_pane"),
+                 (F.col("_i") * F.lit(pane_us) == F.lit(length_us)).alias("w_edge"),
+                 F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("w_salt"))
+    at = F.unix_micros("frame_time")
+    p = t.withColumns({"_at": at, "_pane": at - F.pmod(at, F.lit(pane_us)),
+                       "_salt": F.pmod(F.xxhash64("packet_id", "frame_time"), F.lit(salts)).cast("int")})
+    cond = ((p["frame_protocols"] == g["w_protocols"]) & (p["_pane"] == g["w_pane"]) & (p["_salt"] == g["w_salt"])
+            & (~g["w_edge"] | (p["_at"] == g["w_pane"]))
+            & (p["frame_time"] >= g["w_time"] - F.expr(f"INTERVAL {length_us} MICROSECONDS"))
             & (p["frame_time"] <= g["w_time"] + F.expr("INTERVAL 1 SECOND")))
     return p.join(g, cond, "inner")
 
@@ -133,7 +154,7 @@ def _bounded_join(p: DataFrame, g: DataFrame, length_us: int) -> DataFrame:
 def start_joinback(stream: DataFrame, out_path: str, checkpoint: str, length: str = "15 seconds",
                    slide: str | None = "5 seconds", watermark: str = WATERMARK,
                    include_end: bool = True, available_now: bool = False,
-                   trigger_seconds: int | None = None) -> StreamingQuery:
+                   trigger_seconds: int | None = None, salts: int = SALTS) -> StreamingQuery:
     """Packets joined to the closed windows (of their protocol stack) holding them."""
     t = timed_stream(stream, watermark)
     g = windows.window_features(t, "frame_time", length, slide, ["frame_protocols"])
@@ -142,12 +163,9 @@ def start_joinback(stream: DataFrame, out_path: str, checkpoint: str, length: st
                  F.window_time("time_window").alias("w_time"),
                  "count", "ip_avg_len", "frame_avg_len", "ip_local_anomaly", "frame_local_anomaly")
     g = g.na.drop(subset=["ip_avg_len", "frame_avg_len", "ip_local_anomaly", "frame_local_anomaly"])
-    length_us = windows.parse_duration_us(length)
-    slide_us = windows.parse_duration_us(slide) if slide else length_us
-    p = t.withColumn("_c", F.explode(windows.candidate_starts("frame_time", length_us, slide_us, include_end)))
-    p = p.select("packet_id", "frame_time", "frame_protocols", F.col("_c.start_us").alias("p_start_us"))
-    j = _bounded_join(p, g, length_us)
-    out = j.select("packet_id", F.timestamp_micros("p_start_us").alias("start"), F.col("count").alias("n"),
+    p = t.select("packet_id", "frame_time", "frame_protocols")
+    j = _bounded_join(p, g, length, slide, include_end, salts)
+    out = j.select("packet_id", F.timestamp_micros("w_start_us").alias("start"), F.col("count").alias("n"),
                    "frame_protocols", "ip_local_anomaly", "frame_local_anomaly")
     w = _writer(out, checkpoint, available_now, trigger_seconds).outputMode("append")
     return w.foreachBatch(sinks.multi_sink(sinks.parquet_batch_sink(out_path))).start()
@@ -156,7 +174,7 @@ def start_joinback(stream: DataFrame, out_path: str, checkpoint: str, length: st
 def start_forest_scoring(stream: DataFrame, model, cut: float, out_path: str, checkpoint: str,
                          length: str = "15 seconds", slide: str | None = "5 seconds",
                          watermark: str = WATERMARK, include_end: bool = True, available_now: bool = False,
-                         trigger_seconds: int | None = None) -> StreamingQuery:
+                         trigger_seconds: int | None = None, salts: int = SALTS) -> StreamingQuery:
     """Sliding windows per protocol stack, rows with a NULL feature skipped,
     scored by the forest (pandas UDF, stateless after the aggregate), labelled
     at ``cut`` and joined back to the packets of each closed window."""
@@ -170,14 +188,10 @@ def start_forest_scoring(stream: DataFrame, model, cut: float, out_path: str, ch
                  F.window_time("time_window").alias("w_time"),
                  iforest.score_column(model, WINDOW_FEATURES).alias("anomaly_score"))
     g = iforest.label(g, cut)
-    length_us = windows.parse_duration_us(length)
-    slide_us = windows.parse_duration_us(slide) if slide else length_us
-    p = t.withColumn("_c", F.explode(windows.candidate_starts("frame_time", length_us, slide_us, include_end)))
-    p = p.select("packet_id", "frame_time", "frame_protocols", "application_protocol",
-                 F.col("_c.start_us").alias("p_start_us"))
-    j = _bounded_join(p, g, length_us)
+    p = t.select("packet_id", "frame_time", "frame_protocols", "application_protocol")
+    j = _bounded_join(p, g, length, slide, include_end, salts)
     out = j.select("packet_id", "application_protocol", "frame_time", "anomaly_score", "anomaly",
-                   F.timestamp_micros("p_start_us").alias("start"))
+                   F.timestamp_micros("w_start_us").alias("start"))
     w = _writer(out, checkpoint, available_now, trigger_seconds).outputMode("append")
     return w.foreachBatch(sinks.multi_sink(sinks.parquet_batch_sink(out_path))).start()
 

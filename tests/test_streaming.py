@@ -130,3 +130,41 @@ def test_stream_quarantine_split_in_one_pass(spark):
     assert sorted(r.packet_id for r in jobs.read_batches(spark, out).collect()) == [0, 1, 2, 3]
     reasons = sorted(r.reason for r in jobs.read_batches(spark, bad).collect())
     assert reasons == ["not_json", "null_ip_len"]
+
+
+def test_joinback_of_one_hot_stack(spark):
+    """Nine packets in ten in one stack: pairs as in batch over several
+    micro-batches, packets on window ends included, and the state spread."""
+    base = dt.datetime(2024, 1, 1)
+    src, out, ckpt = (scratch_path(spark, n) for n in ("hot-in", "hot-out", "hot-ckpt"))
+    times = [base + dt.timedelta(milliseconds=250 * i) for i in range(240)]
+    rows = [(i, t, "eth:ip:tcp" if i % 10 else "eth:ip:udp") for i, t in enumerate(times)]
+    progress = []
+    for part in range(3):
+        _add_file(spark, src, [_pkt(i, t, s) for i, t, s in rows[part * 80:part * 80 + 80]], f"f{part}")
+        q = jobs.start_joinback(files.stream_packets_ndjson(spark, f"{src}/*"), out, ckpt, "15 seconds", "5 seconds",
+                                available_now=True)
+        q.awaitTermination()
+        progress += q.recentProgress
+    got = sorted((r.packet_id, r.start, r.n) for r in jobs.read_batches(spark, out).collect())
+    closed = times[-1] - dt.timedelta(seconds=10)
+    want = []
+    for k in range(-2, 12):
+        start = base + dt.timedelta(seconds=5 * k)
+        end = start + dt.timedelta(seconds=15)
+        if end > closed:
+            continue
+        for stack in ("eth:ip:tcp", "eth:ip:udp"):
+            n = sum(start <= t < end and s == stack for _, t, s in rows)
+            want += [(i, start, n) for i, t, s in rows if s == stack and n and start <= t <= end]
+    assert got == sorted(want)
+    joins = [op for p in progress for op in p.get("stateOperators", []) if op.get("operatorName") == "symmetricHashJoin"]
+    windows_held = 2 * 16 * 4 * jobs.SALTS  # stacks, windows, panes with the edge, salts
+    assert joins and max(op["numRowsTotal"] for op in joins) <= len(rows) + windows_held  # no copies of packets
+
+
+def test_joinback_salts_spread_a_pane(spark):
+    """The keys of one pane of one stack fall into as many state keys as salts, evenly."""
+    t = spark.range(8000).select(F.col("id").alias("packet_id"), F.lit(dt.datetime(2024, 1, 1)).alias("frame_time"))
+    sizes = [r["count"] for r in t.groupBy(F.pmod(F.xxhash64("packet_id", "frame_time"), F.lit(jobs.SALTS))).count().collect()]
+    assert len(sizes) == jobs.SALTS and max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
