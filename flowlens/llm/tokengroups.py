@@ -358,6 +358,21 @@ def links(opened: DataFrame, shingles: DataFrame) -> DataFrame:
     return stored(both.select("qs", "query", "target").mapInArrow(_open, "a bigint, b bigint"), "links")
 
 
+def merged(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components after further links, which count between components only."""
+    def named(df: DataFrame, col: str) -> DataFrame:
+        of = roots.select(F.col("v").alias(col), F.col("root").alias("_root"))
+        return df.join(of, col, "left").withColumn(col, F.coalesce("_root", col)).drop("_root")
+    between = stored(named(named(edges, "a"), "b").where("a <> b").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "between")
+    top = components(between)
+    old = named(top.select(F.col("v"), F.col("v").alias("root")), "v").select("root")
+    alone = old.join(roots.select(F.col("v").alias("root")), "root", "left_anti").select(F.col("root").alias("v"), "root")
+    both = roots.unionByName(alone)
+    of = top.select(F.col("v").alias("root"), F.col("root").alias("_top"))
+    return stored(both.join(of, "root", "left").select("v", F.coalesce("_top", "root").alias("root")), "roots")
+
+
 # --------------------------------------------------------------------- result
 
 def report(docs: DataFrame) -> DataFrame:
@@ -369,16 +384,14 @@ def report(docs: DataFrame) -> DataFrame:
     opened = first_round(prefix, cells)
     places = sets.select("sid", "g", "u", "d")
     shingles = shingles_of(stored(needed(opened, sets).join(places, "sid"), "needed"), docs)
-    edges = links(opened, shingles)
-    roots = components(edges)
+    roots = components(links(opened, shingles))
     more = second_round(prefix, opened, roots)
     if more.limit(1).count():
         need = needed(more, sets)
         rest = stored(need.join(shingles, "sid", "left_anti").join(places, "sid"), "needed")
         if rest.limit(1).count():
             shingles = shingles.unionByName(shingles_of(rest, docs))
-        edges = edges.unionByName(links(more, shingles.join(need, "sid", "left_semi")))
-        roots = components(edges)
+        roots = merged(roots, links(more, shingles.join(need, "sid", "left_semi")))
     named = stored(sets.join(roots.withColumnRenamed("v", "sid"), "sid", "left")
                    .select("f1", "f2", "n", "low", F.coalesce("root", "sid").alias("root")), "named")
     least = stored(named.groupBy("root").agg(F.min("low").alias("component_id")), "least")
