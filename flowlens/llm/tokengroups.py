@@ -11,9 +11,9 @@ words; fewer than four words make one shingle).  Two link at a Jaccard index of
    it needs, if fewer) among the first 15 % of the larger set and the first 8 %
    of the smaller one, three tokens more each, at places that leave enough
    tokens behind them.
-3. Groups: equal sets become one; sets sorted by min-hashes are cut into groups
-   that share the first one, of at most :data:`GROUP` sets and :data:`TOKENS`
-   tokens (a longer set is its own group).  The matrix of tokens and groups is
+3. Groups: equal sets become one; of its three min-hashes a set goes by the one
+   that most sets have, and sets of one such hash are cut into groups of at most
+   :data:`GROUP` sets and :data:`TOKENS` tokens (a longer set is its own group).  The matrix of tokens and groups is
    the table ``index``: for a token and group the range of sizes and the most
    tokens that follow it.
 4. A set is a query against every group whose row of the matrix meets its prefix
@@ -55,7 +55,7 @@ from .graph import components
 
 SHINGLE, PERCENT = 4, 85
 CELLS, SLICES, SALTS = 1 << 20, 16, 8
-GROUP, TOKENS, FEW, MATCHES = 64, 1 << 16, 4, 4
+GROUP, TOKENS, FEW, MATCHES = 256, 1 << 16, 4, 4
 BROADCAST_ROWS = 500_000  # some 40 bytes each
 SHARD_BYTES = 8 << 20
 
@@ -190,9 +190,13 @@ def grouped(signs: DataFrame) -> DataFrame:
     one = signs.where("n > 0").groupBy("f1", "f2", "n").agg(
         F.min("doc_id").alias("low"), F.min(F.struct("u", "d")).alias("at"),
         *[F.min(c).alias(c) for c in ("m1", "m2", "m3")])
-    flat = one.select("n", "f1", "f2", "low", "at.u", "at.d", "m1", "m2", "m3")
-    order = ["m1", "m2", "m3", "f1", "f2"]
-    dealt = flat.repartitionByRange(*order).sortWithinPartitions(*order)
+    flat = stored(one.select("n", "f1", "f2", "low", "at.u", "at.d", F.array("m1", "m2", "m3").alias("ms")), "different")
+    each = flat.select("f1", "f2", "n", F.explode(F.array_distinct("ms")).alias("m1"))
+    shared = stored(each.groupBy("m1").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "shared")
+    named = each.join(shared, "m1").groupBy("f1", "f2", "n").agg(F.max(F.struct("c", "m1")).alias("top"))
+    keyed = flat.join(named, ["f1", "f2", "n"], "left").withColumn("m1", F.coalesce("top.m1", F.get("ms", F.lit(0))))
+    order = ["m1", "f1", "f2", "n"]
+    dealt = keyed.drop("ms", "top").repartitionByRange(*order).sortWithinPartitions(*order)
     kind = signs.schema["doc_id"].dataType.simpleString()
     return stored(dealt.mapInArrow(_cut, f"sid bigint, g bigint, n bigint, f1 bigint, f2 bigint, low {kind}, u binary, d string"),
                   "groups")
