@@ -9,8 +9,9 @@ Line rules (a line fails by the first that holds):
 * navigation: at least three separators ``| > » › •``;
 * symbols: more than 30 % of its words hold a character of ``#*$%&|<>``;
 * navigation again: up to three words without an end mark;
-* punctuation: eight words or more, no end mark ``. ! ? : ; …`` at the end
-  (quotes, brackets or symbols may follow it) and none before a space either.
+* punctuation: eight words or more, no end mark (``. ! ? : ; …`` or a sentence end
+  of another script, as ``। ؟ ۔ 。``) at the end (quotes, brackets or symbols may
+  follow it) and none before a space either.
 
 Base counts (``n_words`` ...) are taken over the whole text before cleaning:
 a document with fewer than 50 words, or with over half of its words inside
@@ -35,8 +36,22 @@ WS = "[ \\t\\n\\x0B\\x0C\\r]+"
 BOILERPLATE = ["all rights reserved", "cookie policy", "privacy policy", "terms of use",
                "terms of service", "enable javascript", "lorem ipsum", "click here",
                "sign up for our newsletter", "subscribe to our", "skip to content"]
-END_MARK = "[.!?:;\\x{2026}][\"')\\]\\x{201D}\\x{2019}\\x{00BB}#*$%&]*$"
-INNER_MARK = "[.!?\\x{2026}] "
+# Code points that end a sentence in some script (Unicode property
+# Sentence_Terminal, the marks of living scripts), colons and semicolons, and
+# what may close a quotation after them.
+ENDERS = ["0589", "061D", "061E", "061F", "06D4", "0700", "0701", "0702", "07F9", "0964", "0965", "104A", "104B", "1362",
+          "1367", "1368", "166E", "17D4", "17D5", "1803", "1809", "203C", "203D", "2026", "2047", "2048", "2049", "3002",
+          "A60E", "A6F3", "A6F7", "A92F", "AAF0", "ABEB", "FE52", "FE56", "FE57", "FF01", "FF0E", "FF1F", "FF61"]
+COLONS = ["037E", "061B", "1365", "1366", "FF1A", "FF1B"]
+CLOSERS = ["00BB", "2019", "201D", "203A", "300B", "300D", "300F", "3011", "FF09", "FF63"]
+
+
+def _points(codes: list[str]) -> str:
+    return "".join(f"\\x{{{c}}}" for c in codes)
+
+
+END_MARK = f"[.!?:;{_points(ENDERS + COLONS)}][\"')\\]{_points(CLOSERS)}#*$%&]*$"
+INNER_MARK = f"[.!?{_points(ENDERS)}] "
 _SEPARATORS = "|>»›•"
 _SYMBOLS = "#*$%&|<>"
 _TRIM = "' \\t\\n\\u000B\\u000C\\r'"

@@ -58,3 +58,16 @@ def test_hash_ties_use_the_full_sort(spark, monkeypatch):
     monkeypatch.setattr(quality, "_repeat_words", scope["_repeat_words"])
     got = {r.doc_id: r.n_repeat_words for r in quality.quality(docs(spark, rows)).collect()}
     assert got == {i: brute(t)[4] for i, t in rows}
+
+
+def test_end_marks_of_many_scripts(spark):
+    """The same lines are kept whatever script's sentence end they have."""
+    from flowlens.llm import quality
+    from tests.llm.cases import docs
+    marks = [".", "!", "\u2026", "\u0964", "\u061f", "\u06d4", "\u3002", "\uff1f", "\u0589", "\u1362", "\u104b", "\u17d4",
+             "\u3002\u300d", "\u0964\u201d"]
+    line = "w{0}a w{0}b w{0}c w{0}d w{0}e w{0}f w{0}g w{0}h w{0}i w{0}j w{0}k w{0}l w{0}m w{0}n"
+    rows = [(i, "\n".join(line.format(f"{i}x{k}") + m for k in range(8))) for i, m in enumerate(marks)]
+    rows.append((99, "\n".join(line.format(f"99x{k}") for k in range(8))))
+    got = {r.doc_id: r.kept for r in quality.quality(docs(spark, rows)).collect()}
+    assert [i for i, kept in got.items() if not kept] == [99]
