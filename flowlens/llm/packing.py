@@ -6,12 +6,11 @@ documents) is least; inside each bucket documents form batches of at most
 :data:`BUDGET` padded tokens.
 
 A document's length is its number of white-space words plus one end token, or
-any ``length`` expression given.  Lengths up to :data:`EXACT` are histogram
-classes of their own; above it classes grow by 1/:data:`STEPS`, so the
-histogram has a bounded number of rows, and the boundaries are optimal for
-these classes (exactly optimal when no length exceeds :data:`EXACT`).  Equal
-padding is decided for the lower boundary.  A document longer than the budget
-is alone in its batch.
+any ``length`` expression given.  The histogram has a row for each different length
+(two numbers; no more rows than the longest document has words, however many
+documents), so the boundaries are optimal for all lengths.  Equal padding is
+decided for the lower boundary.  A document longer than the budget is alone in
+its batch.
 
 Batches: documents of a bucket are shuffled deterministically and cut into
 runs of ``budget // boundary``; places come from :func:`common.positions`, so
@@ -32,20 +31,12 @@ from .common import positions, saved
 
 BUCKETS = 8
 BUDGET = 16_384
-EXACT = 4_096
-STEPS = 256
 
 
 def word_length(text: str = "text") -> Column:
-    words = F.expr(f"size(split(trim(both ' \\t\\n\\r' from coalesce({text}, '')), '[ \\t\\n\\r]+'))")
-    blank = F.expr(f"coalesce({text}, '') rlike '^[ \\t\\n\\r]*$'")
-    return (F.when(blank, F.lit(0)).otherwise(words) + 1).cast("bigint")
-
-
-def class_top(n: Column) -> Column:
-    """The largest length of the histogram class of length ``n``."""
-    width = F.greatest(F.lit(1), F.floor(F.pow(F.lit(2), F.floor(F.log2(n.cast("double")))) / STEPS)).cast("bigint")
-    return F.when(n <= EXACT, n).otherwise(F.floor((n + width - 1) / width).cast("bigint") * width).cast("bigint")
+    trimmed = F.btrim(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    words = F.size(F.split(trimmed, "[ \\t\\n\\x0B\\f\\r]+"))
+    return (F.when(trimmed == "", F.lit(0)).otherwise(words) + 1).cast("bigint")
 
 
 def best_boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
@@ -87,9 +78,8 @@ def best_boundaries(lengths: list[int], counts: list[int], buckets: int) -> list
 
 def boundaries(lengths: DataFrame, buckets: int = BUCKETS) -> list[int]:
     """From a column ``n_tokens``: the global histogram, then the boundaries."""
-    hist = (lengths.groupBy(class_top(F.col("n_tokens")).alias("top")).agg(F.count(F.lit(1)).alias("n"))
-            .orderBy("top").collect())
-    return best_boundaries([r["top"] for r in hist], [r["n"] for r in hist], buckets)
+    hist = sorted(lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect())
+    return best_boundaries([r["n_tokens"] for r in hist], [r["n"] for r in hist], buckets)
 
 
 def pack(docs: DataFrame, length: Column | None = None, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
@@ -44,15 +45,11 @@ def test_edge_rows(spark):
     rows = packing.pack(docs(spark, EDGE)).collect()
     assert len(rows) == len(EDGE)
     assert Counter((r.doc_id, r.n_tokens) for r in rows) == Counter(
-        (i, len((t or "").replace("\x0b", "").replace("\x0c", "").split(None)) + 1 if i != 3 else r3(rows)) for i, t in EDGE)
+        (i, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) + 1) for i, t in EDGE)
     check(rows, packing.BUDGET)
     assert packing.pack(empty(spark)).count() == 0
 
 
-def r3(rows):
-    return next(r.n_tokens for r in rows if r.doc_id == 3)
-
-
 def test_hot_bucket_over_many_slices(spark, monkeypatch):
     monkeypatch.setattr(common, "SLICE_ROWS", 50)
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("w " * 30).alias("text"))
@@ -61,6 +58,14 @@ def test_hot_bucket_over_many_slices(spark, monkeypatch):
     check(rows, 320)
 
 
-def test_classes_above_the_exact_range(spark):
-    tops = spark.range(1, 40000, 7).select(F.col("id"), packing.class_top(F.col("id")).alias("t")).collect()
-    assert all(r.t >= r.id and (r.id > packing.EXACT or r.t == r.id) and r.t <= r.id * (1 + 2 / packing.STEPS) for r in tops)
+def test_long_lengths_are_exact(spark):
+    rows = [(k, " ".join(["w"] * 5000)) for k in range(3)]
+    got = packing.pack(docs(spark, rows)).collect()
+    assert {(r.n_tokens, r.bucket_len, r.padding) for r in got} == {(5001, 5001, 0)}
+    r = random.Random(4)
+    sizes = r.sample(range(1, 60_000), 9)
+    many = spark.createDataFrame([(n,) for n in sizes for _ in range(r.randint(1, 4))], "n_tokens bigint")
+    hist = Counter(x.n_tokens for x in many.collect())
+    lengths = sorted(hist)
+    best = min(cost(lengths, [hist[n] for n in lengths], [*c, lengths[-1]]) for c in itertools.combinations(lengths, 2))
+    assert cost(lengths, [hist[n] for n in lengths], packing.boundaries(many, 3)) == best
