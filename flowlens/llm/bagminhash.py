@@ -21,11 +21,14 @@ most buckets with others, so among copies of one text the most central.  Then
 buckets are looked at again: where members are in different components and
 were not compared, the next :data:`FIRST_HUBS` hubs follow, then that many times
 as many, until every pair of a bucket is in one component or compared.  Pairs
-of these later rounds are verified if the whole signature lets them be: of the
-:data:`MARKS` pairs of registers at least :data:`LIKELY` agree, as they do at
-similarity 0.8 with probability 0.9995.  That turns away documents with only a
-passage in common.  A bucket of near copies costs a few comparisons per member;
-one of documents all unlike each other is compared by signature in full.
+of these later rounds are verified if their sizes and a second, longer signature
+let them be: one bit of each of :data:`BITS` fresh registers, made only for the
+members of such buckets.  At similarity s a bit differs with probability
+(1 - s) / 2, so at 0.8 more than :data:`FAR` of them do with probability 0.0001;
+pairs above that are not verified, which loses this share of the links that no
+other path joins.  That turns away most pairs below 0.72.  A bucket of near copies
+costs a few comparisons per member; in one of documents all unlike each other
+the bits of every pair are compared inside the join, and few leave it.
 
 Edge cases: texts without words are linked only to equal texts; null texts
 are empty; documents are joined by content key, so repeated ids and rows fall
@@ -51,7 +54,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 26, 6
 FIRST_HUBS = 16
 REGISTERS = BANDS * ROWS
-MARKS, LIKELY = REGISTERS // 2, 36
+BITS, FAR = 1024, 140
 SHARD_BYTES = 8 << 20
 
 
@@ -71,7 +74,8 @@ def bags(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return row[first], h[first], np.diff(np.concatenate([first, [len(h)]]))
 
 
-def signatures(row: np.ndarray, h: np.ndarray, count: np.ndarray, n: int, m: int = REGISTERS) -> np.ndarray:
+def signatures(row: np.ndarray, h: np.ndarray, count: np.ndarray, n: int, m: int = REGISTERS,
+               salt: int = 3) -> np.ndarray:
     """Register times, one row of ``m`` per document (inf: no shingle)."""
     reg = np.full((n, m), np.inf)
     # Nodes: level 0 is [0, 1), level j is [2**(j-1), 2**j).
@@ -81,7 +85,7 @@ def signatures(row: np.ndarray, h: np.ndarray, count: np.ndarray, n: int, m: int
     width = np.where(level == 0, 1.0, 2.0 ** (level - 1))
     low = np.where(level == 0, 0.0, width)
     doc, weight = row[who], count[who].astype(float)
-    seed = mix(h[who] ^ mix(level.astype(np.uint64), 3), 4)
+    seed = mix(h[who] ^ mix(level.astype(np.uint64), salt), 4)
     time = np.zeros(len(who))
     live = np.arange(len(who))
     step = 0
@@ -113,11 +117,17 @@ def band_keys(reg: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def mark_keys(reg: np.ndarray) -> np.ndarray:
-    """32 bits per pair of registers, for estimating similarities."""
-    bits = np.ascontiguousarray(reg).view(np.uint64).reshape(len(reg), MARKS, 2)
-    key = mix(bits[:, :, 0] ^ mix(bits[:, :, 1] ^ np.arange(MARKS, dtype=np.uint64), 12), 13)
-    return (key >> np.uint64(32)).astype(np.uint32).view(np.int32)
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    place = np.arange(BITS, dtype=np.uint64)
+    for t in batches:
+        off = np.asarray(t["sh"].offsets).astype(np.int64)
+        h = t["sh"].values.to_numpy(zero_copy_only=False)[off[0]:off[-1]].view(np.uint64)
+        reg = signatures(*bags(h, off - off[0]), t.num_rows, BITS, salt=21)
+        bit = (mix(reg.view(np.uint64) ^ place, 12) & np.uint64(1)).astype(np.uint8)
+        words = np.packbits(bit, axis=1).view(np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(t.num_rows + 1, dtype=np.int32) * (BITS // 64)),
+                                         pa.array(words.reshape(-1)))
+        yield pa.RecordBatch.from_arrays([t["u"], pa.array(np.diff(off)), lists], ["u", "n", "bits"])
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,13 +135,12 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, off = shingles_of(tab["text"])
         n = tab.num_rows
         reg = signatures(*bags(h, off), n)
-        keys, marks = band_keys(reg), mark_keys(reg)
+        keys = band_keys(reg)
         some = np.diff(off) > 0
         bands = pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))]).astype(np.int32)),
             pa.array(keys[some].reshape(-1)))
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * MARKS), pa.array(marks.reshape(-1)))
-        out = tab.drop_columns(["text"]).append_column("__bands", bands).append_column("__marks", lists)
+        out = tab.drop_columns(["text"]).append_column("__bands", bands)
         yield from out.to_batches()
 
 
@@ -142,7 +151,7 @@ def signed(docs: DataFrame) -> DataFrame:
     df = docs.select("doc_id", content_key().alias("__u"),
                      F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__d"),
                      F.col("text").cast("string").alias("text"))
-    return df.mapInArrow(_sign, f"doc_id {kind}, __u binary, __d string, __bands array<bigint>, __marks array<int>")
+    return df.mapInArrow(_sign, f"doc_id {kind}, __u binary, __d string, __bands array<bigint>")
 
 
 def _multiset(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,6 +219,9 @@ def links(signs: DataFrame, docs: DataFrame) -> DataFrame:
     checked = verified(rows.select(F.least("u", "hub").alias("a"), F.greatest("u", "hub").alias("b")).distinct(), sets)
     roots = components(checked.where("ok").select("a", "b"))
     buckets, hubs_per_key, marks = rows.select("key", "u", "deg"), FIRST_HUBS, None
+    differ = " + ".join(f"bit_count(bits[{i}] ^ hub_bits[{i}])" for i in range(BITS // 64))
+    alike = (f"hub <> u and hub_root <> root and least(n, hub_n) >= {SIMILARITY} * greatest(n, hub_n) "
+             f"and {differ} <= {FAR}")
     while True:
         # Buckets that hold two components among the members that were no hub yet.
         at = buckets.join(roots.withColumnRenamed("v", "u"), "u", "left").withColumn("root", F.coalesce("root", "u"))
@@ -218,16 +230,15 @@ def links(signs: DataFrame, docs: DataFrame) -> DataFrame:
         if not buckets.limit(1).count():
             return roots
         if marks is None:
-            need = buckets.select(F.col("u").alias("__u")).distinct()
-            marks = saved(signs.select("__u", "__marks").join(need, "__u").dropDuplicates(["__u"])
-                          .select(F.col("__u").alias("u"), F.col("__marks").alias("marks")))
+            marks = saved(sets.join(buckets.select("u").distinct(), "u", "left_semi")
+                          .mapInArrow(_bits, "u binary, n bigint, bits array<bigint>"))
         order = Window.partitionBy("key").orderBy(F.desc("deg"), "u")
-        chosen = saved(buckets.withColumn("n", F.row_number().over(order)).where(F.col("n") <= hubs_per_key)
+        chosen = saved(buckets.withColumn("place", F.row_number().over(order)).where(F.col("place") <= hubs_per_key)
                        .select("key", "u", "root").join(marks, "u")
                        .select("key", F.col("u").alias("hub"), F.col("root").alias("hub_root"),
-                               F.col("marks").alias("hub_marks")))
+                               F.col("n").alias("hub_n"), F.col("bits").alias("hub_bits")))
         pairs = (buckets.join(marks, "u").join(chosen, "key")
-                 .where(f"hub <> u and hub_root <> root and size(array_intersect(marks, hub_marks)) >= {LIKELY}")
+                 .where(alike)
                  .select(F.least("hub", "u").alias("a"), F.greatest("hub", "u").alias("b")).distinct()
                  .join(checked.select("a", "b"), ["a", "b"], "left_anti"))
         fresh = verified(pairs, sets)
