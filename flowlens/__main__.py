@@ -3,7 +3,7 @@
     train-kmeans  --input LOG_DIR --models DIR [--k 5] [--n-init 10]
     elbow         --input LOG_DIR [--kmax 9] [--n-init 10]
     score         --input LOG_DIR | --kafka SERVERS [--topic packets] --models DIR
-                  --out DIR --checkpoint DIR [--geo PARQUET] [--quarantine DIR]
+                  --out DIR --checkpoint DIR [--geo PARQUET] [--quarantine DIR] [--local-ip IP]
                   [--console] [--available-now] [--trigger-seconds N] [--spread N]
     train-forest  --input CSV_DIR --models DIR [--predictions DIR] [--window "1 minute"]
     score-forest  --input LOG_DIR --models DIR --out DIR --checkpoint DIR
@@ -19,6 +19,7 @@ from __future__ import annotations
 import argparse
 import sys
 
+from .operators.enrich import LOCAL_IP
 from .schema import PACKET_CSV, SCORING_PACKET
 from .session import build_session
 
@@ -50,6 +51,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a.add_argument("--checkpoint", required=True)
     a.add_argument("--geo")
     a.add_argument("--quarantine")
+    a.add_argument("--local-ip", default=LOCAL_IP)
     a.add_argument("--threshold", type=float, default=2.6)
     a.add_argument("--console", action="store_true")
     a.add_argument("--available-now", action="store_true")
@@ -89,7 +91,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         q = jobs.live_score_job(spark, stream, args.models, _geo(spark, args.geo), args.out, args.checkpoint,
                                 quarantine_path=args.quarantine, threshold=args.threshold, console=args.console,
                                 available_now=args.available_now, trigger_seconds=args.trigger_seconds,
-                                spread=args.spread)
+                                spread=args.spread, local_ip=args.local_ip)
         q.awaitTermination()
     elif args.cmd == "train-forest":
         flat = files.read_packet_csv(spark, args.input, PACKET_CSV)

@@ -50,10 +50,12 @@ def lenient_schema(schema: T.StructType = PACKET, corrupt: str | None = None) ->
 
 def normalise_packets(df: DataFrame, schema: T.StructType = PACKET, keep: tuple[str, ...] = (),
                       decoded: Column | None = None) -> DataFrame:
-    """Leniently parsed packet columns -> declared types (see ``_normalise``)."""
+    """Leniently parsed packet columns -> declared types (see ``_normalise``).
+    A ``_raw`` column (text that did not decode) is carried through."""
     cols = [_normalise(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
     flag = decoded if decoded is not None else F.lit(True)
-    return df.select(*keep, *cols, flag.alias("_decoded"))
+    raw = ["_raw"] if "_raw" in df.columns else []
+    return df.select(*keep, *cols, flag.alias("_decoded"), *raw)
 
 
 def decode_packets(df: DataFrame, value_col: str = "value",
@@ -62,15 +64,16 @@ def decode_packets(df: DataFrame, value_col: str = "value",
     """Text (or bytes) column of packet JSON -> typed packet columns (the
     message-bus path; files go through the JSON reader instead).
 
-    Adds ``_decoded`` (FALSE when the text is not a JSON object) so callers
-    can route such rows to quarantine.  ``keep`` lists input columns to carry
+    Adds ``_decoded`` (FALSE when the text is not a JSON object) and then the
+    text itself as ``_raw``, so callers can route such rows to quarantine.  ``keep`` lists input columns to carry
     through (for example the broker timestamp or an id).  The JSON text is
     parsed once into one struct column; fields are then read from it."""
     text = F.col(value_col).cast("string")
     parse_schema = _lenient(schema) if lenient else schema
     out = df.select(*keep, text.alias("_raw"), F.from_json(text, parse_schema).alias("_data"))
-    out = out.select(*keep, "_data.*",
-                     (F.col("_data").isNotNull() & F.ltrim(F.col("_raw")).startswith("{")).alias("_ok"))
+    ok = F.col("_data").isNotNull() & F.ltrim(F.col("_raw")).startswith("{")
+    ok = F.coalesce(ok, F.lit(False))
+    out = out.select(*keep, "_data.*", ok.alias("_ok"), F.when(~ok, F.col("_raw")).alias("_raw"))
     if not lenient:
         return out.withColumnRenamed("_ok", "_decoded")
     return normalise_packets(out, schema, keep, F.col("_ok"))
@@ -138,6 +141,13 @@ def flag_quarantine(df: DataFrame, required: list[str]) -> DataFrame:
     return df.withColumns({"_ok": F.coalesce(ok, F.lit(False)), "reason": reason})
 
 
+def quarantined_text(df: DataFrame) -> Column:
+    """What a quarantined row held: the line that did not decode, or the
+    packet's layers as JSON."""
+    layers = F.to_json("layers")
+    return F.coalesce("_raw", layers) if "_raw" in df.columns else layers
+
+
 def split_quarantine(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
     """(good, quarantine): rows where every ``required`` column is non-NULL
     and the text decoded, and the rest with a ``reason`` column."""

@@ -414,21 +414,19 @@ def q_csv_decode(spark, sf):
 
 # ---------------------------------------------------------------- streaming
 
-STREAM_FILES = 4
-
-
-def _stage_stream_input(spark, sf, files_n: int = STREAM_FILES) -> str:
-    """Packets written as NDJSON files into a fresh scratch folder that a
-    file-source stream then reads."""
+def _stage_stream_input(spark, sf) -> str:
+    """Packets written as NDJSON files, one a partition, into a fresh scratch
+    folder that a file-source stream then reads."""
     path = scratch_path(spark, "stream-in")
-    files.write_packets_ndjson(_packets(spark, sf).repartition(files_n), path)
+    files.write_packets_ndjson(_packets(spark, sf), path)
     return path
 
 
 def q_stream_score(spark, sf):
     """Batch-trained models saved as tables, loaded by a file-source stream
-    that scores packets two files per micro-batch (availableNow)."""
+    that scores a file for every two cores in a micro-batch (availableNow)."""
     in_dir = _stage_stream_input(spark, sf)
+    cores = spark.sparkContext.defaultParallelism
     scaled, params = _scaled(spark, sf)
     models = scratch_path(spark, "models")
     sinks.save_model_table(spark.createDataFrame(
@@ -438,9 +436,9 @@ def q_stream_score(spark, sf):
     scaler = sinks.load_model_table(spark, f"{models}/scaler")
     centers = sinks.load_model_table(spark, f"{models}/kmeans")
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    stream = files.stream_packets_ndjson(spark, in_dir, SCORING_PACKET, max_files_per_trigger=2)
+    stream = files.stream_packets_ndjson(spark, in_dir, SCORING_PACKET, max_files_per_trigger=max(2, cores // 2))
     q = jobs.start_scoring(stream, _ranges(spark, sf), scaler, centers, out, ckpt, available_now=True,
-                           spread=spark.sparkContext.defaultParallelism)
+                           spread=cores)
     q.awaitTermination()
     return flatten_scored(jobs.read_batches(spark, out))
 

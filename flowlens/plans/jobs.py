@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parse
-from ..operators import decode, features, iforest, kmeans, sampling, windows
+from ..operators import decode, enrich, features, iforest, kmeans, sampling, windows
 from ..schema import FEATURES, WINDOW_FEATURES
 from ..session import materialize
 from ..sources import sinks
@@ -64,11 +64,12 @@ def load_scoring_models(spark: SparkSession, model_dir: str) -> tuple[DataFrame,
 def live_score_job(spark: SparkSession, stream: DataFrame, model_dir: str, geo_ranges: DataFrame,
                    out_path: str, checkpoint: str, quarantine_path: str | None = None,
                    threshold: float = 2.6, console: bool = False, available_now: bool = False,
-                   trigger_seconds: int | None = None, spread: int | None = None):
+                   trigger_seconds: int | None = None, spread: int | None = None,
+                   local_ip: str = enrich.LOCAL_IP):
     scaler, centers = load_scoring_models(spark, model_dir)
     return stream_jobs.start_scoring(stream, geo_ranges, scaler, centers, out_path, checkpoint,
                                      quarantine_path, threshold, console, available_now, trigger_seconds,
-                                     spread)
+                                     spread, local_ip)
 
 
 def flat_packets(flat: DataFrame) -> DataFrame:

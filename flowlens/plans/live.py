@@ -49,9 +49,10 @@ def score_packets(df: DataFrame, geo_ranges: DataFrame, scaler, centers,
 def score_flagged(df: DataFrame, geo_ranges: DataFrame, scaler, centers,
                   threshold: float = DEFAULT_THRESHOLD, local_ip: str = enrich.LOCAL_IP,
                   keep: tuple[str, ...] = ()) -> DataFrame:
-    """One pass scoring every packet, with ``_ok``/``reason`` quarantine flags
-    (scores of flagged rows are meaningless).  For sinks that split good and
+    """One pass scoring every packet, with ``_ok``/``reason`` quarantine flags and
+    the ``raw`` text of flagged rows (their scores are meaningless).  For sinks that split good and
     quarantined rows from one persisted micro-batch."""
     enriched = decode.flag_quarantine(features.with_features(enrich_packets(df, geo_ranges, local_ip)), FEATURES)
+    enriched = enriched.withColumn("raw", F.when(~F.col("_ok"), decode.quarantined_text(enriched)))
     scored = kmeans.label(kmeans.assign(features.scale(enriched, scaler), centers), threshold)
-    return scored.select(*keep, *SCORED_PACKET.fieldNames(), "_ok", "reason")
+    return scored.select(*keep, *SCORED_PACKET.fieldNames(), "_ok", "reason", "raw")

@@ -61,7 +61,7 @@ def _from_reader(df: DataFrame, schema: T.StructType) -> DataFrame:
     for c in fields[1:]:
         any_field = any_field | c
     kept = df.filter(any_field | F.col(CORRUPT).isNotNull())
-    return normalise_packets(kept, schema, decoded=F.col(CORRUPT).isNull())
+    return normalise_packets(kept.withColumn("_raw", F.col(CORRUPT)), schema, decoded=F.col(CORRUPT).isNull())
 
 
 def _json_reader(reader, schema: T.StructType):

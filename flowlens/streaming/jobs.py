@@ -51,11 +51,22 @@ def with_packet_id(df: DataFrame) -> DataFrame:
     return df.withColumn("packet_id", F.col("layers.frame.frame_frame_number").try_cast("bigint"))
 
 
+def quarantine_folder(out_path: str) -> str:
+    """Default place of quarantined rows: beside the output folder."""
+    return f"{out_path.rstrip('/')}_quarantine"
+
+
 def start_scoring(stream: DataFrame, geo_ranges: DataFrame, scaler, centers, out_path: str,
                   checkpoint: str, quarantine_path: str | None = None, threshold: float = 2.6,
                   console: bool = False, available_now: bool = False,
-                  trigger_seconds: int | None = None, spread: int | None = None) -> StreamingQuery:
-    """Score a packet stream; scored rows (and quarantined rows) written per micro-batch.
+                  trigger_seconds: int | None = None, spread: int | None = None,
+                  local_ip: str = enrich.LOCAL_IP) -> StreamingQuery:
+    """Score a packet stream; scored rows and quarantined rows written per micro-batch.
+
+    Every transport packet and every line that does not decode ends in one of
+    the two outputs.  Quarantined rows keep ``reason`` and ``raw`` (the line, or
+    the packet's layers as JSON); their folder is ``quarantine_path``, by default
+    that of :func:`quarantine_folder`.  ``local_ip`` is the host's own address.
 
     ``spread``: spread each micro-batch over this many tasks before scoring,
     for sources that deliver few partitions per batch (small files, a
@@ -70,28 +81,25 @@ def start_scoring(stream: DataFrame, geo_ranges: DataFrame, scaler, centers, out
     geo_ranges = enrich.bounded_broadcast(materialize(enrich.bucket_ranges(
         geo_ranges.select("ip_start", "ip_end", "city", "lon", "lat"), broadcast_ranges=False)))
     extra = [sinks.console_batch_sink()] if console else []
-    if quarantine_path:
-        # One scan per micro-batch: score with flags, persist, then split.
-        flagged = live.score_flagged(packets, geo_ranges, scaler, centers, threshold, keep=("packet_id",))
-        good_sink, bad_sink = sinks.parquet_batch_sink(out_path), sinks.parquet_batch_sink(quarantine_path)
-
-        def split(batch: DataFrame, batch_id: int) -> None:
-            good = batch.filter(F.col("_ok")).drop("_ok", "reason")
-            good_sink(good, batch_id)
-            bad_sink(batch.filter(~F.col("_ok")).select("packet_id", "reason"), batch_id)
-            for s in extra:
-                s(good, batch_id)
-
-        def run(batch: DataFrame, batch_id: int) -> None:
-            batch.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                split(batch, batch_id)
-            finally:
-                batch.unpersist()
-        return _writer(flagged, checkpoint, available_now, trigger_seconds).foreachBatch(run).start()
-    scored, _ = live.score_packets(packets, geo_ranges, scaler, centers, threshold, keep=("packet_id",))
-    run = sinks.multi_sink(sinks.parquet_batch_sink(out_path), *extra)
-    return _writer(scored, checkpoint, available_now, trigger_seconds).foreachBatch(run).start()
+    quarantine_path = quarantine_path or quarantine_folder(out_path)
+    # One scan per micro-batch: score with flags, persist, then split.
+    flagged = live.score_flagged(packets, geo_ranges, scaler, centers, threshold, local_ip, keep=("packet_id",))
+    good_sink, bad_sink = sinks.parquet_batch_sink(out_path), sinks.parquet_batch_sink(quarantine_path)
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        good = batch.filter(F.col("_ok")).drop("_ok", "reason", "raw")
+        good_sink(good, batch_id)
+        bad_sink(batch.filter(~F.col("_ok")).select("packet_id", "reason", "raw"), batch_id)
+        for s in extra:
+            s(good, batch_id)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            split(batch, batch_id)
+        finally:
+            batch.unpersist()
+    return _writer(flagged, checkpoint, available_now, trigger_seconds).foreachBatch(run).start()
 
 
 def timed_stream(stream: DataFrame, watermark: str = WATERMARK, with_protocol: bool = False) -> DataFrame:

@@ -125,11 +125,21 @@ def test_stream_quarantine_split_in_one_pass(spark):
               + [json.dumps(empty_ip), "not json"], "f1")
     ranges = spark.createDataFrame([], "ip_start bigint, ip_end bigint, city string, lon float, lat float")
     q = jobs.start_scoring(files.stream_packets_ndjson(spark, f"{src}/*"), ranges, [(0.0, 1.0)] * 7,
-                           [(0, [0.0] * 7)], out, ckpt, quarantine_path=bad, available_now=True, spread=2)
+                           [(0, [0.0] * 7)], out, ckpt, quarantine_path=bad, available_now=True, spread=2,
+                           local_ip="10.0.0.1")
     q.awaitTermination()
     assert sorted(r.packet_id for r in jobs.read_batches(spark, out).collect()) == [0, 1, 2, 3]
     reasons = sorted(r.reason for r in jobs.read_batches(spark, bad).collect())
     assert reasons == ["not_json", "null_ip_len"]
+    raw = {r.reason: r.raw for r in jobs.read_batches(spark, bad).collect()}
+    assert raw["not_json"] == "not json" and json.loads(raw["null_ip_len"])["frame"]["frame_frame_number"] == "50"
+    # Without a path of its own the quarantine stands beside the output.
+    out2, ckpt2 = scratch_path(spark, "qs-out2"), scratch_path(spark, "qs-ckpt2")
+    jobs.start_scoring(files.stream_packets_ndjson(spark, f"{src}/*"), ranges, [(0.0, 1.0)] * 7, [(0, [0.0] * 7)],
+                       out2, ckpt2, available_now=True).awaitTermination()
+    assert [r.src_city for r in jobs.read_batches(spark, out2).collect()] == ["ERROR"] * 4
+    assert [r.src_city for r in jobs.read_batches(spark, out).collect()] == ["LOCAL"] * 4  # the own address given
+    assert jobs.read_batches(spark, jobs.quarantine_folder(out2)).count() == 2
 
 
 def test_joinback_of_one_hot_stack(spark):
