@@ -41,8 +41,8 @@ from .common import arrow_batches, chunks, scratch_path
 
 END = 1
 ROW_INDEX = 1_000
-SHARD_BYTES = 4 << 20
-CACHED = 100_000
+SHARD_BYTES = 8 << 20
+CACHED = 150_000
 
 # Words that may be parted at letter/mark borders, and the borders (RE2).
 _SAFE = "^[!-&(-~À-ÖØ-öø-ÿ]+$"
