@@ -3,8 +3,8 @@
 IPv4 addresses become BIGINT (they fit); private networks are tested as
 integer ranges, which is also the form the range lookups join on.  IPv6
 values (128 bits) do not fit any Spark integer or ``decimal(38,0)``, so they
-are normalised to a 32-character lowercase hex key; prefix tests use the
-leading 32 bits of that key.
+are normalised to a 32-character lowercase hex key, or to two BIGINT halves;
+private prefix tests use the leading 32 bits of that key.
 """
 
 from __future__ import annotations
@@ -96,6 +96,19 @@ def ipv6_key(ip) -> Column:
         groups.isNotNull(), F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")))
 
 
+def ipv6_halves(ip) -> Column:
+    """IPv6 text -> ``struct<hi bigint, lo bigint>``, the bits of its two halves
+    (negative from 2**63 on; :func:`unsigned_order` sorts them); invalid -> NULL."""
+    def half(key: Column, at: int) -> Column:
+        return F.conv(F.substring(key, at, 16), 16, -10).cast("bigint")
+    return let(ipv6_key(ip), lambda key: F.when(key.isNotNull(), F.struct(half(key, 1).alias("hi"), half(key, 17).alias("lo"))))
+
+
+def unsigned_order(half: Column) -> Column:
+    """A BIGINT that sorts as the unsigned value of ``half``."""
+    return half.bitwiseXOR(F.lit(-2 ** 63).cast("bigint"))
+
+
 def ip_to_int(ip) -> Column:
     """IPv4 text -> BIGINT value (IPv6 has its own key: :func:`ipv6_key`)."""
     return ipv4_to_int(ip)

@@ -30,8 +30,11 @@ def nearest_constant_center(x, centers: list[tuple[int, list[float]]]) -> Column
     """``struct<distance double, cluster int>`` of the nearest of constant
     ``centers`` [(cluster, vector)], unrolled into plain arithmetic so it
     compiles with the rest of the stage (k and the dimension are small
-    model constants).  Ties go to the lowest cluster id."""
-    xs = [F.get(_c(x), i).cast("double") for i in range(len(centers[0][1]))]
+    model constants).  Ties go to the lowest cluster id; a vector of another
+    length has a NULL distance."""
+    dim = len(centers[0][1])
+    xs = [F.get(_c(x), i).cast("double") for i in range(dim)]
+    xs[0] = F.when(F.size(_c(x)) == dim, xs[0])  # another length: no distance
     cands = []
     for cluster, vec in sorted(centers):
         sq = None

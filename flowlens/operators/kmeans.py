@@ -10,15 +10,17 @@ Training: all restarts (and all k of an elbow) in lockstep, one job a step
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vector import nearest_centroid, nearest_constant_center
 from . import lloyd
-from .features import collect_bounded
 
-MAX_K = 1000
+# Centers of one array expression; a larger model is several of them.
+BLOCK = 1000
 
 CENTERS_SCHEMA = T.StructType([
     T.StructField("cluster", T.IntegerType(), False),
@@ -27,14 +29,15 @@ CENTERS_SCHEMA = T.StructType([
 
 
 def centers_from_table(model: DataFrame) -> list[tuple[int, list[float]]]:
-    rows = collect_bounded(model.select("cluster", "center"), MAX_K)
+    """The model as ``[(cluster, vector)]``: any number of centers, held by the driver and the plan."""
+    rows = model.select("cluster", "center").toLocalIterator()
     return sorted((int(r["cluster"]), [float(v) for v in r["center"]]) for r in rows)
 
 
 def centers_literal(centers: list[tuple[int, list[float]]]) -> Column:
-    return F.array(*[F.struct(F.lit(c).cast("int").alias("cluster"),
-                              F.array(*[F.lit(float(v)) for v in vec]).alias("center"))
-                     for c, vec in centers])
+    """Constant array of the centers: one JSON literal that the optimizer folds."""
+    rows = [{"cluster": int(c), "center": [float(v) for v in vec]} for c, vec in centers]
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<cluster:int,center:array<double>>>")
 
 
 def _centers(model) -> list[tuple[int, list[float]]]:
@@ -46,11 +49,13 @@ UNROLL_LIMIT = 128
 
 def _nearest(x: str, centers: list[tuple[int, list[float]]]) -> Column:
     """Nearest-center expression: unrolled arithmetic for small models (fully
-    compiled), one array expression over the constant centers beyond
-    ``UNROLL_LIMIT`` center coordinates (keeps the generated code small)."""
+    compiled), beyond ``UNROLL_LIMIT`` center coordinates one array expression
+    for every ``BLOCK`` constant centers (keeps the generated code small).  A
+    vector of another length than the centers has a NULL distance in both."""
     if len(centers) * len(centers[0][1]) <= UNROLL_LIMIT:
         return nearest_constant_center(F.col(x), centers)
-    return nearest_centroid(F.col(x), centers_literal(centers))
+    best = [nearest_centroid(F.col(x), centers_literal(centers[i:i + BLOCK])) for i in range(0, len(centers), BLOCK)]
+    return best[0] if len(best) == 1 else F.array_min(F.array(*best))
 
 
 def assign(df: DataFrame, model, x: str = "scaled_features", out: str = "prediction") -> DataFrame:
@@ -80,10 +85,9 @@ def centroids_by_group(df: DataFrame, group: str, x: str = "scaled_features",
     """A center table made of the mean vector of each ``group`` value,
     clusters numbered 0.. in the order of the group values."""
     aggs = [F.avg(F.get(F.col(x), i).cast("double")).alias(f"_m{i}") for i in range(dim)]
-    means = collect_bounded(df.groupBy(group).agg(*aggs), MAX_K)
-    means = sorted(means, key=lambda r: (r[group] is None, r[group]))
-    centers = [(i, [float(r[f"_m{j}"]) for j in range(dim)]) for i, r in enumerate(means)]
-    return df.sparkSession.createDataFrame(centers, CENTERS_SCHEMA)
+    means = df.groupBy(group).agg(*aggs)
+    number = F.row_number().over(Window.orderBy(F.col(group).asc_nulls_last())) - 1  # one row a group
+    return means.select(number.cast("int").alias("cluster"), F.array(*[f"_m{i}" for i in range(dim)]).alias("center"))
 
 
 def inertia(df: DataFrame, model, x: str = "scaled_features") -> Column:

@@ -1,8 +1,9 @@
 """Event-time window features and the join back to packets.
 
-Window aggregates are ordinary ``groupBy(window(...), keys)`` aggregations:
-partial aggregation per partition, one shuffle of (window, key) partial
-rows.  The same code runs on a stream after ``withWatermark``.
+Window aggregates of a stream (after ``withWatermark``) and tumbling ones are
+ordinary ``groupBy(window(...), keys)`` aggregations: partial aggregation per
+partition, one shuffle of (window, key) partial rows.  Sliding windows of a
+table are summed up from panes, so packets are never listed once per window.
 
 Join-back attaches the features of every window a packet falls in.  The
 naive form, an equi-join on the keys with ``start <= t <= end`` as a
@@ -20,6 +21,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 US = 1_000_000
 
@@ -38,6 +40,32 @@ def ratio(avg_c: Column, max_c: Column) -> Column:
     return F.when(max_c.isNotNull() & (max_c > 0), avg_c / max_c)
 
 
+def _from_panes(df: DataFrame, time_col: str, length_us: int, slide_us: int, keys: list[str],
+                ip_len: str, frame_len: str) -> DataFrame:
+    """Sliding windows from panes (the common step of length and slide): packets
+    go once into counts, sums and maxima of their pane, and only the pane rows
+    are listed for each window that holds them."""
+    pane_us = math.gcd(length_us, slide_us)
+    t = _micros(F.col(time_col))
+    sums = [F.count(F.lit(1)).alias("_n")]
+    for i, c in enumerate((ip_len, frame_len)):
+        sums += [F.sum(F.col(c).cast("double")).alias(f"_s{i}"), F.count(c).alias(f"_c{i}"), F.max(c).alias(f"_m{i}")]
+    panes = (df.filter(F.col(time_col).isNotNull())
+             .groupBy((t - F.pmod(t, F.lit(pane_us))).alias("_pane"), *keys).agg(*sums))
+    latest = F.col("_pane") - F.pmod(F.col("_pane"), F.lit(slide_us))
+    starts = F.transform(F.sequence(F.lit(0), F.lit(math.ceil(length_us / slide_us) - 1)),
+                         lambda i: latest - i.cast("bigint") * F.lit(slide_us))
+    held = F.filter(starts, lambda s: s + F.lit(length_us) > F.col("_pane"))
+    listed = panes.select("*", F.explode(held).alias("_start"))
+    g = listed.groupBy("_start", *keys).agg(
+        F.sum("_n").alias("count"),
+        (F.sum("_s0") / F.nullif(F.sum("_c0"), F.lit(0))).alias("ip_avg_len"), F.max("_m0").alias("max_ip_len"),
+        (F.sum("_s1") / F.nullif(F.sum("_c1"), F.lit(0))).alias("frame_avg_len"), F.max("_m1").alias("max_frame_len"))
+    w = F.struct(F.timestamp_micros("_start").alias("start"),
+                 F.timestamp_micros(F.col("_start") + F.lit(length_us)).alias("end"))
+    return g.select(w.alias("time_window"), *keys, "count", "ip_avg_len", "max_ip_len", "frame_avg_len", "max_frame_len")
+
+
 def window_features(df: DataFrame, time_col: str, length: str, slide: str | None = None,
                     keys: list[str] = ("frame_protocols",), ip_len: str = "ip_len",
                     frame_len: str = "frame_len") -> DataFrame:
@@ -46,13 +74,16 @@ def window_features(df: DataFrame, time_col: str, length: str, slide: str | None
     Output: ``time_window`` struct, ``start``, ``end``, keys, ``count``,
     ``ip_avg_len``, ``max_ip_len``, ``frame_avg_len``, ``max_frame_len``,
     ``ip_local_anomaly``, ``frame_local_anomaly``."""
-    w = F.window(time_col, length, slide) if slide else F.window(time_col, length)
-    g = df.groupBy(w.alias("time_window"), *keys).agg(
-        F.count(F.lit(1)).alias("count"),
-        F.avg(ip_len).alias("ip_avg_len"),
-        F.max(ip_len).alias("max_ip_len"),
-        F.avg(frame_len).alias("frame_avg_len"),
-        F.max(frame_len).alias("max_frame_len"))
+    if slide and not df.isStreaming and df.schema[time_col].dataType == T.TimestampType():
+        g = _from_panes(df, time_col, parse_duration_us(length), parse_duration_us(slide), list(keys), ip_len, frame_len)
+    else:
+        w = F.window(time_col, length, slide) if slide else F.window(time_col, length)
+        g = df.groupBy(w.alias("time_window"), *keys).agg(
+            F.count(F.lit(1)).alias("count"),
+            F.avg(ip_len).alias("ip_avg_len"),
+            F.max(ip_len).alias("max_ip_len"),
+            F.avg(frame_len).alias("frame_avg_len"),
+            F.max(frame_len).alias("max_frame_len"))
     return g.withColumns({
         "ip_local_anomaly": ratio(F.col("ip_avg_len"), F.col("max_ip_len")),
         "frame_local_anomaly": ratio(F.col("frame_avg_len"), F.col("max_frame_len")),

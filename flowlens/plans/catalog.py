@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 from ..functions import ip as ipf
 from ..functions import parse, protocol
 from ..functions.geo import geo_object_json
-from ..operators import decode, enrich, features, iforest, intervals, kmeans, lloyd, sampling, windows
+from ..operators import decode, enrich, features, iforest, intervals, kmeans, lloyd, prefixes, sampling, windows
 from pyspark.sql import types as T
 
 from ..schema import FEATURES, PACKET_CSV, SCORING_PACKET, WINDOW_FEATURES
 from ..session import materialize, prepare, scratch_path
 from ..sources import files, sinks
 from ..streaming import jobs
-from ..sources.testdata import (geo_range_dimension, packets, packets_from_lineitem, read_table,
+from ..sources.testdata import (geo_prefix_dimension, geo_range_dimension, ipv6_addresses, packets, packets_from_lineitem, read_table,
                                 reputation_dimension)
 from . import live
 
@@ -170,6 +170,26 @@ def q_geo_overlap(spark, sf):
     return enrich.geo_enrich(df, geo).select("packet_id", "src_city", "dst_city", rnd(F.get("dst_coordinates", 0)).alias("dst_lon"))
 
 
+def _packets_v6(spark, sf) -> DataFrame:
+    prepare(spark)
+    return ipv6_addresses(read_table(spark, sf, "events", key="event_id"))
+
+
+def q_ip_key(spark, sf):
+    """Hex keys of IPv6 addresses, and the halves they sort by."""
+    df = _packets_v6(spark, sf).withColumn("_h", ipf.ipv6_halves("ip_dst"))
+    return df.select("packet_id", ipf.ip_key("ip_src").alias("src_key"), ipf.ip_key("ip_dst").alias("dst_key"),
+                     ipf.unsigned_order(F.col("_h.hi")).alias("dst_order"), F.col("_h.lo").alias("dst_lo"))
+
+
+def q_geo_enrich_v6(spark, sf):
+    """City of the longest IPv6 network holding each address."""
+    df = _packets_v6(spark, sf)
+    dim = geo_prefix_dimension(read_table(spark, sf, "nation"), read_table(spark, sf, "region"))
+    geo = materialize(prefixes.resolve_addresses_v6(df, dim))
+    return enrich.geo_enrich(df, geo).select("packet_id", "src_city", "dst_city", rnd(F.get("dst_coordinates", 0)).alias("dst_lon"))
+
+
 def q_geo_point_json(spark, sf):
     out = enrich.geo_enrich_range(_base(spark, sf), _ranges(spark, sf), ip="ip_dst", prefix="dst")
     text = geo_object_json(F.get("dst_coordinates", 1), F.get("dst_coordinates", 0), F.col("dst_city"))
@@ -544,6 +564,8 @@ QUERIES = {
     "geo_enrich": q_geo_enrich,
     "geo_enrich_range": q_geo_enrich_range,
     "geo_overlap": q_geo_overlap,
+    "ip_key": q_ip_key,
+    "geo_enrich_v6": q_geo_enrich_v6,
     "geo_point_json": q_geo_point_json,
     "threat_enrich": q_threat_enrich,
     "packet_features": q_packet_features,

@@ -188,3 +188,47 @@ def reputation_dimension(customer: DataFrame) -> DataFrame:
         F.concat(F.lit("10."), _s(F.floor(k / 6400) % 256), F.lit("."), _s(k % 25), F.lit("."),
                  _s(F.floor(k / 25) % 256)).alias("ip"),
         (F.floor(F.abs("c_acctbal")).cast("int") % 101).alias("score"))
+
+
+def ipv6_addresses(events: DataFrame) -> DataFrame:
+    """``packet_id, ip_src, ip_dst`` as IPv6 text for every event.
+
+    Source 2001:db8:(user % 4):(user % 25)::(user % 65536), written short, in
+    full upper case or with a dotted tail (by event_id % 3); NULL for every
+    101st event, no address for every 103rd.  Destination
+    2a00 or fd00 (k even, odd):(k % 7):(event % 25)::(event % 200)."""
+    eid, uid = F.col("event_id"), F.col("user_id")
+    k = F.get_json_object("props", "$.k").try_cast("int")
+
+    def hx(c: Column) -> Column:
+        return F.lower(F.hex(c.cast("bigint")))
+    host = uid % 65536
+    short = F.concat(F.lit("2001:db8:"), hx(uid % 4), F.lit(":"), hx(uid % 25), F.lit("::"), hx(host))
+    full = F.upper(F.concat(F.lit("2001:0db8:"), F.lpad(hx(uid % 4), 4, "0"), F.lit(":"), F.lpad(hx(uid % 25), 4, "0"),
+                            F.lit(":0000:0000:0000:"), F.lpad(hx(host), 4, "0")))
+    dotted = F.concat(F.lit("2001:db8:"), hx(uid % 4), F.lit(":"), hx(uid % 25), F.lit(":0:0:0.0."),
+                      _s(F.floor(host / 256)), F.lit("."), _s(host % 256))
+    src = (F.when(eid % 101 == 0, F.lit(None).cast("string")).when(eid % 103 == 0, F.lit("2001:db8:::1"))
+           .when(eid % 3 == 0, short).when(eid % 3 == 1, full).otherwise(dotted))
+    dst = F.concat(F.when(k % 2 == 0, F.lit("2a00:")).otherwise(F.lit("fd00:")), hx(k % 7), F.lit(":"),
+                   hx(eid % 25), F.lit("::"), hx(eid % 200))
+    return events.select(eid.alias("packet_id"), src.alias("ip_src"), dst.alias("ip_dst"))
+
+
+def geo_prefix_dimension(nation: DataFrame, region: DataFrame) -> DataFrame:
+    """IPv6 networks that hold one another.  Regions r: 2001:db8:r::/48,
+    2a00:r::/32 and fd00::/8 (the smallest name counts).  Nations n of region r:
+    2001:db8:r:n::/64 and 2a00:r:n::(4n)/126.  Longitude = key, latitude = 0."""
+    def hx(c: str) -> Column:
+        return F.lower(F.hex(F.col(c).cast("bigint")))
+    r, n = hx("n_regionkey"), hx("n_nationkey")
+    of_nation = F.array(F.concat(F.lit("2001:db8:"), r, F.lit(":"), n, F.lit("::/64")),
+                        F.concat(F.lit("2a00:"), r, F.lit(":"), n, F.lit("::"),
+                                 F.lower(F.hex((F.col("n_nationkey") * 4).cast("bigint"))), F.lit("/126")))
+    of_region = F.array(F.concat(F.lit("2001:db8:"), hx("r_regionkey"), F.lit("::/48")),
+                        F.concat(F.lit("2a00:"), hx("r_regionkey"), F.lit("::/32")), F.lit("fd00::/8"))
+    zero = F.lit(0.0).cast("float").alias("lat")
+    return (nation.select(F.explode(of_nation).alias("prefix"), F.col("n_name").alias("city"),
+                          F.col("n_nationkey").cast("float").alias("lon"), zero)
+            .unionByName(region.select(F.explode(of_region).alias("prefix"), F.col("r_name").alias("city"),
+                                       F.col("r_regionkey").cast("float").alias("lon"), zero)))

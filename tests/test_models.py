@@ -218,3 +218,29 @@ def test_fewer_vectors_than_centers(spark):
 def test_knee():
     assert lloyd.knee({1: 100.0, 2: 50.0, 3: 10.0, 4: 9.0, 5: 8.0}) == 3
     assert lloyd.knee({}) is None and lloyd.knee({4: 2.0}) == 4
+
+
+def test_more_centers_than_a_block(spark):
+    centers = spark.createDataFrame([(i, [float(i), float(i % 7)]) for i in range(2500)], kmeans.CENTERS_SCHEMA)
+    df = spark.createDataFrame([(i, [i * 2.5, 3.0]) for i in range(0, 1000, 37)], "id int, scaled_features array<float>")
+    vecs = [(float(i), float(i % 7)) for i in range(2500)]
+    got = kmeans.assign(df, centers)
+    assert "from_json" not in got._jdf.queryExecution().optimizedPlan().toString()  # folded to a constant
+    for r in got.collect():
+        x, y = r.scaled_features
+        d = [((x - a) ** 2 + (y - b) ** 2) ** 0.5 for a, b in vecs]
+        assert r.prediction.cluster == d.index(min(d)) and abs(r.prediction.distance - min(d)) < 1e-4
+
+
+@pytest.mark.parametrize("n", [2, 200])
+def test_vectors_of_another_length_have_no_distance(spark, n):
+    df = spark.createDataFrame([([1.0],), ([1.0, 2.0, 3.0],)], "scaled_features array<float>")
+    got = kmeans.assign(df, [(i, [float(i), 0.0]) for i in range(n)]).collect()
+    assert [r.prediction.distance for r in got] == [None, None]
+
+
+def test_centers_of_many_groups(spark):
+    df = spark.range(3000).selectExpr("cast(id as string) as g", "array(cast(id as float)) as scaled_features")
+    model = kmeans.centroids_by_group(df, "g", dim=1)
+    names = sorted(map(str, range(3000)))
+    assert kmeans.centers_from_table(model) == [(i, [float(g)]) for i, g in enumerate(names)]

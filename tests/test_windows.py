@@ -85,3 +85,20 @@ def test_left_join_back_with_filtered_windows(spark):
         out = windows.join_back(t, w, "frame_time", "10 seconds", how="left", method=method)
         rows = sorted((r.id, None if r.start is None else str(r.start.time())) for r in out.collect())
         assert rows == [(1, "00:00:10"), (2, None), (3, None)], method
+
+
+@pytest.mark.parametrize("length,slide", [("15 seconds", "5 seconds"), ("60 seconds", "25 seconds"), ("10 seconds", "10 seconds")])
+def test_panes_equal_listed_windows(spark, length, slide):
+    p = _packets(spark)
+    keys = ["ip_src", "frame_protocols"]
+    w = p.groupBy(F.window("frame_time", length, slide).alias("w"), *keys).agg(
+        F.count(F.lit(1)), F.avg("ip_len"), F.max("ip_len"), F.avg("frame_len"), F.max("frame_len"))
+    want = sorted((tuple(r) for r in w.collect()), key=str)
+    g = windows.window_features(p, "frame_time", length, slide, keys)
+    cols = ["time_window", *keys, "count", "ip_avg_len", "max_ip_len", "frame_avg_len", "max_frame_len"]
+    assert sorted((tuple(r) for r in g.select(cols).collect()), key=str) == want
+    assert "Expand" not in g._jdf.queryExecution().executedPlan().toString()
+
+
+def test_panes_of_no_packets(spark):
+    assert windows.window_features(_packets(spark).limit(0), "frame_time", "15 seconds", "5 seconds").collect() == []
