@@ -40,18 +40,21 @@ def ratio(avg_c: Column, max_c: Column) -> Column:
     return F.when(max_c.isNotNull() & (max_c > 0), avg_c / max_c)
 
 
-def _from_panes(df: DataFrame, time_col: str, length_us: int, slide_us: int, keys: list[str],
-                ip_len: str, frame_len: str) -> DataFrame:
-    """Sliding windows from panes (the common step of length and slide): packets
-    go once into counts, sums and maxima of their pane, and only the pane rows
-    are listed for each window that holds them."""
-    pane_us = math.gcd(length_us, slide_us)
+def pane_partials(df: DataFrame, time_col: str, pane_us: int, keys: list[str], ip_len: str = "ip_len",
+                  frame_len: str = "frame_len") -> DataFrame:
+    """Mergeable partials of (``_pane``, keys): row count, and sum, count and
+    maximum of both lengths.  Rows without a time are left out."""
     t = _micros(F.col(time_col))
     sums = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate((ip_len, frame_len)):
         sums += [F.sum(F.col(c).cast("double")).alias(f"_s{i}"), F.count(c).alias(f"_c{i}"), F.max(c).alias(f"_m{i}")]
-    panes = (df.filter(F.col(time_col).isNotNull())
-             .groupBy((t - F.pmod(t, F.lit(pane_us))).alias("_pane"), *keys).agg(*sums))
+    return (df.filter(F.col(time_col).isNotNull())
+            .groupBy((t - F.pmod(t, F.lit(pane_us))).alias("_pane"), *keys).agg(*sums))
+
+
+def windows_of_panes(panes: DataFrame, length_us: int, slide_us: int, keys: list[str]) -> DataFrame:
+    """Windows summed up from :func:`pane_partials`: each pane row is listed for
+    the windows that hold it.  Several rows of one pane (of several batches) add up."""
     latest = F.col("_pane") - F.pmod(F.col("_pane"), F.lit(slide_us))
     starts = F.transform(F.sequence(F.lit(0), F.lit(math.ceil(length_us / slide_us) - 1)),
                          lambda i: latest - i.cast("bigint") * F.lit(slide_us))
@@ -63,7 +66,17 @@ def _from_panes(df: DataFrame, time_col: str, length_us: int, slide_us: int, key
         (F.sum("_s1") / F.nullif(F.sum("_c1"), F.lit(0))).alias("frame_avg_len"), F.max("_m1").alias("max_frame_len"))
     w = F.struct(F.timestamp_micros("_start").alias("start"),
                  F.timestamp_micros(F.col("_start") + F.lit(length_us)).alias("end"))
-    return g.select(w.alias("time_window"), *keys, "count", "ip_avg_len", "max_ip_len", "frame_avg_len", "max_frame_len")
+    return _with_ratios(g.select(w.alias("time_window"), *keys, "count", "ip_avg_len", "max_ip_len",
+                                 "frame_avg_len", "max_frame_len"))
+
+
+def _with_ratios(g: DataFrame) -> DataFrame:
+    return g.withColumns({
+        "ip_local_anomaly": ratio(F.col("ip_avg_len"), F.col("max_ip_len")),
+        "frame_local_anomaly": ratio(F.col("frame_avg_len"), F.col("max_frame_len")),
+        "start": F.col("time_window.start"),
+        "end": F.col("time_window.end"),
+    })
 
 
 def window_features(df: DataFrame, time_col: str, length: str, slide: str | None = None,
@@ -75,21 +88,16 @@ def window_features(df: DataFrame, time_col: str, length: str, slide: str | None
     ``ip_avg_len``, ``max_ip_len``, ``frame_avg_len``, ``max_frame_len``,
     ``ip_local_anomaly``, ``frame_local_anomaly``."""
     if slide and not df.isStreaming and df.schema[time_col].dataType == T.TimestampType():
-        g = _from_panes(df, time_col, parse_duration_us(length), parse_duration_us(slide), list(keys), ip_len, frame_len)
-    else:
-        w = F.window(time_col, length, slide) if slide else F.window(time_col, length)
-        g = df.groupBy(w.alias("time_window"), *keys).agg(
-            F.count(F.lit(1)).alias("count"),
-            F.avg(ip_len).alias("ip_avg_len"),
-            F.max(ip_len).alias("max_ip_len"),
-            F.avg(frame_len).alias("frame_avg_len"),
-            F.max(frame_len).alias("max_frame_len"))
-    return g.withColumns({
-        "ip_local_anomaly": ratio(F.col("ip_avg_len"), F.col("max_ip_len")),
-        "frame_local_anomaly": ratio(F.col("frame_avg_len"), F.col("max_frame_len")),
-        "start": F.col("time_window.start"),
-        "end": F.col("time_window.end"),
-    })
+        length_us, slide_us = parse_duration_us(length), parse_duration_us(slide)
+        panes = pane_partials(df, time_col, math.gcd(length_us, slide_us), list(keys), ip_len, frame_len)
+        return windows_of_panes(panes, length_us, slide_us, list(keys))
+    w = F.window(time_col, length, slide) if slide else F.window(time_col, length)
+    return _with_ratios(df.groupBy(w.alias("time_window"), *keys).agg(
+        F.count(F.lit(1)).alias("count"),
+        F.avg(ip_len).alias("ip_avg_len"),
+        F.max(ip_len).alias("max_ip_len"),
+        F.avg(frame_len).alias("frame_avg_len"),
+        F.max(frame_len).alias("max_frame_len")))
 
 
 def _micros(c: Column) -> Column:

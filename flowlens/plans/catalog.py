@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from ..schema import FEATURES, PACKET_CSV, SCORING_PACKET, WINDOW_FEATURES
 from ..session import materialize, prepare, scratch_path
 from ..sources import files, sinks
-from ..streaming import jobs
+from ..streaming import jobs, late
 from ..sources.testdata import (geo_prefix_dimension, geo_range_dimension, ipv6_addresses, packets, packets_from_lineitem, read_table,
                                 reputation_dimension)
 from . import live
@@ -488,6 +488,47 @@ def q_stream_joinback(spark, sf):
     return j.select("packet_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
 
 
+LATE_WINDOW = "1 hour"
+
+
+def _arrivals(spark, sf) -> list[DataFrame]:
+    """The packets in three arrivals, thirds of their time range; every 50th
+    packet comes one arrival after its time."""
+    pk = _packets(spark, sf)
+    t = F.unix_micros(parse.iso_nanos_to_time("layers.frame.frame_frame_time"))
+    lo, hi = pk.agg(F.min(t), F.max(t)).first()
+    if lo is None:
+        return [pk]
+    third = F.floor((t - F.lit(lo)) * 3 / F.lit(hi - lo + 1))
+    at = F.least(third + F.when(F.col("packet_id") % 50 == 0, F.lit(1)).otherwise(F.lit(0)), F.lit(2))
+    return [pk.filter(at == i) for i in range(3)]
+
+
+def _late_windows(spark, sf) -> str:
+    """The stream started once an arrival, from the same checkpoint; its output folder."""
+    in_dir, out, ckpt = (scratch_path(spark, n) for n in ("late-in", "late-out", "late-ckpt"))
+    for i, part in enumerate(_arrivals(spark, sf)):
+        files.write_packets_ndjson(part, f"{in_dir}/arrival-{i}")
+        late.start_late_windows(files.stream_packets_ndjson(spark, f"{in_dir}/*"), out, ckpt, LATE_WINDOW,
+                                available_now=True).awaitTermination()
+    return out
+
+
+def q_stream_late(spark, sf):
+    """Windows without the late rows, from three micro-batches."""
+    g = late.read_windows(spark, _late_windows(spark, sf), LATE_WINDOW).withColumnRenamed("frame_protocols", "protocols")
+    return _window_out(g, ["protocols"], True)
+
+
+def q_stream_late_account(spark, sf):
+    """Rows in, counted and late per micro-batch, and a row for each late packet."""
+    out = _late_windows(spark, sf)
+    none = F.lit(None).cast("bigint")
+    account = late.read_account(spark, out).select("batch", "rows", "counted", "late", "untimed", none.alias("packet_id"))
+    gone = late.read_late(spark, out).select(*[none.alias(c) for c in ("batch", "rows", "counted", "late", "untimed")], "packet_id")
+    return account.unionByName(gone)
+
+
 # ---------------------------------------------------------------- training
 
 def _training_rows(spark, sf) -> DataFrame:
@@ -590,6 +631,8 @@ QUERIES = {
     "stream_score": q_stream_score,
     "stream_window": q_stream_window,
     "stream_joinback": q_stream_joinback,
+    "stream_late": q_stream_late,
+    "stream_late_account": q_stream_late_account,
     "kmeans_fit": q_kmeans_fit,
     "kmeans_train": q_kmeans_train,
     "iforest_nodes": q_iforest_nodes,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowlens.plans import catalog as C
 from flowlens.session import scratch_path
 from flowlens.sources import files
-from flowlens.streaming import jobs
+from flowlens.streaming import jobs, late
 
 
 def test_stream_score_equals_batch(spark, sf_small):
@@ -178,3 +178,34 @@ def test_joinback_salts_spread_a_pane(spark):
     t = spark.range(8000).select(F.col("id").alias("packet_id"), F.lit(dt.datetime(2024, 1, 1)).alias("frame_time"))
     sizes = [r["count"] for r in t.groupBy(F.pmod(F.xxhash64("packet_id", "frame_time"), F.lit(jobs.SALTS))).count().collect()]
     assert len(sizes) == jobs.SALTS and max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_late_rows_are_accounted_for(spark):
+    base = dt.datetime(2024, 1, 1)
+    src, out, ckpt = (scratch_path(spark, n) for n in ("la-in", "la-out", "la-ckpt"))
+
+    def run():
+        q = late.start_late_windows(files.stream_packets_ndjson(spark, f"{src}/*"), out, ckpt, "1 minute", available_now=True)
+        q.awaitTermination()
+        account = {r.batch: (r.rows, r.counted, r.late, r.untimed) for r in late.read_account(spark, out).collect()}
+        windows = {r.start: r["count"] for r in late.read_windows(spark, out, "1 minute").collect()}
+        return account, windows, sorted(r.packet_id for r in late.read_late(spark, out).collect())
+
+    def minute(m):
+        return base + dt.timedelta(minutes=m)
+
+    # Minutes 0 to 9: the watermark is 8:50 afterwards.
+    _add_file(spark, src, [_pkt(i, minute(i)) for i in range(10)], "f1")
+    account, windows, gone = run()
+    assert account == {0: (10, 10, 0, 0)} and windows == {minute(i): 1 for i in range(10)} and gone == []
+    assert run()[0] == account                                   # nothing new
+    untimed = _pkt(104, base).replace("2024-01-01T", "?")
+    _add_file(spark, src, [_pkt(100, minute(3)), _pkt(101, minute(7) + dt.timedelta(seconds=59)),   # closed
+                           _pkt(102, minute(8)), _pkt(103, minute(20)), untimed], "f2")             # open, new, no time
+    account, windows, gone = run()
+    assert account[1] == (5, 2, 2, 1) and gone == [100, 101]
+    assert (windows[minute(3)], windows[minute(8)], windows[minute(20)]) == (1, 2, 1)
+    _add_file(spark, src, [_pkt(105, minute(8)), _pkt(106, minute(19))], "f3")   # 8 closed, 19 open until 20:00
+    account, windows, gone = run()
+    assert account[2] == (2, 1, 1, 0) and gone == [100, 101, 105] and (windows[minute(8)], windows[minute(19)]) == (2, 1)
+    assert sum(r[0] for r in account.values()) == sum(windows.values()) + len(gone) + 1
