@@ -38,8 +38,8 @@ PRIVATE_V6_LIST = [
 _V4_NETS = [n for n in map(ipaddress.ip_network, PRIVATE_V4_LIST) if n.version == 4]
 _V6_NETS = [ipaddress.ip_network(n) for n in PRIVATE_V6_LIST]
 
-_OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-IPV4_RE = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
+_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+IPV4_RE = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
 
 
 def _c(x) -> Column:
@@ -49,10 +49,12 @@ def _c(x) -> Column:
 def ipv4_to_int(ip) -> Column:
     """Dotted IPv4 text -> BIGINT; anything that is not a strict dotted quad -> NULL."""
     s = _c(ip)
-    parts = F.split(s, r"\.", 4)
+    left, right = F.substring_index(s, ".", 2), F.substring_index(s, ".", -2)
+    octets = [F.substring_index(left, ".", 1), F.substring_index(left, ".", -1),
+              F.substring_index(right, ".", 1), F.substring_index(right, ".", -1)]
     value = None
-    for i in range(4):
-        octet = F.get(parts, i).cast("bigint") * F.lit(256 ** (3 - i))
+    for i, text in enumerate(octets):
+        octet = text.cast("bigint") * F.lit(256 ** (3 - i))
         value = octet if value is None else value + octet
     return F.when(s.rlike(IPV4_RE), value)
 
@@ -64,30 +66,33 @@ def _ipv6_groups(ip) -> Column:
 
 def _ipv6_groups_of(s: Column) -> Column:
     # An embedded dotted IPv4 tail ("::ffff:1.2.3.4") becomes two hextets.
-    tail = F.regexp_extract(s, r":((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(\.(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])){3})$", 1)
-    t_int = ipv4_to_int(tail)
-    t_hex = F.concat(F.lower(F.hex(F.shiftright(t_int, 16))), F.lit(":"),
-                     F.lower(F.hex(t_int.bitwiseAND(F.lit(0xFFFF)))))
-    s = F.when(tail != "", F.concat(F.regexp_replace(s, r"[0-9.]+$", ""), t_hex)).otherwise(s)
-    return let(s, _split_groups)
+    def hextets(v4: Column) -> Column:
+        return F.concat(F.regexp_replace(s, r"[0-9.]+$", ""), F.lower(F.hex(F.shiftright(v4, 16))), F.lit(":"),
+                        F.lower(F.hex(v4.bitwiseAND(F.lit(0xFFFF)))))
 
+    def without_tail(tail: Column) -> Column:
+        return F.when(tail != "", let(ipv4_to_int(tail), hextets)).otherwise(s)
+    tail = F.regexp_extract(s, rf":({_OCTET}(?:\.{_OCTET}){{3}})$", 1)
+    return let(F.when(s.contains("."), let(tail, without_tail)).otherwise(s), _split_groups)
 
-def _split_groups(s: Column) -> Column:
-    halves = F.split(s, "::", 2)
-    has_gap = F.size(halves) == 2
 
+def _split_groups(s: Column) -> Column:
+    # Every part is bound once: a split in a lambda is repeated for each use.
     def groups_of(part: Column) -> Column:
         return F.when(part == "", F.array().cast("array<string>")).otherwise(F.split(part, ":"))
 
-    left, right = groups_of(F.get(halves, 0)), groups_of(F.get(halves, 1))
-    fill = F.lit(8) - F.size(left) - F.size(right)
-    gapped = F.when(fill >= 1, F.concat(left, F.array_repeat(F.lit("0"), fill), right))
-    groups = F.when(has_gap, gapped).otherwise(F.split(s, ":"))
-    ok = ((F.size(groups) == 8)
-          & F.forall(groups, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
-          & ~F.coalesce(F.get(halves, 1).contains("::"), F.lit(False))
-          & s.rlike("^[0-9a-f:]+$"))
-    return F.when(ok, groups)
+    def filled(left: Column, right: Column) -> Column:
+        return let(F.lit(8) - F.size(left) - F.size(right), lambda fill: F.when(
+            fill >= 1, F.concat(left, F.array_repeat(F.lit("0"), fill), right)))
+
+    def joined(halves: Column) -> Column:
+        gapped = let(groups_of(F.get(halves, 0)), lambda left: let(
+            groups_of(F.get(halves, 1)), lambda right: filled(left, right)))
+        return F.when(F.size(halves) == 2, F.when(~F.get(halves, 1).contains("::"), gapped)).otherwise(F.split(s, ":"))
+
+    def checked(groups: Column) -> Column:
+        return F.when((F.size(groups) == 8) & F.forall(groups, lambda g: g.rlike("^[0-9a-f]{1,4}$")), groups)
+    return F.when(s.rlike("^[0-9a-f:]+$"), let(let(F.split(s, "::", 2), joined), checked))
 
 
 def ipv6_key(ip) -> Column:

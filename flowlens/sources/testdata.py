@@ -38,15 +38,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, key: str | None = No
     return spread(df, key) if key else df
 
 
+#: Rows of a partition where :func:`spread` deals out a large table.
+SPREAD_ROWS = 500_000
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give an input split into fewer partitions than there are cores (a file
     holding one row group) one partition per core, hash-partitioned on its
-    row key (deterministic on retry).  Inputs already split finer, as any
-    large table is, are left alone: no extra shuffle at scale."""
+    row key (deterministic on retry).  A larger file is split by bytes, but a
+    row group is read by one task only: where the largest partition holds more
+    than twice a core's share of the rows (counted from the files' footers), the
+    rows are dealt out too, :data:`SPREAD_ROWS` or fewer to a partition.  Inputs
+    already split evenly, as most large tables are, are left alone: no extra
+    shuffle at scale."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    held = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    total, most = held.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    if most <= 2 * total / cores:
         return df
-    return df.repartition(cores, key)
+    return df.repartition(max(cores, -(-total // SPREAD_ROWS)), key)
 
 
 def _s(c: Column) -> Column:
