@@ -12,12 +12,19 @@ a draw in proportion to ``d``.  A step is one minimum per seed, with one row a
 task and seed to shuffle, and all ``k`` of a seed share it: the start for
 ``k`` centers begins with that for ``k - 1``.
 
-Step: distances to all live centers block by block in NumPy, then per model and
-cluster the count, the sums and the cost; a task gives one row per center,
-and Spark adds them up.  Nothing but centers comes to the driver.  Bounds per row
-that spare distances would have to be written and read again each step, more
-bytes per model than the vector itself has; in few dimensions the distances are
-cheaper.
+Rows are stored in blocks of :data:`BLOCK` vectors, as bytes that a task maps
+straight to an array.
+
+Step: per block one matrix product gives ``|c|^2 - 2 c x`` for all live centers,
+the squared distance less ``|x|^2``; per model the centers within its rounding
+error of the least are marked, and a row with several (or none: not a number) is
+decided by the plain distances, so rows go where those put them.  A second
+product with the marks gives counts and sums per model and cluster; the cost is
+summed from plain distances in the last step, the only one that needs it.  A task
+gives one row per center, and Spark adds them up.  Nothing but centers comes to
+the driver.  Bounds per row that spare distances would have to be written and
+read again each step, more bytes per model than the vector itself has; in few
+dimensions the distances are cheaper.
 
 The result depends on the rows and seeds alone, but for the last digits of
 sums.  Rows with a null vector or entry are left out; an empty cluster keeps its
@@ -38,23 +45,33 @@ from ..session import materialize
 
 PRIME = 2147483647
 BLOCK = 1024
+_EPS = float(np.finfo(np.float64).eps)
 
 
 def vectors(df: DataFrame, x: str = "scaled_features", key: str | None = None) -> DataFrame:
-    """``r, x``: a number from each row's key (its vector, if there is none) and
-    the vector in doubles, stored once for all steps."""
+    """A number from each row's key (its vector, if there is none) and the vector
+    in doubles, ``r, x`` as bytes of a block of rows, stored once for all steps."""
     named = F.col(key).cast("string") if key else F.to_json(F.struct(F.col(x).alias("x")))
     r = F.conv(F.substring(F.md5(F.coalesce(named, F.lit(""))), 1, 15), 16, 10).cast("bigint") % F.lit(PRIME)
     rows = df.select(r.alias("r"), F.transform(x, lambda v: v.cast("double")).alias("x"))
-    return materialize(rows.where(F.col("x").isNotNull() & ~F.exists("x", lambda v: v.isNull())))
+    rows = rows.where(F.col("x").isNotNull() & ~F.exists("x", lambda v: v.isNull()))
+    return materialize(rows.mapInArrow(_packed, "r binary, x binary"))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for at in range(0, b.num_rows, BLOCK):
             part = b.slice(at, BLOCK)
             flat = part["x"].flatten().to_numpy(zero_copy_only=False)
-            yield part["r"].to_numpy(), flat.reshape(part.num_rows, -1)
+            yield pa.RecordBatch.from_pydict({"r": pa.array([part["r"].to_numpy().tobytes()], pa.binary()),
+                                              "x": pa.array([flat.tobytes()], pa.binary())})
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for b in batches:
+        for r, x in zip(b["r"], b["x"]):
+            r = np.frombuffer(r.as_buffer(), np.int64)
+            yield r, np.frombuffer(x.as_buffer(), np.float64).reshape(len(r), -1)
 
 
 def squared_distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -105,24 +122,53 @@ def starts(rows: DataFrame, k: int, seeds: list[int]) -> dict[int, list[list[flo
     return out
 
 
-def _step(models: dict[int, list]):
+def _room(centers: int) -> list[np.ndarray]:
+    return [np.empty((centers, BLOCK)), np.empty((centers, BLOCK), bool), np.empty((centers, BLOCK))]
+
+
+def _near(x: np.ndarray, centers: np.ndarray, sizes: list[int], room: list[np.ndarray]) -> np.ndarray:
+    """Centers by rows: 1 where a center is the nearest of its model (the lowest
+    cluster of a tie).  ``room`` holds the arrays of :func:`_room`, used again
+    for each block: fresh ones of this size cost more than the arithmetic."""
+    score, least, hit = (a[:, :len(x)] for a in room)
+    with np.errstate(over="ignore", invalid="ignore"):
+        norm = (centers ** 2).sum(axis=1)
+        reach = np.sqrt(norm.max()) + np.sqrt((x ** 2).sum(axis=1))
+        slack = 8 * (x.shape[1] + 4) * _EPS * reach ** 2
+        np.matmul(np.column_stack([-2.0 * centers, norm]), np.column_stack([x, np.ones(len(x))]).T, out=score)
+        at = 0
+        for size in sizes:
+            own = score[at:at + size]
+            np.less_equal(own, own.min(axis=0) + slack, out=least[at:at + size])
+            at += size
+    np.copyto(hit, least)
+    # A finite row has one mark a model or more.
+    open_ = np.flatnonzero((np.ones(len(hit)) @ hit != len(sizes)) | ~np.isfinite(slack))
+    if len(open_):
+        far = squared_distances(x[open_], centers)
+        at = 0
+        for size in sizes:
+            near = far[:, at:at + size].argmin(axis=1)
+            hit[at:at + size, open_] = 0.0
+            hit[at + near, open_] = 1.0
+            at += size
+    return hit
+
+
+def _step(models: dict[int, list], with_cost: bool):
     names = list(models)
     sizes = [len(models[m]) for m in names]
-    ends = np.cumsum(sizes).tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centers = np.array([c for m in names for c in models[m]])
         total, cost = np.zeros((len(centers), centers.shape[1] + 1)), np.zeros(len(centers))
+        room = _room(len(centers))
         for _, x in _blocks(batches):
-            d = squared_distances(x, centers)
-            with_one = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-            for size, end in zip(sizes, ends):
-                own = d[:, end - size:end]
-                near = own.argmin(axis=1)  # the lowest cluster of a tie
-                hit = np.zeros((len(x), size))
-                hit[np.arange(len(x)), near] = 1.0
-                total[end - size:end] += hit.T @ with_one
-                cost[end - size:end] += np.bincount(near, own[np.arange(len(x)), near], size)
+            hit = _near(x, centers, sizes, room)
+            total += hit @ np.concatenate([x, np.ones((len(x), 1))], axis=1)
+            if with_cost:
+                own, row = np.nonzero(hit)
+                cost += np.bincount(own, ((x[row] - centers[own]) ** 2).sum(axis=1), len(centers))
         at = np.concatenate([np.arange(s) for s in sizes])
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(names, sizes), pa.int64()), pa.array(at, pa.int32()), pa.array(total[:, -1]), pa.array(cost),
@@ -130,11 +176,11 @@ def _step(models: dict[int, list]):
     return run
 
 
-def step(rows: DataFrame, models: dict[int, list]) -> dict[int, list[tuple[int, float, list[float]]]]:
-    """Per model and cluster the members, their cost and their sums."""
+def step(rows: DataFrame, models: dict[int, list], with_cost: bool = True) -> dict[int, list[tuple[int, float, list[float]]]]:
+    """Per model and cluster the members, their cost (0 without ``with_cost``) and their sums."""
     dim = len(next(iter(models.values()))[0])
     sums = [F.sum(F.get("s", F.lit(i))).alias(f"s{i}") for i in range(dim)]
-    cells = (rows.mapInArrow(_step(models), "model bigint, cluster int, n double, cost double, s array<double>")
+    cells = (rows.mapInArrow(_step(models, with_cost), "model bigint, cluster int, n double, cost double, s array<double>")
              .groupBy("model", "cluster").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *sums).collect())
     out = {m: [(0, 0.0, [0.0] * dim)] * len(c) for m, c in models.items()}
     for c in cells:
@@ -161,7 +207,7 @@ def fit_all(rows: DataFrame, ks, seeds: list[int], max_iter: int = 300, tol: flo
     for _ in range(max_iter):
         if not live:
             break
-        cells = step(rows, {i: fits[i].centers for i in live})
+        cells = step(rows, {i: fits[i].centers for i in live}, with_cost=False)
         moving = []
         for i in live:
             new = [[v / n for v in s] if n else c for (n, _, s), c in zip(cells[i], fits[i].centers)]

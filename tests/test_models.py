@@ -215,6 +215,33 @@ def test_fewer_vectors_than_centers(spark):
     assert lloyd.fit_all(lloyd.vectors(none, "x", "id"), [2], [1]) == []
 
 
+def test_near_marks_follow_plain_distances():
+    """Ties go to the lowest cluster, far rows are not decided by rounding."""
+    rng = np.random.default_rng(2)
+    x = np.round(rng.normal(size=(lloyd.BLOCK, 3)), 1)
+    x[:50] += 1e8
+    x[50] = [np.inf, 0.0, 0.0]
+    sizes = [1, 2, 5, 5]
+    centers = np.concatenate([x[100:108], [[1.0, 0, 0], [-1.0, 0, 0], [0, 1.0, 0], [0, -1.0, 0], [1e8, 1e8, 1e8 + 0.5]]])
+    x[60:80] = 0.0
+    room = lloyd._room(len(centers))
+    for rows in (x, x[:70]):
+        hit, at = lloyd._near(rows, centers, sizes, room), 0
+        for size in sizes:
+            want = lloyd.squared_distances(rows, centers[at:at + size]).argmin(axis=1)
+            assert (hit[at:at + size].sum(axis=0) == 1).all() and (hit[at:at + size].argmax(axis=0) == want).all()
+            at += size
+
+
+def test_vectors_are_stored_in_blocks(spark):
+    """A step reads blocks of bytes, not a list per row."""
+    df = spark.range(3000).selectExpr("id", "array(id * 1.0D, 2.0D) as x").coalesce(1)
+    rows = lloyd.vectors(df, "x", "id")
+    assert rows.count() == 3 and {f.dataType.simpleString() for f in rows.schema} == {"binary"}
+    fit, = lloyd.fit_all(rows, [1], [1])
+    assert fit.sizes == [3000] and fit.centers == [[1499.5, 2.0]]
+
+
 def test_knee():
     assert lloyd.knee({1: 100.0, 2: 50.0, 3: 10.0, 4: 9.0, 5: 8.0}) == 3
     assert lloyd.knee({}) is None and lloyd.knee({4: 2.0}) == 4
