@@ -9,10 +9,12 @@ Per-row HTTP lookups are replaced by joins:
 * a dimension is broadcast only after its row count has been checked
   against a bound; beyond the bound the join stays a shuffle join (and AQE
   may still turn it into a broadcast join from measured sizes);
-* range dimensions (``ip_start``..``ip_end``) are joined through /16
-  buckets: each range is exploded to the buckets it covers (at most 65,536)
-  and the join is an equi-join on the bucket with the range test as a
-  residual filter, instead of a nested-loop join.
+* range dimensions (``ip_start``..``ip_end``) are joined through buckets of
+  addresses: each range is exploded to the buckets it covers and the join is
+  an equi-join on the bucket with the range test as a residual filter, instead
+  of a nested-loop join.  Buckets are /24 if that makes few rows of the table,
+  else /20 or /16 (at most 65,536 rows a range): a key is tested against every
+  range of its bucket.
 """
 
 from __future__ import annotations
@@ -26,7 +28,11 @@ from ..functions.ip import ipv4_to_int
 LOCAL_IP = "192.168.91.191"
 LOOPBACK = "127.0.0.1"
 BROADCAST_MAX_ROWS = 2_000_000
+# Address bits of a bucket, the narrowest that fits, and the rows per range (or
+# in all) that a narrow one may make.
 BUCKET_BITS = 16
+NARROW_BITS = (8, 12)
+NARROW_ROWS, NARROW_TABLE = 4, 50_000
 
 LOCAL_CITY = "LOCAL"
 ERROR_CITY = "ERROR"
@@ -52,18 +58,25 @@ def distinct_addresses(df: DataFrame, cols=("ip_src", "ip_dst")) -> DataFrame:
 
 
 def bucket_ranges(ranges: DataFrame, broadcast_ranges: bool = True) -> DataFrame:
-    """Range table exploded to the /16 buckets each range covers (column
-    ``_bucket``), broadcast-hinted when its size check passes.  Build it once
-    and reuse it for several lookups."""
+    """Range table exploded to the buckets each range covers (column
+    ``_bucket``, its width in the column's metadata), broadcast-hinted when its
+    size check passes.  Build it once and reuse it for several lookups."""
     if "_bucket" in ranges.columns:
         return ranges
-    shift = BUCKET_BITS
+    shift = _bucket_bits(ranges)
     bucketed = ranges.select(
         "*", F.explode(F.sequence(F.shiftright("ip_start", shift), F.shiftright("ip_end", shift)))
-        .alias("_bucket"))
+        .alias("_bucket")).withMetadata("_bucket", {"bits": shift})
     return bounded_broadcast(bucketed) if broadcast_ranges else bucketed
 
 
+def _bucket_bits(ranges: DataFrame) -> int:
+    rows = [F.sum(F.shiftright("ip_end", s) - F.shiftright("ip_start", s) + 1) for s in NARROW_BITS]
+    n, *made = ranges.agg(F.count("ip_start"), *rows).first()
+    fit = [s for s, m in zip(NARROW_BITS, made) if m is not None and m <= max(NARROW_ROWS * n, NARROW_TABLE)]
+    return fit[0] if fit else BUCKET_BITS
+
+
 def range_lookup(keys: DataFrame, ranges: DataFrame, key_int: str = "ip_int",
                  broadcast_ranges: bool = True) -> DataFrame:
     """Join integer keys to ``[ip_start, ip_end]`` ranges via /16 buckets.
@@ -73,8 +86,8 @@ def range_lookup(keys: DataFrame, ranges: DataFrame, key_int: str = "ip_int",
     (:func:`bucket_ranges`).  Returns ``keys`` columns plus the range
     attributes (left join: unmatched keys keep NULL attributes)."""
     attrs = [c for c in ranges.columns if c not in ("ip_start", "ip_end", "_bucket")]
-    shift = BUCKET_BITS
     bucketed = bucket_ranges(ranges, broadcast_ranges)
+    shift = bucketed.schema["_bucket"].metadata.get("bits", BUCKET_BITS)
     k = keys.withColumn("_bucket", F.shiftright(F.col(key_int), shift))
     cond = ((k["_bucket"] == bucketed["_bucket"])
             & k[key_int].between(bucketed["ip_start"], bucketed["ip_end"]))

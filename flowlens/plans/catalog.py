@@ -65,6 +65,17 @@ def _centers(scaled: DataFrame) -> list:
     return kmeans.centers_from_table(kmeans.centroids_by_group(scaled, "protocols"))
 
 
+def _live_model(spark, sf, pk: DataFrame) -> tuple[list, list]:
+    """Scaler and centers for scoring ``pk``: the features are parsed and stored
+    once (seven integers and the stack), both fits read those."""
+    feat = _featured(spark, sf, pk).select("protocols", *FEATURES)
+    path = scratch_path(spark, "features")
+    feat.write.parquet(path)
+    feat = spark.read.schema(feat.schema).parquet(path)
+    params = features.scaler_params(features.fit_scaler(feat))
+    return params, _centers(features.scale(feat, params))
+
+
 def _ranges(spark, sf) -> DataFrame:
     return geo_range_dimension(read_table(spark, sf, "nation"))
 
@@ -284,8 +295,7 @@ def q_embedding_kmeans(spark, sf):
 
 def q_live_score(spark, sf):
     df = _packets(spark, sf)
-    scaled, params = _scaled(spark, sf)
-    scored, _ = live.score_packets(df, _ranges(spark, sf), params, _centers(scaled), keep=("packet_id",))
+    scored, _ = live.score_packets(df, _ranges(spark, sf), *_live_model(spark, sf, df), keep=("packet_id",))
     return flatten_scored(scored)
 
 
@@ -293,8 +303,7 @@ def q_lineitem_score(spark, sf):
     """Volume variant of live scoring: lineitem rows as packets (6x events)."""
     prepare(spark)
     pk = packets_from_lineitem(read_table(spark, sf, "lineitem", key="l_orderkey"))
-    scaled, params = _scaled(spark, sf, pk)
-    scored, _ = live.score_packets(pk, _ranges(spark, sf), params, _centers(scaled), keep=("packet_id",))
+    scored, _ = live.score_packets(pk, _ranges(spark, sf), *_live_model(spark, sf, pk), keep=("packet_id",))
     return flatten_scored(scored)
 
 
