@@ -59,12 +59,22 @@ def vectors(df: DataFrame, x: str = "scaled_features", key: str | None = None) -
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, n = [], 0
+
+    def block() -> pa.RecordBatch:
+        r = b"".join(p["r"].to_numpy().tobytes() for p in held)
+        x = b"".join(p["x"].flatten().to_numpy(zero_copy_only=False).tobytes() for p in held)
+        return pa.RecordBatch.from_pydict({"r": pa.array([r], pa.binary()), "x": pa.array([x], pa.binary())})
     for b in batches:
-        for at in range(0, b.num_rows, BLOCK):
-            part = b.slice(at, BLOCK)
-            flat = part["x"].flatten().to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_pydict({"r": pa.array([part["r"].to_numpy().tobytes()], pa.binary()),
-                                              "x": pa.array([flat.tobytes()], pa.binary())})
+        at = 0
+        while at < b.num_rows:
+            held.append(b.slice(at, BLOCK - n))
+            at, n = at + held[-1].num_rows, n + held[-1].num_rows
+            if n == BLOCK:
+                yield block()
+                held, n = [], 0
+    if n:
+        yield block()
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:

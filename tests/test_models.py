@@ -233,12 +233,16 @@ def test_near_marks_follow_plain_distances():
             at += size
 
 
-def test_vectors_are_stored_in_blocks(spark):
-    """A step reads blocks of bytes, not a list per row."""
+@pytest.mark.parametrize("batch", ["100", "10000"])
+def test_vectors_are_stored_in_blocks(spark, batch):
+    """A step reads blocks of bytes, not a list per row, whatever the Arrow batches."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     df = spark.range(3000).selectExpr("id", "array(id * 1.0D, 2.0D) as x").coalesce(1)
     rows = lloyd.vectors(df, "x", "id")
     assert rows.count() == 3 and {f.dataType.simpleString() for f in rows.schema} == {"binary"}
     fit, = lloyd.fit_all(rows, [1], [1])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert fit.sizes == [3000] and fit.centers == [[1499.5, 2.0]]
 
 
